@@ -66,15 +66,18 @@ def count_by_label_windows(
     return counted.where(seen > 0)
 
 
-def with_all_labels(df: DataFrame, dims: Sequence[str], label: str, labels: Sequence[str]) -> DataFrame:
-    """Add a zero row for each fixed label a group lacks. Measures must be numbers."""
-    measures = {f.name: f.dataType for f in df.schema.fields if f.name not in {*dims, label}}
-    zeros = df.select(*dims).distinct().select(
-        *dims,
-        F.explode(F.array(*[F.lit(x) for x in labels])).alias(label),
-        *[F.lit(0).cast(kind).alias(m) for m, kind in measures.items()],
-    )
-    filled = df.unionByName(zeros).groupBy(*dims, label)
+def with_all_labels(df: DataFrame, dims: Sequence[str], labels: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Add a zero row for each combination of fixed labels a group lacks.
+
+    ``labels`` is {column: values}; every column besides these and ``dims`` is a number.
+    """
+    keys = [*dims, *labels]
+    measures = {f.name: f.dataType for f in df.schema.fields if f.name not in keys}
+    groups = df.select(*dims).distinct() if dims else df.sparkSession.range(1).drop("id")
+    for column, values in labels.items():
+        groups = groups.withColumn(column, F.explode(F.array(*[F.lit(x) for x in values])))
+    zeros = groups.select(*keys, *[F.lit(0).cast(kind).alias(m) for m, kind in measures.items()])
+    filled = df.select(*keys, *measures).unionByName(zeros).groupBy(*keys)
     return filled.agg(*[F.sum(m).cast(kind).alias(m) for m, kind in measures.items()])
 
 
@@ -118,10 +121,14 @@ def total_row(df: DataFrame, dims: Sequence[str], label: str, measures: Sequence
 def share_of_column(
     df: DataFrame, dims: Sequence[str], label: str, measures: Sequence[str], suffix: str = "_pct"
 ) -> DataFrame:
-    """Each measure as a percentage of its group total, a Total row left out of the sum."""
+    """Each measure as a percentage of its group total; a Total row is not part of the sum
+    and has share 0 itself."""
     group = W.partitionBy(*dims)
     part = F.coalesce(F.col(label) != TOTAL, F.lit(True))
-    made = {m + suffix: pct2(F.col(m), F.sum(F.when(part, F.col(m))).over(group)) for m in measures}
+    made = {
+        m + suffix: F.when(part, pct2(F.col(m), F.sum(F.when(part, F.col(m))).over(group))).otherwise(F.lit(0.0))
+        for m in measures
+    }
     return df.withColumns(made)
 
 
