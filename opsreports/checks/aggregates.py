@@ -339,10 +339,10 @@ def incentive(t: Tables) -> DataFrame:
 @query(
     "d23_region_split",
     """SELECT CASE n_name WHEN 'NATION_0' THEN 'BLR' WHEN 'NATION_1' THEN 'HYD' ELSE 'NORTH' END AS region, count(*) AS n
-       FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey < 20 GROUP BY 1""",
+       FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_regionkey < 4 GROUP BY 1""",
 )
 def region_split(t: Tables) -> DataFrame:
-    nations = t.nation.where(F.col("n_nationkey") < 20)
+    nations = t.nation.where(F.col("n_regionkey") < 4)
     rows = joins.attach(t.customer, nations, {"c_nationkey": "n_nationkey"}, ["n_name"])
     region = agg.region_of(F.col("n_name"), {"NATION_0": "BLR", "NATION_1": "HYD"}, "NORTH")
     return agg.count_group(rows.select(region.alias("region")), "region")

@@ -24,10 +24,10 @@ CODE_5_SQL = (
 def with_cities(t: Tables) -> DataFrame:
     """Line items with the nation of the supplier (case city) and of the customer (patient city).
 
-    Suppliers of nations 20 and up count as having no city, customers of nations 15 and up.
+    Suppliers in debt count as having no city, customers of one segment too.
     """
-    suppliers = t.supplier.where(F.col("s_nationkey") < 20)
-    customers = t.customer.where(F.col("c_nationkey") < 15)
+    suppliers = t.supplier.where(F.col("s_acctbal") > 0)
+    customers = t.customer.where(F.col("c_mktsegment") != "BUILDING")
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey")
     lines = attach(lines, t.orders, {"l_orderkey": "o_orderkey"}, ["o_custkey"], "inner")
     lines = attach(lines, suppliers, {"l_suppkey": "s_suppkey"}, ["s_nationkey"])
@@ -37,8 +37,8 @@ def with_cities(t: Tables) -> DataFrame:
 
 
 CITIES_SQL = """FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-       LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey AND s.s_nationkey < 20
-       LEFT JOIN customer c ON o.o_custkey = c.c_custkey AND c.c_nationkey < 15
+       LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey AND s.s_acctbal > 0
+       LEFT JOIN customer c ON o.o_custkey = c.c_custkey AND c.c_mktsegment <> 'BUILDING'
        LEFT JOIN nation a ON s.s_nationkey = a.n_nationkey
        LEFT JOIN nation b ON c.c_nationkey = b.n_nationkey"""
 
@@ -80,13 +80,13 @@ def city_code_5(t: Tables) -> DataFrame:
 @query(
     "b05_filter_eq_in",
     """SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')
-       AND o_custkey NOT IN (1, 2, 3) AND o_orderdate IS NOT NULL AND o_orderkey != o_custkey""",
+       AND o_orderstatus NOT IN ('O', 'P') AND o_orderdate IS NOT NULL AND o_orderkey != o_custkey""",
 )
 def filter_eq_in(t: Tables) -> DataFrame:
     return t.orders.where(
         (F.col("o_orderstatus") == "F")
         & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-        & ~F.col("o_custkey").isin(1, 2, 3)
+        & ~F.col("o_orderstatus").isin("O", "P")
         & F.col("o_orderdate").isNotNull()
         & (F.col("o_orderkey") != F.col("o_custkey"))
     ).select("o_orderkey")
@@ -205,11 +205,11 @@ def code_to_label(t: Tables) -> DataFrame:
 @query(
     "b17_default_if_null",
     """SELECT c_custkey, coalesce(n_name, 'N.A') AS city, coalesce(n_nationkey, -1)::BIGINT AS city_id
-       FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey < 10""",
+       FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_regionkey < 2""",
 )
 def default_if_null(t: Tables) -> DataFrame:
     known = attach(
-        t.customer, t.nation.where(F.col("n_nationkey") < 10), {"c_nationkey": "n_nationkey"}, ["n_name", "n_nationkey"]
+        t.customer, t.nation.where(F.col("n_regionkey") < 2), {"c_nationkey": "n_nationkey"}, ["n_name", "n_nationkey"]
     )
     return known.select(
         "c_custkey",
@@ -218,6 +218,14 @@ def default_if_null(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "b18_attach_literal",
+    """SELECT s_suppkey, 'Hyderabad' AS city, 1 AS batch FROM supplier""",
+)
+def attach_literal(t: Tables) -> DataFrame:
+    return t.supplier.select("s_suppkey").withColumns({"city": F.lit("Hyderabad"), "batch": F.lit(1)})
+
+
 @query(
     "b19_cast_columns",
     """SELECT o_orderkey::VARCHAR AS id, TRY_CAST(split_part(o_orderpriority, '-', 1) AS BIGINT) AS priority,

@@ -25,13 +25,13 @@ def inner_equi(t: Tables) -> DataFrame:
 @query(
     "c02_left_equi_star",
     """SELECT o_orderkey, c_name, n_name, r_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey
-       LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey < 20
+       LEFT JOIN nation ON c_nationkey = n_nationkey AND n_regionkey < 4
        LEFT JOIN region ON n_regionkey = r_regionkey""",
 )
 def left_equi_star(t: Tables) -> DataFrame:
     rows = t.orders.select("o_orderkey", "o_custkey")
     rows = joins.attach(rows, t.customer, {"o_custkey": "c_custkey"}, ["c_name", "c_nationkey"])
-    nations = t.nation.where(F.col("n_nationkey") < 20)
+    nations = t.nation.where(F.col("n_regionkey") < 4)
     rows = joins.attach(rows, nations, {"c_nationkey": "n_nationkey"}, ["n_name", "n_regionkey"])
     rows = joins.attach(rows, t.region, {"n_regionkey": "r_regionkey"}, ["r_name"])
     return rows.select("o_orderkey", "c_name", "n_name", "r_name")
@@ -92,11 +92,11 @@ def join_composite_on(t: Tables) -> DataFrame:
 
 @query(
     "c07_link_channel",
-    """SELECT o_orderkey, p_name FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_linenumber = 1)
+    """SELECT o_orderkey, p_name FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'R')
        ON o_orderkey = l_orderkey LEFT JOIN part ON l_partkey = p_partkey""",
 )
 def link_channel(t: Tables) -> DataFrame:
-    bridge = t.lineitem.where(F.col("l_linenumber") == 1)
+    bridge = t.lineitem.where(F.col("l_returnflag") == "R")
     rows = joins.link_through(
         t.orders, bridge, t.part, {"o_orderkey": "l_orderkey"}, {"l_partkey": "p_partkey"}, ["p_name"]
     )

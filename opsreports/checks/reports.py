@@ -477,19 +477,21 @@ def payment_notice(t: Tables) -> DataFrame:
 
 @query(
     "r14_surgery_tracker",
-    with_desk("surgery", "patient_case", "patient_profile", "customer_profile", "city", "facility", "speciality")
+    with_desk(
+        "surgery", "surgery_payment", "patient_case", "patient_profile", "customer_profile", "city", "facility", "speciality"
+    )
     + f""" SELECT s.caseId AS "caseId", pp.patientName AS "patientName", h.aliasName AS "aliasName", e.specialityName AS "specialityName", s.id,
        strftime(admissionDate, '%Y-%m-%d %H:%M:%S') AS "admissionDate", {CASE_CITY.format('No City')} AS city,
        right(cp.customerNumber, 10) AS "customerNumber", pc.leadSource AS "leadSource"
      FROM surgery s JOIN patient_case pc ON pc.caseId = s.caseId {PATIENT_JOINS} JOIN facility h ON h.facilityId = s.hospitalId
        LEFT JOIN speciality e ON e.id = pc.specialityId
      WHERE surgeryStatus = 'ADMISSION_DONE' AND pc.leadSource <> 'Hospital Insurance' AND tenantName = 'MAIN' AND h.aliasName <> 'Supplier#000000003'
-       AND NOT (h.aliasName = '{HOSPITAL}' AND pc.leadSource = 'Offline channel') AND s.id NOT IN (SELECT id FROM surgery WHERE id % 2 = 0)
+       AND NOT (h.aliasName = '{HOSPITAL}' AND pc.leadSource = 'Offline channel') AND s.id NOT IN (SELECT patientSurgeryId FROM surgery_payment WHERE paymentMode = 'CASH')
        AND floor((epoch_us(TIMESTAMP '1998-06-17 12:00:00') - epoch_us(admissionDate)) / 86400000000) >= 1""",
 )
 def surgery_tracker(t: Tables) -> DataFrame:
     desk = DeskTables(t)
-    tracker = desk["surgery"].where(F.col("id") % 2 == 0).select("id")
+    tracker = desk["surgery_payment"].where(F.col("paymentMode") == "CASH").select(F.col("patientSurgeryId").alias("id"))
     out = visits.surgery_tracker(
         desk, tracker, NOON, excluded_hospitals=["Supplier#000000003"], excluded_pair=(HOSPITAL, "Offline channel")
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from opsreports.checks.registry import AS_OF, Tables, half_even, query
 from opsreports.functions import labels, money, text, times
 from opsreports.operators.aggregates import in_window
+from opsreports.operators.joins import lookup_first
 
 DAY = "yyyy-MM-dd"
 SECOND = "yyyy-MM-dd HH:mm:ss"
@@ -26,13 +27,14 @@ def blank_to_null(t: Tables) -> DataFrame:
 
 @query(
     "h02_phone_local",
-    """WITH n AS (SELECT doc_id, left(text, 8 + (doc_id % 8)::INT) AS number FROM documents)
-       SELECT doc_id, CASE WHEN length(number) BETWEEN 11 AND 14 THEN right(number, 10)
+    """WITH n AS (SELECT c_custkey, lpad(c_custkey::VARCHAR, 8 + (c_custkey % 8)::INT, '9') AS number FROM customer)
+       SELECT c_custkey, CASE WHEN length(number) BETWEEN 11 AND 14 THEN right(number, 10)
               ELSE number END AS local_number FROM n""",
 )
 def phone_local(t: Tables) -> DataFrame:
-    number = F.left("text", (8 + F.col("doc_id") % 8).cast("int"))
-    return t.documents.select("doc_id", text.phone_local(number).alias("local_number"))
+    """Numbers of 8 to 15 digits."""
+    number = F.lpad(F.col("c_custkey").cast("string"), (8 + F.col("c_custkey") % 8).cast("int"), F.lit("9"))
+    return t.customer.select("c_custkey", text.phone_local(number).alias("local_number"))
 
 
 @query(
@@ -174,6 +176,21 @@ def json_field(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "h13_outcome_property",
+    """WITH o AS (SELECT user_id, arg_min((event_type, props), event_id) AS v FROM events WHERE value > 100 GROUP BY 1)
+       SELECT c_custkey, coalesce(v[1], '') AS outcome, coalesce(v[2]->>'$.k', '') AS reason
+       FROM customer LEFT JOIN o ON user_id = c_custkey""",
+)
+def outcome_property(t: Tables) -> DataFrame:
+    """First matching outcome of a customer: one property, and one field of its details."""
+    outcomes = t.events.where(F.col("value") > 100)
+    found = lookup_first(
+        t.customer, "c_custkey", outcomes, "user_id", {"event_type": "outcome", "props": "details"}, ["event_id"]
+    )
+    return found.select("c_custkey", "outcome", text.json_text(F.col("details"), "k").alias("reason"))
+
+
 @query(
     "h14_outcome_comment",
     """SELECT event_id, chr(10) || ' Surgery Comments: ' || chr(10) ||
@@ -387,6 +404,15 @@ def record_url(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", url.alias("url"))
 
 
+@query(
+    "h27_append_label",
+    """SELECT event_id, hour(ts)::VARCHAR || '-' || (hour(ts) + 1)::VARCHAR AS label FROM events""",
+)
+def append_label(t: Tables) -> DataFrame:
+    hour = F.hour("ts")
+    return t.events.select("event_id", F.concat_ws("-", hour.cast("string"), (hour + 1).cast("string")).alias("label"))
+
+
 @query(
     "h28_format_amount",
     """SELECT p_partkey, format('{:,}', trunc(p_retailprice * 1000)::BIGINT) AS amount FROM part""",

@@ -45,11 +45,11 @@ def stream_call_status(t: Tables) -> DataFrame:
     "i02_stream_feedback_hourly",
     f"""SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, coalesce(n_name, 'NOCITY') AS city,
                count(*) AS answers FROM events LEFT JOIN customer ON user_id = c_custkey
-               LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey < 20
+               LEFT JOIN nation ON c_nationkey = n_nationkey AND n_regionkey < 4
         WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= {STREAM_END} - INTERVAL 10 MINUTE GROUP BY 1, 2""",
 )
 def stream_feedback_hourly(t: Tables) -> DataFrame:
-    nations = t.nation.where(F.col("n_nationkey") < 20)
+    nations = t.nation.where(F.col("n_regionkey") < 4)
     cases = attach(t.customer, nations, {"c_nationkey": "n_nationkey"}, ["n_name"])
     view = views.hourly_feedback(event_stream(t), "ts", cases, "user_id", "c_custkey", "n_name")
     return _stamps(finished(t, view, "feedback"))
