@@ -302,12 +302,8 @@ def dual_dim_summary(t: Tables) -> DataFrame:
     )
     done, advised = rows.where(F.col("o_orderstatus") == "F"), rows.where(F.col("o_orderstatus") != "F")
     recommended, taken = F.col("o_orderstatus") == "O", F.col("o_orderkey") % 3 == 0
-    tables = [
-        agg.visit_summary(done, advised, dim, "fee", recommended, taken)
-        .withColumnRenamed(dim, "label").withColumn("dim", F.lit(dim))
-        for dim in ("agent", "hospital")
-    ]
-    return tables[0].unionByName(tables[1]).withColumn("value", F.col("value").cast("double"))
+    table = agg.visit_summary(done, advised, {"agent": "agent", "hospital": "hospital"}, "fee", recommended, taken)
+    return table.withColumn("value", F.col("value").cast("double"))
 
 
 @query(

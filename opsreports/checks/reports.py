@@ -248,25 +248,21 @@ WEEK_SQL = with_desk(
        JOIN customer_profile cp ON cp.customerId = pp.customerId WHERE NOT is_test),
      taken AS (SELECT DISTINCT originConsultationId::BIGINT AS origin FROM appointment WHERE doctorConsultationStatus = '3'
        AND consultationType IN ('DIAGNOSTICS', 'Diagnostics') AND leadId IN (SELECT leadId FROM v) AND originConsultationId IS NOT NULL),
-     u AS (SELECT {dim} AS label, 0 AS recommended, 0 AS taken, 1 AS total_done, (consultationFee = 0)::INT AS zero_value, consultationFee AS value
+     u AS (SELECT agent, aliasName, 0 AS recommended, 0 AS taken, 1 AS total_done, (consultationFee = 0)::INT AS zero_value, consultationFee AS value
        FROM a WHERE is_test UNION ALL
-       SELECT {dim}, (additionalDetails->>'$.isDiagnosticsTestRecommended' = 'YES')::INT, (id IN (SELECT origin FROM taken))::INT, 0, 0, 0 FROM v),
-     n AS (SELECT coalesce(label, 'Total') AS label, coalesce(sum(recommended), 0)::BIGINT AS recommended, coalesce(sum(taken), 0)::BIGINT AS taken,
+       SELECT agent, aliasName, (additionalDetails->>'$.isDiagnosticsTestRecommended' = 'YES')::INT, (id IN (SELECT origin FROM taken))::INT, 0, 0, 0 FROM v),
+     w AS (SELECT 'agent' AS dim, agent AS label, u.* FROM u UNION ALL SELECT 'hospital', aliasName, u.* FROM u),
+     n AS (SELECT dim, coalesce(label, 'Total') AS label, coalesce(sum(recommended), 0)::BIGINT AS recommended, coalesce(sum(taken), 0)::BIGINT AS taken,
          sum(total_done)::BIGINT AS total_done, sum(zero_value)::BIGINT AS zero_value, sum(value)::DOUBLE AS value
-       FROM u GROUP BY GROUPING SETS ((label), ())),
+       FROM w GROUP BY GROUPING SETS ((dim, label), (dim))),
      r AS (SELECT *, CASE WHEN recommended = 0 THEN 0 ELSE round_even(taken * 100 / recommended, 2) END AS taken_pct FROM n)
      SELECT *, CASE WHEN taken_pct = 0 AND recommended > 0 THEN 'red' WHEN taken_pct = 0 THEN 'none' WHEN taken_pct < 50 THEN 'red'
        WHEN taken_pct < 70 THEN 'pale' ELSE 'none' END AS band FROM r"""
 
 
-@query("r05_diagnostic_week_by_agent", WEEK_SQL.replace("{dim}", "agent"))
-def diagnostic_week_by_agent(t: Tables) -> DataFrame:
-    return plain(diagnostics.diagnostic_week(DeskTables(t), WEEK)["by_agent"].withColumnRenamed("agent", "label"))
-
-
-@query("r05_diagnostic_week_by_hospital", WEEK_SQL.replace("{dim}", "aliasName"))
-def diagnostic_week_by_hospital(t: Tables) -> DataFrame:
-    return plain(diagnostics.diagnostic_week(DeskTables(t), WEEK)["by_hospital"].withColumnRenamed("aliasName", "label"))
+@query("r05_diagnostic_week", WEEK_SQL)
+def diagnostic_week(t: Tables) -> DataFrame:
+    return plain(diagnostics.diagnostic_week(DeskTables(t), WEEK)["summary"])
 
 
 # R6, R7 --------------------------------------------------------------------------------

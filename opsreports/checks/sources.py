@@ -37,7 +37,7 @@ def read_table(t: Tables) -> DataFrame:
 )
 def read_windowed(t: Tables) -> DataFrame:
     windows = pick_windows(AS_OF, *WINDOW_NAMES)
-    rows = readers.by_window(t.orders, F.to_date("o_orderdate"), windows)
+    rows = readers.by_window(t.orders, F.col("o_orderdate"), windows)
     return count_group(rows, "window", "o_orderstatus")
 
 

@@ -7,6 +7,7 @@ shares and pivots run on the aggregated rows.
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -69,16 +70,25 @@ def count_by_label_windows(
 def with_all_labels(df: DataFrame, dims: Sequence[str], labels: Mapping[str, Sequence[str]]) -> DataFrame:
     """Add a zero row for each combination of fixed labels a group lacks.
 
-    ``labels`` is {column: values}; every column besides these and ``dims`` is a number.
+    ``labels`` is {column: values}; every column besides these and ``dims`` is a number. Each
+    aggregated row brings the zero rows of its group along and a second sum drops the surplus,
+    so the frame is computed once. Without ``dims`` the zero rows are there even for no input.
     """
     keys = [*dims, *labels]
     measures = {f.name: f.dataType for f in df.schema.fields if f.name not in keys}
-    groups = df.select(*dims).distinct() if dims else df.sparkSession.range(1).drop("id")
-    for column, values in labels.items():
-        groups = groups.withColumn(column, F.explode(F.array(*[F.lit(x) for x in values])))
-    zeros = groups.select(*keys, *[F.lit(0).cast(kind).alias(m) for m, kind in measures.items()])
-    filled = df.select(*keys, *measures).unionByName(zeros).groupBy(*keys)
-    return filled.agg(*[F.sum(m).cast(kind).alias(m) for m, kind in measures.items()])
+    zero = [F.lit(0).cast(kind).alias(m) for m, kind in measures.items()]
+    combos = [
+        F.struct(*[F.lit(v).alias(c) for c, v in zip(labels, values)], *zero)
+        for values in itertools.product(*labels.values())
+    ]
+    if dims:
+        own = F.struct(*labels, *measures)
+        spread = df.select(*dims, F.inline(F.array(own, *combos)))
+    else:
+        spread = df.select(*labels, *measures).unionByName(
+            df.sparkSession.range(1).select(F.inline(F.array(*combos)))
+        )
+    return spread.groupBy(*keys).agg(*[F.sum(m).cast(kind).alias(m) for m, kind in measures.items()])
 
 
 def bucket_window_counts(
@@ -254,22 +264,32 @@ def agents_needed(per_agent: int = 25) -> Column:
 
 
 def visit_summary(
-    done: DataFrame, advised: DataFrame, dim: str, fee: str, recommended: Column, taken: Column
+    done: DataFrame, advised: DataFrame, dims: Mapping[str, str], fee: str, recommended: Column, taken: Column
 ) -> DataFrame:
-    """By one dimension: advised, taken, taken %, all done, done at no fee, value; with a Total row."""
-    amount = F.col(fee).cast(MONEY)
-    left = done.groupBy(dim).agg(
-        count_rows().alias("total_done"),
-        F.count_if(F.coalesce(amount == 0, F.lit(False))).alias("zero_value"),
-        F.coalesce(F.sum(amount), F.lit(0)).alias("value"),
-    )
-    right = advised.groupBy(dim).agg(*counts_if({"recommended": recommended, "taken": taken}))
-    measures = ["recommended", "taken", "total_done", "zero_value", "value"]
-    match = left.withColumnRenamed(dim, "_left").join(
-        right.withColumnRenamed(dim, "_right"), F.col("_left").eqNullSafe(F.col("_right")), "full"
-    )
-    merged = match.withColumn(dim, F.coalesce("_left", "_right")).drop("_left", "_right").na.fill(0)
-    table = total_row(merged, [], dim, measures)
+    """By each dimension: advised, taken, taken %, all done, done at no fee, value; with Total rows.
+
+    ``dims`` is {name in the result: column of both frames}. All dimensions come from one pass,
+    as rows of (dim, label).
+    """
+    amount = F.coalesce(F.col(fee).cast(MONEY), F.lit(0).cast(MONEY))
+    yes = lambda test: F.coalesce(test, F.lit(False)).cast("bigint")
+    none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    measures = {
+        "recommended": (none, yes(recommended)),
+        "taken": (none, yes(taken)),
+        "total_done": (one, none),
+        "zero_value": (yes(F.col(fee) == 0), none),
+        "value": (amount, F.lit(0).cast(MONEY)),
+    }
+    labels = F.array(*[F.struct(F.lit(n).alias("dim"), F.col(c).alias("label")) for n, c in dims.items()])
+
+    def side(rows: DataFrame, place: int) -> DataFrame:
+        cells = [pair[place].alias(m) for m, pair in measures.items()]
+        return rows.select(*cells, F.inline(labels))
+
+    both = side(done, 0).unionByName(side(advised, 1))
+    merged = both.groupBy("dim", "label").agg(*[F.sum(m).alias(m) for m in measures])
+    table = total_row(merged, ["dim"], "label", list(measures))
     return table.withColumn("taken_pct", rate2(F.col("taken"), F.col("recommended")))
 
 

@@ -22,6 +22,12 @@ def id_block(column: str, size: int = ID_BLOCK) -> Column:
 
 
 
+def id_levels(column: str) -> list[Column]:
+    """Two steps for a long run of ids under one key: no task gets more than a few thousand
+    block totals, or more than 2^14 rows, up to 2^42 ids."""
+    return [id_block(column, 1 << 28), id_block(column, 1 << 14)]
+
+
 def running_total(
     df: DataFrame,
     keys: Sequence[str],

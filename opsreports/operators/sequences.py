@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from opsreports.functions.text import first_clause
-from opsreports.operators.running import id_block, row_numbers, running_total
+from opsreports.operators.running import id_block, id_levels, row_numbers, running_total
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -110,4 +110,4 @@ def comment_history(
 
 def serial_number(df: DataFrame, order: str, out: str = "serial") -> DataFrame:
     """1, 2, 3 ... over all rows in the order of a unique integer id."""
-    return row_numbers(df, [], [id_block(order)], [order], out)
+    return row_numbers(df, [], id_levels(order), [order], out)

@@ -102,7 +102,7 @@ def diagnostic_cases(
 def diagnostic_week(
     desk: Desk, window: Window, city_ids: Sequence[int] = (1, 2, 3, 4)
 ) -> dict[str, DataFrame]:
-    """Tests advised and done in one window, by agent and by hospital, with a colour band.
+    """Tests advised and done in one window, by agent and by hospital (dim, label), with a colour band.
 
     The agent is the user of the first note that closed the appointment.
     """
@@ -135,14 +135,12 @@ def diagnostic_week(
     )
     visits = flag_known(visits, "id", taken, "origin", "diagnostics_done")
 
-    out = {"tests": tests, "visits": visits}
-    for name, dim in (("by_agent", "agent"), ("by_hospital", "aliasName")):
-        table = agg.visit_summary(
-            tests, visits, dim, "consultationFee", F.col("recommended") == "YES", F.col("diagnostics_done") == "Yes"
-        )
-        band = threshold_band(F.col("taken_pct"), F.col("recommended"))
-        out[name] = table.withColumn("band", band)
-    return out
+    table = agg.visit_summary(
+        tests, visits, {"agent": "agent", "hospital": "aliasName"}, "consultationFee",
+        F.col("recommended") == "YES", F.col("diagnostics_done") == "Yes",
+    )
+    summary = table.withColumn("band", threshold_band(F.col("taken_pct"), F.col("recommended")))
+    return {"summary": summary, "tests": tests, "visits": visits}
 
 
 def advised_then_visited(desk: Desk) -> dict[str, DataFrame]:

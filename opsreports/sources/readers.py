@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from opsreports.functions.times import Window
+from opsreports.functions.times import Window, local_date
 from opsreports.operators.aggregates import in_window
+from opsreports.operators.filters import between_local_dates
 
 
 def read_table(
@@ -48,15 +50,17 @@ def read_warehouse(spark: SparkSession, table: str, fmt: str | None = None, **op
     return spark.read.format(fmt).options(table=table, **options).load()
 
 
-def by_window(df: DataFrame, date: Column, windows: Sequence[Window], out: str = "window") -> DataFrame:
-    """One copy of each row per window its date lies in, from a single scan.
+def by_window(
+    df: DataFrame, ts: Column, windows: Sequence[Window], offset: dt.timedelta = dt.timedelta(0), out: str = "window"
+) -> DataFrame:
+    """One copy of each row per window its (shifted) date lies in, from a single scan.
 
-    Rows outside all windows are dropped before anything else, by one range on the date.
+    Rows outside all windows are left out by one range on the bare column, which the scan takes.
     """
     first, last = min(w.start for w in windows), max(w.end for w in windows)
-    inside = df.where(in_window(date, Window("all", first, last)))
+    date = local_date(ts, offset)
     hits = F.array_compact(F.array(*[F.when(in_window(date, w), F.lit(w.name)) for w in windows]))
-    return inside.withColumn(out, F.explode(hits))
+    return df.where(between_local_dates(ts, first, last, offset)).withColumn(out, F.explode(hits))
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
