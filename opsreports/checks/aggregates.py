@@ -300,9 +300,11 @@ def dual_dim_summary(t: Tables) -> DataFrame:
         F.col("o_orderpriority").alias("agent"), F.col("c_nationkey").cast("string").alias("hospital"),
         "o_orderkey", "o_orderstatus", fee.alias("fee"),
     )
-    done, advised = rows.where(F.col("o_orderstatus") == "F"), rows.where(F.col("o_orderstatus") != "F")
-    recommended, taken = F.col("o_orderstatus") == "O", F.col("o_orderkey") % 3 == 0
-    table = agg.visit_summary(done, advised, {"agent": "agent", "hospital": "hospital"}, "fee", recommended, taken)
+    status = F.col("o_orderstatus")
+    table = agg.visit_summary(
+        rows, {"agent": "agent", "hospital": "hospital"}, status == "F", status != "F", "fee",
+        recommended=status == "O", taken=F.col("o_orderkey") % 3 == 0,
+    )
     return table.withColumn("value", F.col("value").cast("double"))
 
 

@@ -264,31 +264,25 @@ def agents_needed(per_agent: int = 25) -> Column:
 
 
 def visit_summary(
-    done: DataFrame, advised: DataFrame, dims: Mapping[str, str], fee: str, recommended: Column, taken: Column
+    df: DataFrame, dims: Mapping[str, str], done: Column, advised: Column, fee: str, recommended: Column, taken: Column
 ) -> DataFrame:
     """By each dimension: advised, taken, taken %, all done, done at no fee, value; with Total rows.
 
-    ``dims`` is {name in the result: column of both frames}. All dimensions come from one pass,
-    as rows of (dim, label).
+    Rows that pass ``done`` count as tests, rows that pass ``advised`` as visits, all others
+    not at all. ``dims`` is {name in the result: column}; all dimensions come from one pass, as
+    rows of (dim, label).
     """
-    amount = F.coalesce(F.col(fee).cast(MONEY), F.lit(0).cast(MONEY))
     yes = lambda test: F.coalesce(test, F.lit(False)).cast("bigint")
-    none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
     measures = {
-        "recommended": (none, yes(recommended)),
-        "taken": (none, yes(taken)),
-        "total_done": (one, none),
-        "zero_value": (yes(F.col(fee) == 0), none),
-        "value": (amount, F.lit(0).cast(MONEY)),
+        "recommended": yes(advised & recommended),
+        "taken": yes(advised & taken),
+        "total_done": yes(done),
+        "zero_value": yes(done & (F.col(fee) == 0)),
+        "value": F.coalesce(F.when(done, F.col(fee).cast(MONEY)), F.lit(0).cast(MONEY)),
     }
     labels = F.array(*[F.struct(F.lit(n).alias("dim"), F.col(c).alias("label")) for n, c in dims.items()])
-
-    def side(rows: DataFrame, place: int) -> DataFrame:
-        cells = [pair[place].alias(m) for m, pair in measures.items()]
-        return rows.select(*cells, F.inline(labels))
-
-    both = side(done, 0).unionByName(side(advised, 1))
-    merged = both.groupBy("dim", "label").agg(*[F.sum(m).alias(m) for m in measures])
+    rows = df.where(done | advised).select(*[c.alias(m) for m, c in measures.items()], F.inline(labels))
+    merged = rows.groupBy("dim", "label").agg(*[F.sum(m).alias(m) for m in measures])
     table = total_row(merged, ["dim"], "label", list(measures))
     return table.withColumn("taken_pct", rate2(F.col("taken"), F.col("recommended")))
 

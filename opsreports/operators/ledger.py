@@ -29,20 +29,23 @@ from opsreports.operators.running import id_block, running_total
 WIDE = "decimal(28,2)"
 
 
-def _lumps(credits: DataFrame, debits: DataFrame) -> DataFrame:
-    """Per customer, created day and end day: the lump and D(end), the debits it may use."""
-    lump = credits.groupBy("customer", "created", "end").agg(F.sum("amount").cast(WIDE).alias("lump"))
-    daily = debits.groupBy("customer", "date").agg(F.sum("amount").cast(WIDE).alias("used"))
+LUMP = ("customer", "created", "end")
+
+
+def _open_debits(lumps: DataFrame, daily: DataFrame) -> DataFrame:
+    """Each lump with D(end), the debits it may use.
+
+    On one time line per customer, a lump at its end day comes before that day's debits.
+    """
     zero, none = F.lit(0).cast(WIDE), F.lit(None)
-    # On one time line per customer, a lump at its end day comes before that day's debits.
-    line = lump.select("customer", F.col("end").alias("at"), F.lit(0).alias("side"), "created", "end", "lump",
-                       zero.alias("used")).unionByName(
-        daily.select("customer", F.col("date").alias("at"), F.lit(1).alias("side"), none.cast("date").alias("created"),
-                     none.cast("date").alias("end"), none.cast(WIDE).alias("lump"), "used"))
-    before = W.partitionBy("customer").orderBy("at", "side", "created").rowsBetween(W.unboundedPreceding, 0)
-    return line.withColumn("open", F.sum("used").over(before).cast(WIDE)).where(F.col("side") == 0).select(
-        "customer", "created", "end", "lump", "open"
+    ends = lumps.select(*LUMP, "lump", F.col("end").alias("at"), F.lit(0).alias("side"), zero.alias("used"))
+    days = daily.select(
+        "customer", none.cast("date").alias("created"), none.cast("date").alias("end"), none.cast(WIDE).alias("lump"),
+        F.col("date").alias("at"), F.lit(1).alias("side"), "used",
     )
+    before = W.partitionBy("customer").orderBy("at", "side", "created").rowsBetween(W.unboundedPreceding, 0)
+    line = ends.unionByName(days).withColumn("open", F.sum("used").over(before).cast(WIDE))
+    return line.where(F.col("side") == 0).select(*LUMP, "lump", "open")
 
 
 def _lump_left(lumps: DataFrame, as_of: dt.date) -> DataFrame:
@@ -85,40 +88,38 @@ def ledger_balances(
     ``entries``; the id is a unique integer. An expired credit has balance 0.
     """
     c = columns
-    mine = {"customer": F.col(c["customer"]), "amount": F.col(c["amount"]).cast(MONEY)}
+    amount = F.col(c["amount"]).cast(MONEY)
+    keys = {"customer": c["customer"], "created": c["created"], "end": c["end"]}
     credits = entries.where(F.col(c["kind"]) == credit)
-    debits = entries.where(F.col(c["kind"]) == debit)
-    lumps = _lumps(
-        credits.select(mine["customer"].alias("customer"), F.col(c["created"]).alias("created"),
-                       F.col(c["end"]).alias("end"), mine["amount"].alias("amount")),
-        debits.select(mine["customer"].alias("customer"), F.col(c["created"]).alias("date"),
-                      mine["amount"].alias("amount")),
-    )
-    left = _lump_left(lumps, as_of).select(
-        F.col("customer").alias("_customer"), F.col("created").alias("_created"), F.col("end").alias("_end"),
-        F.col("lump").alias("_lump"), F.col("left").alias("_left"),
+    daily = entries.where(F.col(c["kind"]) == debit).groupBy(
+        F.col(c["customer"]).alias("customer"), F.col(c["created"]).alias("date")
+    ).agg(F.sum(amount).cast(WIDE).alias("used"))
+
+    # The rows of a lump in id blocks: their sums make the lump, and each block's start in it.
+    block = id_block(c["id"])
+    blocks = credits.groupBy(*[F.col(v).alias(k) for k, v in keys.items()], block.alias("_block")).agg(
+        F.sum(amount).cast(WIDE).alias("_sum")
     )
-    rows = credits.join(
-        left,
-        (credits[c["customer"]] == left["_customer"])
-        & (credits[c["created"]] == left["_created"])
-        & (credits[c["end"]] == left["_end"]),
+    lumps = blocks.groupBy(*LUMP).agg(F.sum("_sum").cast(WIDE).alias("lump"))
+    left = _lump_left(_open_debits(lumps, daily), as_of)
+    before = W.partitionBy(*LUMP).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    starts = blocks.withColumn("_start", F.coalesce(F.sum("_sum").over(before), F.lit(0)).cast(WIDE)).drop("_sum")
+    starts = starts.join(left, list(LUMP)).withColumn("_gone", F.col("lump") - F.col("left"))
+    starts = starts.select(*[F.col(k).alias(f"_{k}") for k in LUMP], F.col("_block").alias("_of"), "_start", "_gone")
+
+    # A lump gives up its oldest credits first. One shuffle of the rows serves window and join.
+    rows = credits.withColumn("_block", block)
+    inside = W.partitionBy(*keys.values(), "_block").orderBy(c["id"]).rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumn("_run", F.sum(amount.cast(WIDE)).over(inside))
+    joined = rows.join(
+        starts,
+        (F.col(c["customer"]) == F.col("_customer")) & (F.col(c["created"]) == F.col("_created"))
+        & (F.col(c["end"]) == F.col("_end")) & (F.col("_block") == F.col("_of")),
         "left",
-    ).drop("_customer", "_created", "_end")
-    amount = F.col(c["amount"]).cast(MONEY)
-    partly = F.coalesce(F.col("_left") < F.col("_lump"), F.lit(False))
-    # A lump used in part gives up its oldest credits first; only those rows need an order.
-    split = running_total(
-        rows.where(partly), [c["customer"], c["created"], c["end"]], [id_block(c["id"])], [c["id"]],
-        amount.cast(WIDE), "_through",
-    )
-    gone = F.col("_lump") - F.col("_left")
-    rest = F.least(amount, F.greatest(F.lit(0), F.col("_through") - gone)).cast(MONEY)
-    whole = rows.where(~partly).withColumn(
-        "balance", F.when(F.col("_left").isNull(), F.lit(0)).otherwise(amount).cast(MONEY)
     )
-    some = split.withColumn("balance", rest).drop("_through")
-    return whole.unionByName(some).drop("_lump", "_left")
+    rest = F.least(amount, F.greatest(F.lit(0), F.col("_run") + F.col("_start") - F.col("_gone")))
+    balance = F.coalesce(rest, F.lit(0)).cast(MONEY)
+    return joined.withColumn("balance", balance).select(*entries.columns, "balance")
 
 
 def ledger_no_expiry(

@@ -39,7 +39,8 @@ def running_total(
     """Sum of value over the key's rows up to and including this one.
 
     ``levels`` are coarse to fine and never decrease along ``order``; ``order`` must be
-    a total order within a key.
+    a total order within a key. The input is read twice, for the block totals and for the
+    rows; settle it first if it is costly to make.
     """
     names = [f"_level{i}" for i in range(len(levels))]
     rows = df.withColumns({**dict(zip(names, levels)), "_value": value})

@@ -11,11 +11,20 @@ from opsreports.operators.joins import attach
 from opsreports.plans.inputs import Desk
 
 
-def with_patient(rows: DataFrame, desk: Desk, patient_columns=(), customer_columns=(), how: str = "inner") -> DataFrame:
-    """Case rows with their patient and customer; needs patientId, adds patientCityId and customerId."""
+def with_patient(
+    rows: DataFrame, desk: Desk, patient_columns=(), customer_columns=(), how: str = "inner", known: str | None = None
+) -> DataFrame:
+    """Case rows with their patient and customer; needs patientId, adds patientCityId and customerId.
+
+    ``known`` names a column that tells, in a left join, whether there is such a customer.
+    """
     columns = {"customerId": "customerId", "cityId": "patientCityId", **{c: c for c in patient_columns}}
     rows = attach(rows, desk["patient_profile"], {"patientId": "id"}, columns, how)
-    return attach(rows, desk["customer_profile"], {"customerId": "customerId"}, list(customer_columns), how)
+    wanted = {c: c for c in customer_columns}
+    if known is None:
+        return attach(rows, desk["customer_profile"], {"customerId": "customerId"}, wanted, how)
+    rows = attach(rows, desk["customer_profile"], {"customerId": "customerId"}, {"customerId": known, **wanted}, how)
+    return rows.withColumn(known, F.col(known).isNotNull())
 
 
 def with_case_city(

@@ -14,7 +14,7 @@ from opsreports.operators import aggregates as agg
 from opsreports.operators.filters import between_dates, between_local_dates, differs
 from opsreports.operators.joins import attach, flag_known, keep_known, lookup_first
 from opsreports.operators.sequences import followup_pair
-from opsreports.plans.common import with_facility_city
+from opsreports.plans.common import with_facility_city, with_patient
 from opsreports.plans.inputs import Desk
 
 # Channels and visit kinds of the case report.
@@ -106,41 +106,35 @@ def diagnostic_week(
 
     The agent is the user of the first note that closed the appointment.
     """
-    closed = desk["lead_comment"].where(
-        (F.col("commentType") == "APPOINTMENT_DONE") & (F.col("leadType") == "APPOINTMENT")
-    )
-    completed = desk["appointment"].where(
-        (F.col("doctorConsultationStatus") == "3")
-        & between_dates(F.col("appointmentDate"), window.start, window.end)
-    )
-
-    def placed(rows: DataFrame) -> DataFrame:
-        rows = with_facility_city(rows, desk).where(F.col("facilityCityId").isin(*city_ids))
-        status = code_to_label_strict(F.col("doctorConsultationStatus"), CONSULTATION_STATUS_WEEKLY, "None")
-        rows = lookup_first(rows, "id", closed, "leadId", {"user": "agent"}, ["commentId"])
-        return rows.withColumn("status", status).withColumn("date", F.to_date("appointmentDate"))
-
     is_test = F.col("consultationType").isin(*DIAGNOSTIC_TYPES)
-    tests = placed(completed.where(is_test))
-    visits = placed(completed.where(~is_test))
-    visits = attach(visits, desk["patient_case"], {"leadId": "caseId"}, ["patientId"], "inner")
-    visits = attach(visits, desk["patient_profile"], {"patientId": "id"}, ["customerId"], "inner")
-    visits = attach(visits, desk["customer_profile"], {"customerId": "customerId"}, ["customerNumber"], "inner")
-    advice = json_text(F.col("additionalDetails"), "isDiagnosticsTestRecommended")
-    visits = visits.withColumn("recommended", advice).drop("customerId")
+    rows = desk["appointment"].where(
+        (F.col("doctorConsultationStatus") == "3") & between_dates(F.col("appointmentDate"), window.start, window.end)
+    )
+    rows = with_facility_city(rows, desk).where(F.col("facilityCityId").isin(*city_ids))
+    rows = attach(rows, desk["patient_case"], {"leadId": "caseId"}, ["patientId"])
+    rows = with_patient(rows, desk, (), ["customerNumber"], how="left", known="knownCustomer")
+    is_visit = ~is_test & F.col("knownCustomer")
 
     taken = desk["appointment"].where((F.col("doctorConsultationStatus") == "3") & is_test)
-    taken = keep_known(taken, "leadId", visits, "leadId").select(
+    taken = keep_known(taken, "leadId", rows.where(is_visit), "leadId").select(
         F.col("originConsultationId").try_cast("bigint").alias("origin")
     )
-    visits = flag_known(visits, "id", taken, "origin", "diagnostics_done")
-
+    closed = desk["lead_comment"].where(
+        (F.col("commentType") == "APPOINTMENT_DONE") & (F.col("leadType") == "APPOINTMENT")
+    )
+    rows = lookup_first(rows, "id", closed, "leadId", {"user": "agent"}, ["commentId"])
+    rows = flag_known(rows, "id", taken, "origin", "diagnostics_done")
+    rows = rows.withColumns({
+        "recommended": json_text(F.col("additionalDetails"), "isDiagnosticsTestRecommended"),
+        "status": code_to_label_strict(F.col("doctorConsultationStatus"), CONSULTATION_STATUS_WEEKLY, "None"),
+        "date": F.to_date("appointmentDate"),
+    })
     table = agg.visit_summary(
-        tests, visits, {"agent": "agent", "hospital": "aliasName"}, "consultationFee",
+        rows, {"agent": "agent", "hospital": "aliasName"}, is_test, is_visit, "consultationFee",
         F.col("recommended") == "YES", F.col("diagnostics_done") == "Yes",
     )
     summary = table.withColumn("band", threshold_band(F.col("taken_pct"), F.col("recommended")))
-    return {"summary": summary, "tests": tests, "visits": visits}
+    return {"summary": summary, "tests": rows.where(is_test), "visits": rows.where(is_visit)}
 
 
 def advised_then_visited(desk: Desk) -> dict[str, DataFrame]:

@@ -21,6 +21,7 @@ from opsreports.operators.ledger import ledger_balances
 from opsreports.operators.sequences import first_per_key, serial_number
 from opsreports.plans.common import with_case_city, with_facility_city, with_patient
 from opsreports.plans.inputs import Desk
+from opsreports.session import settle
 from opsreports.sources.writers import conform
 
 # The cities and channels the fee report looks at.
@@ -204,5 +205,5 @@ def payment_notice(
         "doctor_name", "utr", F.col("aliasName").alias("hospital_name"),
     )
     one = first_per_key(detail, ["appId"], ["payment_date", "id"])
-    notice = serial_number(one.withColumn("amount", whole_units(F.col("amount"))), "id")
+    notice = serial_number(settle(one.withColumn("amount", whole_units(F.col("amount")))), "id")
     return {"notice": notice, "detail": detail}

@@ -12,11 +12,12 @@ from opsreports.functions.text import phone_local, record_url
 from opsreports.functions.times import LOCAL_OFFSET, local_time, parse_day_first
 from opsreports.operators import aggregates as agg
 from opsreports.operators.filters import min_age_days, not_pair, previous_hour, trailing_window
-from opsreports.operators.joins import attach, drop_known, keep_known, lookup_first
+from opsreports.operators.joins import attach, drop_known, keep_known
 from opsreports.operators.running import id_block
 from opsreports.operators.sequences import new_or_existing, rank_average
 from opsreports.plans.common import with_case_city, with_patient
 from opsreports.plans.inputs import Desk
+from opsreports.session import settle
 
 
 def home_pickup(desk: Desk, hospital_id: int) -> dict[str, DataFrame]:
@@ -25,7 +26,7 @@ def home_pickup(desk: Desk, hospital_id: int) -> dict[str, DataFrame]:
                     ["patientId", "leadSource", "caseType", "reason"], "inner")
     came = visits.where(F.col("hospitalId") == hospital_id)
     theirs = keep_known(visits.where(F.col("doctorConsultationStatus") == "3"), "patientId", came, "patientId")
-    ranked = rank_average(theirs, "patientId", "id", [id_block("id")])
+    ranked = rank_average(settle(theirs), "patientId", "id", [id_block("id")])
     rows = new_or_existing(ranked, "patientId", "id", F.col("hospitalId") == hospital_id)
     status = code_to_label_strict(F.col("doctorConsultationStatus"), CONSULTATION_STATUS_LIVE)
     rows = rows.withColumn("status", status)
@@ -84,36 +85,34 @@ NO_CITY = "NOCITY"
 def feedback(desk: Desk, as_of: dt.datetime, base_url: str) -> dict[str, DataFrame]:
     """Survey answers of the previous whole hour with their case, per city; unmatched ones under NOCITY.
 
-    A consultation answer names its appointment, a procedure answer its case.
+    A consultation answer names its appointment, a procedure answer its case. The few answers
+    of the hour are joined outward, so no lookup table of all cases is made.
     """
-    cases = with_patient(desk["patient_case"].select("caseId", "patientId", "cityId"), desk, (), ["customerNumber"])
-    cases = with_case_city(cases, desk, default=NO_CITY)
-    visits = desk["appointment"].select(F.col("id").alias("apptId"), F.col("leadId"))
-    cases = attach(cases, visits, {"caseId": "leadId"}, ["apptId"])
-    cases = cases.withColumns({
-        "apptKey": F.coalesce("apptId", F.lit(0)).cast("string"), "caseKey": F.col("caseId").cast("string"),
-    })
-    found = {"customerNumber": "customerNumber", "city": "knownCity", "patientId": "patientId", "caseId": "_caseId"}
-
-    def placed(name: str, key: str) -> DataFrame:
-        rows = desk[name].withColumn("submitted", parse_day_first(F.col("submittedAt")))
-        rows = rows.where(previous_hour(F.col("submitted"), as_of))
-        rows = lookup_first(rows, "caseid", _known(cases, key), "_key", found, ["_order"], default=None)
-        return rows.select(
-            F.lit(name).alias("survey"), F.coalesce("knownCity", F.lit(NO_CITY)).alias("city"),
-            F.date_format(local_time(F.col("submitted"), LOCAL_OFFSET), "dd/MM/yyyy HH:mm:ss").alias("submittedAt"),
-            F.col("caseid").alias("answerId"), F.coalesce("customerNumber", F.lit("")).alias("customerNumber"),
-            record_url(base_url, F.col("patientId"), F.col("_caseId")).alias("url"), "recommend", "suggestions",
-        )
-
-    answers = placed("survey_consultation", "apptKey").unionByName(placed("survey_procedure", "caseKey"))
+    visits = desk["appointment"].select(F.col("id").alias("named"), F.col("leadId").alias("caseId"))
+    cases = desk["patient_case"].select(F.col("caseId").alias("named"), "caseId")
+    answers = _placed(desk, as_of, base_url, "survey_consultation", visits).unionByName(
+        _placed(desk, as_of, base_url, "survey_procedure", cases)
+    )
     listed = desk["city"].select(city_code(F.col("cityName"), default=NO_CITY).alias("city"))
     cities = listed.union(desk["city"].sparkSession.range(1).select(F.lit(NO_CITY))).distinct()
     return {"answers": answers, "cities": cities}
 
 
-def _known(cases: DataFrame, key: str) -> DataFrame:
-    return cases.withColumn("_key", F.col(key)).withColumn("_order", F.struct("caseId", "apptId"))
+def _placed(desk: Desk, as_of: dt.datetime, base_url: str, survey: str, index: DataFrame) -> DataFrame:
+    """The answers of one survey with the case that ``index`` gives for the id they name."""
+    rows = desk[survey].withColumn("submitted", parse_day_first(F.col("submittedAt")))
+    rows = rows.where(previous_hour(F.col("submitted"), as_of)).withColumnRenamed("caseid", "answerId")
+    asked = rows.select(F.col("answerId").alias("key"), F.col("answerId").try_cast("bigint").alias("named")).distinct()
+    known = asked.join(index, "named").where(F.col("key") == F.col("named").cast("string"))
+    known = attach(known, desk["patient_case"], {"caseId": "caseId"}, ["patientId", "cityId"], "inner")
+    known = with_case_city(with_patient(known, desk, (), ["customerNumber"]), desk, default=NO_CITY)
+    placed = attach(rows, known, {"answerId": "key"}, ["city", "customerNumber", "patientId", "caseId"])
+    return placed.select(
+        F.lit(survey).alias("survey"), F.coalesce("city", F.lit(NO_CITY)).alias("city"),
+        F.date_format(local_time(F.col("submitted"), LOCAL_OFFSET), "dd/MM/yyyy HH:mm:ss").alias("submittedAt"),
+        "answerId", F.coalesce("customerNumber", F.lit("")).alias("customerNumber"),
+        record_url(base_url, F.col("patientId"), F.col("caseId")).alias("url"), "recommend", "suggestions",
+    )
 
 
 # The columns of the three call tables.

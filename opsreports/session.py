@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution does the run-time work: it merges small shuffle partitions,
 # turns a join into a broadcast once a side is known to be small, and splits a
@@ -47,3 +47,11 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nobody has used yet."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute a frame once and keep it in the shared folder, for plans that read it several times."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
