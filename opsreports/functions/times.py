@@ -66,6 +66,18 @@ def from_epoch_ms(ms: Column) -> Column:
     return ntz(dt.datetime(1970, 1, 1)) + F.make_dt_interval(secs=(ms / 1000).cast("decimal(18,6)"))
 
 
+def as_utc(ts: Column) -> Column:
+    """A zone-free UTC time as an instant, whatever the session zone."""
+    since = (ts - ntz(dt.datetime(1970, 1, 1))).cast("interval second").cast("decimal(18,6)")
+    return F.timestamp_micros((since * 1_000_000).cast("bigint"))
+
+
+def from_utc(instant: Column) -> Column:
+    """An instant as zone-free UTC time, whatever the session zone."""
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return ntz(dt.datetime(1970, 1, 1)) + F.make_dt_interval(secs=seconds)
+
+
 def age_seconds(ts: Column, as_of: dt.datetime) -> Column:
     """Seconds from ts to as_of, with their fraction."""
     gap = ntz(as_of) - ts

@@ -1,7 +1,7 @@
 """Three poll windows as streams.
 
-``withWatermark`` needs a timestamp with a zone, so a stream of zone-free times is cast on
-its way in and back on its way out; the session zone must not change in between.
+``withWatermark`` needs an instant, so zone-free UTC times become instants on their way in and
+zone-free again on their way out. Windows are cut on UTC hours in any session zone.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from opsreports.functions.times import as_utc, from_utc
 from opsreports.operators.aggregates import counts_if
 
 
@@ -23,13 +24,13 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_t
 
 
 def _timed(stream: DataFrame, ts: str, late: str) -> DataFrame:
-    return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+    return stream.withColumn(ts, as_utc(F.col(ts))).withWatermark(ts, late)
 
 
 def _window_columns(df: DataFrame) -> DataFrame:
     bounds = {
-        "window_start": F.col("window.start").cast("timestamp_ntz"),
-        "window_end": F.col("window.end").cast("timestamp_ntz"),
+        "window_start": from_utc(F.col("window.start")),
+        "window_end": from_utc(F.col("window.end")),
     }
     return df.withColumns(bounds).drop("window")
 
@@ -65,7 +66,7 @@ def hourly_feedback(
 def payment_notices(stream: DataFrame, ts: str, appointment: str, late: str = "2 minutes") -> DataFrame:
     """One row per appointment among payments that arrive within the time of each other."""
     timed = _timed(stream, ts, late).dropDuplicatesWithinWatermark([appointment])
-    return timed.withColumn(ts, F.col(ts).cast("timestamp_ntz"))
+    return timed.withColumn(ts, from_utc(F.col(ts)))
 
 
 def run_to_files(view: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
