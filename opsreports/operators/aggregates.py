@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from opsreports.functions.money import MONEY, avg2, pct2, rate2
 from opsreports.functions.times import Window, day, hour_slot
+from opsreports.operators.joins import reshuffled
 
 TOTAL = "Total"
 
@@ -201,7 +202,7 @@ def concat_per_key(
         counted = counted.withColumn("_n", F.lit(1).cast("bigint"))
     present = F.when(F.col(value).isNotNull(), F.col("_n")).otherwise(0)
     large = counted.groupBy(*keys).agg(F.sum(present).alias("_all")).where(F.col("_all") > part_size)
-    sized = counted.join(large, keys, "left")
+    sized = counted.join(reshuffled(large, *keys), keys, "left")
     slices = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / part_size))
     units = sized.withColumn("_slice", F.explode(slices)).withColumn(
         "_copies", F.least(F.lit(part_size).cast("bigint"), F.col("_n") - F.col("_slice") * part_size).cast("int")
@@ -211,7 +212,7 @@ def concat_per_key(
         "part",
         F.when(F.col("_all").isNull() | F.col(value).isNull(), F.lit(0).cast("bigint")).otherwise(spread),
     )
-    listed = parted.groupBy(*keys, "part").agg(
+    listed = reshuffled(parted, *keys).groupBy(*keys, "part").agg(
         F.sort_array(
             F.collect_list(F.when(F.col(value).isNotNull(), F.struct(F.col(value).alias("v"), "_copies")))
         ).alias("_list")

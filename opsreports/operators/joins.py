@@ -3,7 +3,9 @@
 Nothing is broadcast by hand: a side is broadcast by Spark when its size, estimated or
 measured at run time, is under the session's threshold, and is sort-merged otherwise.
 A side used only for membership or for one value per key is first brought down to one
-row per key, which combines before its shuffle and can't fan out the other side.
+row per key, which combines before its shuffle and can't fan out the other side. That side
+is then shuffled for the join like any other (see ``reshuffled``), so that Spark can
+split a hot key of the larger side.
 """
 
 from __future__ import annotations
@@ -13,6 +15,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+def reshuffled(side: DataFrame, *keys: str) -> DataFrame:
+    """The same rows, shuffled afresh by the next join or aggregate on these keys.
+
+    Adaptive execution splits a skewed partition only if both inputs of a join are plain
+    shuffles, and takes the size of a side from its last one. An aggregated side hands its
+    partitioning on and so would keep both from happening; rebuilt keys don't, and such a
+    side is small. Likewise an aggregate by (key, part) must not settle for partitions
+    by key alone, where all parts of a hot key would meet.
+    """
+    return side.withColumns({k: F.when(F.col(k).isNotNull(), F.col(k)) for k in keys})
+
+
 def attach(
     fact: DataFrame,
     dim: DataFrame,
@@ -44,7 +58,7 @@ def attach_where(fact, dim, on, condition: Column, columns=(), how: str = "left"
 def attach_latest(fact: DataFrame, dim: DataFrame, on: Mapping[str, str], column: str, out: str) -> DataFrame:
     """Left join to the greatest value of a column per key."""
     (fact_key, dim_key), = on.items()
-    latest = dim.groupBy(dim_key).agg(F.max(column).alias(out))
+    latest = reshuffled(dim.groupBy(dim_key).agg(F.max(column).alias(out)), dim_key)
     return attach(fact, latest, {fact_key: dim_key}, [out])
 
 
@@ -55,7 +69,8 @@ def link_through(fact, bridge, dim, to_bridge, to_dim, columns) -> DataFrame:
 
 
 def _keys_of(df: DataFrame, column: str) -> DataFrame:
-    return df.select(F.col(column).alias("_member")).where(F.col("_member").isNotNull()).distinct()
+    members = df.select(F.col(column).alias("_member")).where(F.col("_member").isNotNull()).distinct()
+    return reshuffled(members, "_member")
 
 
 def keep_known(df: DataFrame, key: str, known: DataFrame, known_key: str) -> DataFrame:
@@ -84,7 +99,7 @@ def _one_per_key(dim: DataFrame, key: str, columns: Mapping[str, str], order: Se
     rank = F.struct(*order)
     chosen = pick(F.struct(*[F.col(c).alias(n) for c, n in columns.items()]), rank)
     one = dim.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_member")).agg(chosen.alias("_chosen"))
-    return one.select("_member", "_chosen.*")
+    return reshuffled(one.select("_member", "_chosen.*"), "_member")
 
 
 def lookup_first(
@@ -140,7 +155,7 @@ def match_template(
         ).alias("_opening"),
     )
     named = tries.join(first, "_opening").groupBy("_head").agg(F.min("_first").alias("_first"))
-    named = named.select("_head", F.col("_first.name").alias(out))
+    named = reshuffled(named.select("_head", F.col("_first.name").alias(out)), "_head")
     joined = messages.join(named, F.left(messages[text], F.lit(prefix)) == named["_head"], "left").drop("_head")
     return joined.withColumn(out, F.coalesce(F.col(out), F.lit("")))
 
@@ -170,7 +185,7 @@ def classify_membership(
     for rank, (label, frame, column) in enumerate(classes):
         part = _keys_of(frame, column).select("_member", F.struct(F.lit(rank), F.lit(label).alias("label")).alias("_c"))
         sets = part if sets is None else sets.unionByName(part)
-    best = sets.groupBy("_member").agg(F.min("_c").getField("label").alias(out))
+    best = reshuffled(sets.groupBy("_member").agg(F.min("_c").getField("label").alias(out)), "_member")
     joined = df.join(best, df[key] == best["_member"], "left").drop("_member")
     return joined.withColumn(out, F.coalesce(F.col(out), F.lit(default)))
 

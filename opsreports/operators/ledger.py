@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from opsreports.functions.money import MONEY
 from opsreports.functions.times import day
+from opsreports.operators.joins import reshuffled
 from opsreports.operators.running import id_block, running_total
 
 WIDE = "decimal(28,2)"
@@ -135,6 +136,7 @@ def ledger_no_expiry(
     summed = running_total(
         credits, [c["customer"]], [F.col(c["created"]), id_block(c["id"])], [c["created"], c["id"]], value, "_through"
     )
+    spent = reshuffled(spent, "_customer")
     rows = summed.join(spent, summed[c["customer"]] == spent["_customer"], "left").drop("_customer")
     rest = F.col("_through") - F.coalesce(F.col("_spent"), F.lit(0))
     return rows.withColumn(

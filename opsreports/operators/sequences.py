@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from opsreports.functions.text import first_clause
+from opsreports.operators.joins import reshuffled
 from opsreports.operators.running import id_block, id_levels, row_numbers, running_total
 
 
@@ -24,7 +25,7 @@ def rank_average(df: DataFrame, key: str, value: str, levels: Sequence[Column],
     counted = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("_ties"))
     through = running_total(counted, [key], levels, [value], F.col("_ties"), "_through")
     ranked = through.select(key, value, (F.col("_through") - (F.col("_ties") - 1) / 2).alias(out))
-    return df.join(ranked, [key, value])
+    return df.join(reshuffled(ranked, key, value), [key, value])
 
 
 def new_or_existing(
@@ -37,7 +38,7 @@ def new_or_existing(
     existing: str = "Existing patient",
 ) -> DataFrame:
     """Rows at one place, labelled by whether they are their patient's first visit anywhere."""
-    first = df.groupBy(F.col(patient).alias("_patient")).agg(F.min(visit).alias("_first"))
+    first = reshuffled(df.groupBy(F.col(patient).alias("_patient")).agg(F.min(visit).alias("_first")), "_patient")
     at_place = df.where(here)
     joined = at_place.join(first, at_place[patient] == first["_patient"])
     label = F.when(F.col(visit) == F.col("_first"), new).otherwise(existing)
@@ -54,9 +55,8 @@ def followup_pair(
     """
     row = F.struct(visit, *carried)
     first = df.where(trigger).groupBy(F.col(patient).alias("_patient")).agg(F.min_by(row, visit).alias("_first"))
-    later = df.where(follow).join(
-        first.select("_patient", F.col(f"_first.{visit}").alias("_from")), F.col(patient) == F.col("_patient")
-    ).where(F.col(visit) > F.col("_from"))
+    start = reshuffled(first.select("_patient", F.col(f"_first.{visit}").alias("_from")), "_patient")
+    later = df.where(follow).join(start, F.col(patient) == F.col("_patient")).where(F.col(visit) > F.col("_from"))
     second = later.groupBy(F.col(patient).alias("_patient")).agg(F.min_by(row, visit).alias("_second"))
     pairs = first.join(second, "_patient", "left")
     return pairs.select(
@@ -97,10 +97,10 @@ def comment_history(
     block = F.when(F.col("_least").isNotNull(), id_block(comment_id, part_size)).otherwise(zero)
     opening = F.coalesce(id_block("_least", part_size), zero)
     line = F.concat(F.coalesce(stamp.cast("string"), F.lit("")), F.lit(" : "), F.col(text), F.lit(" \n"))
-    lines = kept.join(large, lead, "left").select(
+    lines = kept.join(reshuffled(large, lead), lead, "left").select(
         lead, block.alias("part"), opening.alias("_opening"), F.struct(F.col(comment_id).alias("id"), line.alias("line")).alias("_line")
     )
-    grouped = lines.groupBy(lead, "part", "_opening").agg(F.sort_array(F.collect_list("_line")).alias("_lines"))
+    grouped = reshuffled(lines, lead).groupBy(lead, "part", "_opening").agg(F.sort_array(F.collect_list("_line")).alias("_lines"))
     first = F.col("part") == F.col("_opening")
     body = F.array_join(F.transform("_lines", lambda x: x["line"]), "")
     return grouped.select(
