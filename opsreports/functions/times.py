@@ -84,18 +84,20 @@ def age_seconds(ts: Column, as_of: dt.datetime) -> Column:
     return gap.cast("interval second").cast("decimal(18,6)").cast("double")
 
 
+def _clock_faces(padded: bool) -> Column:
+    """12AM, 1AM ... 11PM and 12AM again, as one constant array."""
+    faces = [f"{h % 12 or 12:0{2 if padded else 1}d}{'AM' if h < 12 else 'PM'}" for h in range(24)]
+    return F.array(*[F.lit(face) for face in [*faces, faces[0]]])
+
+
 def hour_label(hour: Column, padded: bool = False) -> Column:
-    """0..23 to 12AM..11PM."""
-    face = F.when(hour % 12 == 0, 12).otherwise(hour % 12).cast("string")
-    if padded:
-        face = F.lpad(face, 2, "0")
-    return F.concat(face, F.when(hour < 12, "AM").otherwise("PM"))
+    """0..24 to 12AM..11PM and 12AM; NULL for any other number."""
+    return F.try_element_at(_clock_faces(padded), hour + 1)
 
 
 def _hour_of(end: Column) -> Column:
     """Leading hour of 9:00, 09:00, 900 or 0900; NULL for any other shape."""
-    digits = F.regexp_extract(end, r"^(\d{1,2}):?\d{2}$", 1)
-    return F.when(digits != "", digits.cast("int"))
+    return F.nullif(F.regexp_extract(end, r"^(\d{1,2}):?\d{2}$", 1), F.lit("")).cast("int")
 
 
 def slot_label(slot: Column, padded: bool = False) -> Column:
@@ -105,27 +107,20 @@ def slot_label(slot: Column, padded: bool = False) -> Column:
     ``None`` stays ``None``, and a text of no known shape gives NULL.
     """
     start, end = F.split_part(slot, F.lit("-"), F.lit(1)), F.split_part(slot, F.lit("-"), F.lit(2))
+    typed = slot
     if padded:
         typed = F.concat_ws(
             "-",
             *[F.when(F.length(x) == 3, F.concat(F.lit("0"), x)).otherwise(x) for x in (start, end)],
         )
-    else:
-        typed = slot
-    first, last = _hour_of(start), _hour_of(end)
-    valid = (first < 24) & (last < 25)
-    made = F.concat(hour_label(first, padded), F.lit("-"), hour_label(last % 24, padded))
-    return (
-        F.when(slot == "None", slot)
-        .when(slot.contains("M"), typed)
-        .when(valid, made)
-    )
+    made = F.concat(hour_label(_hour_of(start), padded), F.lit("-"), hour_label(_hour_of(end), padded))
+    return F.when(slot == "None", slot).when(slot.contains("M"), typed).otherwise(made)
 
 
 def hour_slot(ts: Column, padded: bool = False) -> Column:
     """The slot a timestamp falls in: ``9AM-10AM``."""
     hour = F.hour(ts)
-    return F.concat(hour_label(hour, padded), F.lit("-"), hour_label((hour + 1) % 24, padded))
+    return F.concat(hour_label(hour, padded), F.lit("-"), hour_label(hour + 1, padded))
 
 
 def slot_ordinal(slot: Column) -> Column:

@@ -203,24 +203,20 @@ def concat_per_key(
     present = F.when(F.col(value).isNotNull(), F.col("_n")).otherwise(0)
     large = counted.groupBy(*keys).agg(F.sum(present).alias("_all")).where(F.col("_all") > part_size)
     sized = counted.join(reshuffled(large, *keys), keys, "left")
-    slices = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / part_size))
-    units = sized.withColumn("_slice", F.explode(slices)).withColumn(
-        "_copies", F.least(F.lit(part_size).cast("bigint"), F.col("_n") - F.col("_slice") * part_size).cast("int")
-    )
-    spread = F.pmod(F.xxhash64(value, "_slice"), F.ceil(F.col("_all") / part_size))
-    parted = units.withColumn(
-        "part",
-        F.when(F.col("_all").isNull() | F.col(value).isNull(), F.lit(0).cast("bigint")).otherwise(spread),
-    )
-    listed = reshuffled(parted, *keys).groupBy(*keys, "part").agg(
-        F.sort_array(
-            F.collect_list(F.when(F.col(value).isNotNull(), F.struct(F.col(value).alias("v"), "_copies")))
-        ).alias("_list")
-    )
-    repeated = F.flatten(F.transform("_list", lambda x: F.array_repeat(x["v"], x["_copies"])))
-    return listed.select(
-        *keys, "part", F.when(F.size("_list") > 0, F.array_join(repeated, separator)).alias(out)
+    zero, step = F.lit(0).cast("bigint"), F.lit(part_size).cast("bigint")
+    slices = F.when(F.col("_n") > step, F.sequence(zero, F.floor((F.col("_n") - 1) / step))).otherwise(F.array(zero))
+    copies = F.least(step, F.col("_n") - F.col("_slice") * step).cast("int")
+    tail = F.repeat(F.concat(F.lit(separator), F.col(value)), copies - 1)
+    spread = F.pmod(F.xxhash64(value, "_slice"), F.ceil(F.col("_all") / step))
+    units = sized.withColumn("_slice", F.explode(slices)).select(
+        *keys,
+        F.when(F.col("_all").isNull() | F.col(value).isNull(), zero).otherwise(spread).alias("part"),
+        F.col(value).alias("_value"),
+        F.concat(F.col(value), tail).alias("_text"),
     )
+    quoted = separator.replace("'", "\\'")
+    joined = F.expr(f"listagg(_text, '{quoted}') WITHIN GROUP (ORDER BY _value)")
+    return reshuffled(units, *keys).groupBy(*keys, "part").agg(joined.alias(out))
 
 
 def concat_distinct_per_key(df, keys, value: str, out: str, **options) -> DataFrame:

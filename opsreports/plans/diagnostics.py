@@ -16,6 +16,7 @@ from opsreports.operators.joins import attach, flag_known, keep_known, lookup_fi
 from opsreports.operators.sequences import followup_pair
 from opsreports.plans.common import with_facility_city, with_patient
 from opsreports.plans.inputs import Desk
+from opsreports.session import settle
 
 # Channels and visit kinds of the case report.
 OUTSIDE_SOURCES = ("Offline channel", "CAMP")
@@ -151,7 +152,9 @@ def advised_then_visited(desk: Desk) -> dict[str, DataFrame]:
         F.col("second_apptId").alias("nextApptId"), F.col("second_appointmentDate").alias("nextAppointmentDate"),
         latest("apptId").alias("_tested"),
     )
-    tests = attach(desk["appointment_test"], desk["test"], {"testId": "id"}, {"name": "testName"})
+    rows = settle(rows)
+    tests = keep_known(desk["appointment_test"], "appointmentId", rows, "_tested")
+    tests = attach(tests, desk["test"], {"testId": "id"}, {"name": "testName"})
     names = agg.concat_per_key(tests, ["appointmentId"], "testName", "testNames")
     named = attach(rows, names, {"_tested": "appointmentId"}, ["part", "testNames"]).drop("_tested")
     return {"pairs": named.orderBy("apptId", "part")}
