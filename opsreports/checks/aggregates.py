@@ -219,7 +219,7 @@ def max_per_key(t: Tables) -> DataFrame:
 
 @query(
     "d14_concat_per_key",
-    """SELECT l_orderkey, 0 AS part, string_agg(p_name, ',' ORDER BY p_name) AS names
+    """SELECT l_orderkey, 0::BIGINT AS part, string_agg(p_name, ',' ORDER BY p_name) AS names
        FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""",
 )
 def concat_per_key(t: Tables) -> DataFrame:
@@ -229,7 +229,7 @@ def concat_per_key(t: Tables) -> DataFrame:
 
 @query(
     "d15_concat_distinct_per_key",
-    """SELECT l_suppkey, l_returnflag, 0 AS part, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS brands
+    """SELECT l_suppkey, l_returnflag, 0::BIGINT AS part, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS brands
        FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""",
 )
 def concat_distinct_per_key(t: Tables) -> DataFrame:

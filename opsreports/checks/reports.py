@@ -314,7 +314,7 @@ def followup_queue_today(t: Tables) -> DataFrame:
        JOIN support_staff s ON s.email = member WHERE s.cityId <> m.cityId GROUP BY 1),
      z AS (SELECT cityId, count(*) AS queue_size FROM outbound_queue WHERE status = 'ENQUEUED' AND scheduledOn < TIMESTAMP '1998-06-17 12:00:00' GROUP BY 1)
      SELECT m.cityId AS "cityId", any_value(k.cityName) AS city, count(*) AS members, coalesce(any_value(n), 0) AS other_city_members,
-       CASE WHEN any_value(n) IS NULL THEN NULL ELSE 0 END AS part, any_value(names) AS other_city_agents, coalesce(any_value(queue_size), 0) AS queue_size
+       CASE WHEN any_value(n) IS NULL THEN NULL ELSE 0::BIGINT END AS part, any_value(names) AS other_city_agents, coalesce(any_value(queue_size), 0) AS queue_size
      FROM m LEFT JOIN e ON e.cityId = m.cityId LEFT JOIN z ON z.cityId = m.cityId JOIN city k ON k.id = m.cityId GROUP BY m.cityId""",
 )
 def followup_queue_agents(t: Tables) -> DataFrame:
@@ -505,7 +505,7 @@ def surgery_tracker(t: Tables) -> DataFrame:
      n AS (SELECT appointmentId, string_agg(name, ',' ORDER BY name) AS names FROM appointment_test LEFT JOIN test ON test.id = testId GROUP BY 1)
      SELECT a.patientId AS "patientId", coalesce(s.caseid, f.caseid) AS caseid, coalesce(s.number, f.number) AS number,
        strftime(f.appointmentDate, '%Y-%m-%d') AS "appointmentDate", x AS "apptId", y AS "nextApptId",
-       strftime(s.appointmentDate, '%Y-%m-%d') AS "nextAppointmentDate", CASE WHEN n.appointmentId IS NULL THEN NULL ELSE 0 END AS part, names AS "testNames"
+       strftime(s.appointmentDate, '%Y-%m-%d') AS "nextAppointmentDate", CASE WHEN n.appointmentId IS NULL THEN NULL ELSE 0::BIGINT END AS part, names AS "testNames"
      FROM a LEFT JOIN b ON b.patientId = a.patientId JOIN visit f ON f.apptId = x LEFT JOIN visit s ON s.apptId = y
        LEFT JOIN n ON n.appointmentId = coalesce(y, x)""",
 )
@@ -530,7 +530,7 @@ def satisfaction_messages(t: Tables) -> DataFrame:
 
 @query(
     "r17_staff_availability",
-    with_desk("staff", "staff_facility", "facility", "city") + f""" SELECT email, coalesce({CODE.format('k.cityName')}, 'NA') AS city, 0 AS part,
+    with_desk("staff", "staff_facility", "facility", "city") + f""" SELECT email, coalesce({CODE.format('k.cityName')}, 'NA') AS city, 0::BIGINT AS part,
        string_agg(DISTINCT aliasName, ',' ORDER BY aliasName) AS hospitals
      FROM staff s JOIN staff_facility m ON m.personnelId = s.personnelId JOIN facility h ON h.facilityId = m.facilityId
        LEFT JOIN city k ON k.id = s.cityId

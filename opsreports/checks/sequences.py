@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, functions as F
 
 from opsreports.checks.aggregates import WORKLOAD_SQL, workload
@@ -131,7 +129,7 @@ def first_event_user(t: Tables) -> DataFrame:
 
 @query(
     "e08_comment_history",
-    """SELECT conv_id, 0 AS part, 'User Comments: ' || chr(10) || ' ' ||
+    """SELECT conv_id, 0::BIGINT AS part, 'User Comments: ' || chr(10) || ' ' ||
               string_agg(turn::VARCHAR || ' : ' || text || ' ' || chr(10), '' ORDER BY turn) AS history
        FROM conversations WHERE text <> '' GROUP BY 1""",
 )

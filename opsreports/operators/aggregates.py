@@ -149,17 +149,12 @@ def share_of_row(df: DataFrame, columns: Sequence[str], suffix: str = "_pct") ->
     return df.withColumns({c + suffix: pct2(F.col(c), whole) for c in columns})
 
 
-def crosstab(
-    df: DataFrame, rows: Sequence[str], column: Column, values: Mapping[str, object], out_all: bool = False
-) -> DataFrame:
+def crosstab(df: DataFrame, rows: Sequence[str], column: Column, values: Mapping[str, object]) -> DataFrame:
     """Counts per row label and listed value, one column per value in the given order.
 
     The values are listed, so this is one aggregate and absent values keep their column.
     """
-    cells = counts_if({name: column == F.lit(value) for name, value in values.items()})
-    if out_all:
-        cells.append(count_rows().alias("n"))
-    return df.groupBy(*rows).agg(*cells)
+    return df.groupBy(*rows).agg(*counts_if({name: column == F.lit(value) for name, value in values.items()}))
 
 
 def service_mode_counts(

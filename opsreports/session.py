@@ -11,17 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 # Adaptive execution does the run-time work: it merges small shuffle partitions,
 # turns a join into a broadcast once a side is known to be small, and splits a
 # skewed join partition even if that costs one more shuffle.
-ADAPTIVE = {
+SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Stream state on local disk instead of the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Set the run-time settings the operators count on; returns the session."""
-    for key, value in ADAPTIVE.items():
+    for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 
