@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from opsreports.session import configure
 
@@ -17,6 +18,10 @@ AS_OF = dt.date(1998, 6, 17)
 EVENTS_AS_OF = dt.datetime(2024, 1, 17, 14, 25, 30)
 
 
+# Schemas seen so far by path: reading them from the footers again would cost a job each time.
+_schemas: dict[str, StructType] = {}
+
+
 class Tables:
     """The driver's tables by attribute: ``t.orders`` reads orders.parquet."""
 
@@ -27,7 +32,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
 
 def query(name: str, sql: str | None = None):

@@ -21,7 +21,7 @@ WINDOW_NAMES = ("month_to_date", "last_month", "last_week", "this_week")
 def read_table(t: Tables) -> DataFrame:
     out = None
     for name in ("orders", "lineitem", "events"):
-        rows = readers.read_table(t.spark, f"{t.sf_dir}/{name}.parquet")
+        rows = readers.read_table(t.spark, f"{t.sf_dir}/{name}.parquet", "parquet", getattr(t, name).schema)
         one = rows.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"))
         out = one if out is None else out.unionByName(one)
     return out
@@ -46,7 +46,8 @@ def read_windowed(t: Tables) -> DataFrame:
     "SELECT event_type, count(*) AS n, round(sum(value::DECIMAL(18,2))::DOUBLE, 2) AS value FROM events GROUP BY 1",
 )
 def read_warehouse(t: Tables) -> DataFrame:
-    rows = readers.read_table(t.spark, f"{t.sf_dir}/events.parquet", "parquet", t.events.schema)
+    t.events.createOrReplaceTempView("warehouse_events")
+    rows = readers.read_warehouse(t.spark, "warehouse_events")
     total = F.sum(F.col("value").cast("decimal(18,2)")).cast("double")
     return rows.groupBy("event_type").agg(F.count("*").alias("n"), total.alias("value"))
 

@@ -188,30 +188,34 @@ def concat_per_key(
     """Values per key as one sorted delimited text; a key without any value gives NULL.
 
     A key with more than ``part_size`` values comes as several rows, numbered by ``part``,
-    each a sorted share of its values: no cell has to hold an unbounded group. Equal values
-    travel as one row with a count.
+    each a sorted share of its values: no cell has to hold an unbounded group. In such a key
+    equal values travel as one row with a count. The other keys are shuffled once more after
+    the large ones have left, so that no task reads those for nothing.
     """
     keys = list(keys)
-    counted = df.groupBy(*keys, value).agg(count_rows().alias("_n"))
-    if distinct:
-        counted = counted.withColumn("_n", F.lit(1).cast("bigint"))
-    present = F.when(F.col(value).isNotNull(), F.col("_n")).otherwise(0)
-    large = counted.groupBy(*keys).agg(F.sum(present).alias("_all")).where(F.col("_all") > part_size)
-    sized = counted.join(reshuffled(large, *keys), keys, "left")
+    rows = df.select(*keys, F.col(value).alias("_value"))
+    rows = rows.distinct() if distinct else rows
+    sizes = rows.groupBy(*keys).agg(F.count("_value").alias("_all"))
+    large = reshuffled(sizes.where(F.col("_all") > part_size), *keys)
+    quoted = separator.replace("'", "\\'")
+    joined = lambda text: F.expr(f"listagg({text}, '{quoted}') WITHIN GROUP (ORDER BY _value)")
     zero, step = F.lit(0).cast("bigint"), F.lit(part_size).cast("bigint")
-    slices = F.when(F.col("_n") > step, F.sequence(zero, F.floor((F.col("_n") - 1) / step))).otherwise(F.array(zero))
+
+    plain = reshuffled(rows.join(large, keys, "left_anti"), *keys).groupBy(*keys).agg(joined("_value").alias(out))
+    plain = plain.select(*keys, zero.alias("part"), out)
+
+    counted = rows.where(F.col("_value").isNotNull()).join(large, keys)
+    counted = counted.groupBy(*keys, "_all", "_value").agg(count_rows().alias("_n"))
+    slices = counted.withColumn("_slice", F.explode(F.sequence(zero, F.floor((F.col("_n") - 1) / step))))
     copies = F.least(step, F.col("_n") - F.col("_slice") * step).cast("int")
-    tail = F.repeat(F.concat(F.lit(separator), F.col(value)), copies - 1)
-    spread = F.pmod(F.xxhash64(value, "_slice"), F.ceil(F.col("_all") / step))
-    units = sized.withColumn("_slice", F.explode(slices)).select(
+    units = slices.select(
         *keys,
-        F.when(F.col("_all").isNull() | F.col(value).isNull(), zero).otherwise(spread).alias("part"),
-        F.col(value).alias("_value"),
-        F.concat(F.col(value), tail).alias("_text"),
+        F.pmod(F.xxhash64("_value", "_slice"), F.ceil(F.col("_all") / step)).alias("part"),
+        "_value",
+        F.concat("_value", F.repeat(F.concat(F.lit(separator), "_value"), copies - 1)).alias("_text"),
     )
-    quoted = separator.replace("'", "\\'")
-    joined = F.expr(f"listagg(_text, '{quoted}') WITHIN GROUP (ORDER BY _value)")
-    return reshuffled(units, *keys).groupBy(*keys, "part").agg(joined.alias(out))
+    parts = reshuffled(units, *keys).groupBy(*keys, "part").agg(joined("_text").alias(out))
+    return plain.unionByName(parts)
 
 
 def concat_distinct_per_key(df, keys, value: str, out: str, **options) -> DataFrame:

@@ -90,22 +90,22 @@ def comment_history(
     several rows numbered by ``part``, cut at fixed id steps and so in order; only the first
     has the heading. Put end to end they are the whole text.
     """
+    line = F.concat(F.coalesce(stamp.cast("string"), F.lit("")), F.lit(" : "), F.col(text), F.lit(" \n"))
     kept = df.where(F.col(text).isNotNull() & (F.col(text) != ""))
+    lines = kept.select(lead, F.col(comment_id).alias("_id"), line.alias("_line"))
     sizes = kept.groupBy(lead).agg(F.count(F.lit(1)).alias("_all"), F.min(comment_id).alias("_least"))
-    large = sizes.where(F.col("_all") > part_size).drop("_all")
-    zero = F.lit(0).cast("bigint")
-    block = F.when(F.col("_least").isNotNull(), id_block(comment_id, part_size)).otherwise(zero)
-    opening = F.coalesce(id_block("_least", part_size), zero)
-    line = F.concat(F.coalesce(stamp.cast("string"), F.lit("")), F.lit(" : "), F.col(text), F.lit(" \n"))
-    lines = kept.join(reshuffled(large, lead), lead, "left").select(
-        lead, block.alias("part"), opening.alias("_opening"), F.struct(F.col(comment_id).alias("id"), line.alias("line")).alias("_line")
-    )
-    grouped = reshuffled(lines, lead).groupBy(lead, "part", "_opening").agg(F.sort_array(F.collect_list("_line")).alias("_lines"))
-    first = F.col("part") == F.col("_opening")
-    body = F.array_join(F.transform("_lines", lambda x: x["line"]), "")
-    return grouped.select(
-        lead, "part", F.concat(F.when(first, F.lit(heading)).otherwise(F.lit("")), body).alias("history")
+    large = reshuffled(sizes.where(F.col("_all") > part_size).drop("_all"), lead)
+    body = F.expr("listagg(_line, '') WITHIN GROUP (ORDER BY _id)")
+
+    plain = reshuffled(lines.join(large, lead, "left_anti"), lead).groupBy(lead).agg(body.alias("_body"))
+    plain = plain.select(lead, F.lit(0).cast("bigint").alias("part"), F.concat(F.lit(heading), "_body").alias("history"))
+
+    cut = lines.join(large, lead).select(
+        lead, id_block("_id", part_size).alias("part"), id_block("_least", part_size).alias("_first"), "_id", "_line"
     )
+    parts = reshuffled(cut, lead).groupBy(lead, "part", "_first").agg(body.alias("_body"))
+    opening = F.when(F.col("part") == F.col("_first"), F.lit(heading)).otherwise(F.lit(""))
+    return plain.unionByName(parts.select(lead, "part", F.concat(opening, "_body").alias("history")))
 
 
 def serial_number(df: DataFrame, order: str, out: str = "serial") -> DataFrame:
