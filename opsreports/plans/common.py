@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -11,6 +11,18 @@ from opsreports.operators.joins import attach
 from opsreports.plans.inputs import Desk
 
 
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def as_is(df: DataFrame) -> DataFrame:
+    """Default of a report's ``keep``, which is applied to the frames its results share.
+
+    Pass ``session.settle`` or ``DataFrame.persist`` when several results are taken, so that
+    the shared part is computed once.
+    """
+    return df
+
+
 def with_patient(
     rows: DataFrame, desk: Desk, patient_columns=(), customer_columns=(), how: str = "inner", known: str | None = None
 ) -> DataFrame:

@@ -14,7 +14,7 @@ from opsreports.operators import aggregates as agg
 from opsreports.operators.filters import between_dates, between_local_dates, differs
 from opsreports.operators.joins import attach, flag_known, keep_known, lookup_first
 from opsreports.operators.sequences import followup_pair
-from opsreports.plans.common import with_facility_city, with_patient
+from opsreports.plans.common import Keep, as_is, with_facility_city, with_patient
 from opsreports.plans.inputs import Desk
 from opsreports.session import settle
 
@@ -35,7 +35,7 @@ def created_by_agent(desk: Desk, agent_type: str) -> DataFrame:
 
 def diagnostic_cases(
     desk: Desk, as_of: dt.date, tenant: str = "MAIN", agent_type: str = "AGENT",
-    outside_sources: Sequence[str] = OUTSIDE_SOURCES,
+    outside_sources: Sequence[str] = OUTSIDE_SOURCES, keep: Keep = as_is,
 ) -> dict[str, DataFrame]:
     """Diagnostic leads and tests of yesterday and of the month, support team cases only.
 
@@ -64,6 +64,7 @@ def diagnostic_cases(
     done = done.withColumn("testName", F.coalesce("testName", F.lit("N.A")))
     done = flag_known(done, "leadId", theirs, "leadId", "isCsUser", yes="no", no="yes")
 
+    cases, done = keep(cases), keep(done)
     own_cases, own_done = cases.where(F.col("isCsUser") == "yes"), done.where(F.col("isCsUser") == "yes")
     fresh = own_done.where(differs(F.col("appointmentCreationType"), FOLLOW_UP))
     again = own_done.where(
@@ -101,7 +102,7 @@ def diagnostic_cases(
 
 
 def diagnostic_week(
-    desk: Desk, window: Window, city_ids: Sequence[int] = (1, 2, 3, 4)
+    desk: Desk, window: Window, city_ids: Sequence[int] = (1, 2, 3, 4), keep: Keep = as_is
 ) -> dict[str, DataFrame]:
     """Tests advised and done in one window, by agent and by hospital (dim, label), with a colour band.
 
@@ -130,6 +131,7 @@ def diagnostic_week(
         "status": code_to_label_strict(F.col("doctorConsultationStatus"), CONSULTATION_STATUS_WEEKLY, "None"),
         "date": F.to_date("appointmentDate"),
     })
+    rows = keep(rows)
     table = agg.visit_summary(
         rows, {"agent": "agent", "hospital": "aliasName"}, is_test, is_visit, "consultationFee",
         F.col("recommended") == "YES", F.col("diagnostics_done") == "Yes",

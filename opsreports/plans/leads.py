@@ -14,7 +14,7 @@ from opsreports.operators.filters import between_local_dates, matches
 from opsreports.operators.joins import (
     attach, classify_membership, keep_known, lookup_by_source, lookup_last, replace_column,
 )
-from opsreports.plans.common import with_case_city, with_patient
+from opsreports.plans.common import Keep, as_is, with_case_city, with_patient
 from opsreports.plans.inputs import Desk
 from opsreports.sources.writers import conform
 
@@ -62,7 +62,7 @@ DIRECT_SOURCES = ("Exotel", "Whatsapp")
 CAMPAIGN_SOURCE = "Website Submit"
 
 
-def channel_tracking(desk: Desk, as_of: dt.date) -> dict[str, DataFrame]:
+def channel_tracking(desk: Desk, as_of: dt.date, keep: Keep = as_is) -> dict[str, DataFrame]:
     """Leads of the trailing week and the share with a channel name, by city and source."""
     week, = pick_windows(as_of, "trailing_week")
     sources = (*DIRECT_SOURCES, CAMPAIGN_SOURCE)
@@ -80,7 +80,7 @@ def channel_tracking(desk: Desk, as_of: dt.date) -> dict[str, DataFrame]:
     tagged = tagged.withColumn("caseId", F.col("eventLabel").try_cast("bigint"))
     cases = lookup_last(cases, "caseId", tagged, "caseId", {"campaign": "campaign"}, ["rowNo"])
     leads = lookup_by_source(cases, "leadSource", DIRECT_SOURCES, "linked", "campaign", "channelName")
-    leads = leads.withColumn("date", local_date(F.col("createdOn")))
+    leads = keep(leads.withColumn("date", local_date(F.col("createdOn"))))
     cities = list(CITY_CODES_5.values())
     table = agg.coverage_pct(leads.where(F.col("city").isin(*cities)), ["city", "leadSource"], "channelName")
     return {"coverage": agg.with_all_labels(table, [], {"city": cities, "leadSource": sources}), "leads": leads}

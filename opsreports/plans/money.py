@@ -19,7 +19,7 @@ from opsreports.operators.filters import between_local_dates, within_last
 from opsreports.operators.joins import attach, attach_latest, attach_where, flag_known, keep_known
 from opsreports.operators.ledger import ledger_balances
 from opsreports.operators.sequences import first_per_key, serial_number
-from opsreports.plans.common import with_case_city, with_facility_city, with_patient
+from opsreports.plans.common import Keep, as_is, with_case_city, with_facility_city, with_patient
 from opsreports.plans.inputs import Desk
 from opsreports.session import settle
 from opsreports.sources.writers import conform
@@ -65,10 +65,10 @@ def first_consultations(desk: Desk, wallet_mode: str, excluded_hospitals: Sequen
 
 def consultation_fees(
     desk: Desk, as_of: dt.date, wallet_mode: str = "WALLET", cities: Sequence[str] = FEE_CITIES,
-    excluded_hospitals: Sequence[int] = (),
+    excluded_hospitals: Sequence[int] = (), keep: Keep = as_is,
 ) -> dict[str, DataFrame]:
     """Fee bands by day (four days and month to date) and by week, with shares and averages, per city."""
-    detail = first_consultations(desk, wallet_mode, excluded_hospitals).where(F.col("city").isin(*cities))
+    detail = keep(first_consultations(desk, wallet_mode, excluded_hospitals).where(F.col("city").isin(*cities)))
     labels = {"bucket": fee_bucket_labels(wallet_mode)}
     days, weeks = day_windows(as_of), week_windows(as_of)
     when = F.col("appointmentDate")
@@ -130,7 +130,8 @@ def payments(desk: Desk, first: dt.date, last: dt.date, once_per_card_payment: b
 
 
 def payment_mix(
-    desk: Desk, as_of: dt.date, cities: Sequence[str] | None = None, once_per_card_payment: bool = False
+    desk: Desk, as_of: dt.date, cities: Sequence[str] | None = None, once_per_card_payment: bool = False,
+    keep: Keep = as_is,
 ) -> dict[str, DataFrame]:
     """Share of each payment class within service and window, per city, all windows from one scan."""
     windows = pick_windows(as_of, "month_to_date", "last_month", "last_week", "this_week")
@@ -138,6 +139,7 @@ def payment_mix(
     detail = payments(desk, first, last, once_per_card_payment)
     if cities is not None:
         detail = detail.where(F.col("city").isin(*cities))
+    detail = keep(detail)
     counts = agg.service_mode_counts(detail, "city", "service", "modeClass", F.col("date"), windows, PAY_MODE_CLASSES)
     full = agg.with_all_labels(counts, ["city"], {"service": SERVICES, "window": [w.name for w in windows]})
     return {"mix": agg.share_of_row(full, PAY_MODE_CLASSES), "detail": detail}

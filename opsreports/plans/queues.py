@@ -12,7 +12,7 @@ from opsreports.functions.times import age_seconds, day, from_epoch_ms, slot_lab
 from opsreports.operators import aggregates as agg
 from opsreports.operators.filters import between_dates, due_before
 from opsreports.operators.joins import attach, attach_slot_counts, member_home_counts, members_elsewhere
-from opsreports.plans.common import with_patient
+from opsreports.plans.common import Keep, as_is, with_patient
 from opsreports.plans.inputs import Desk
 from opsreports.sources.readers import explode_json
 
@@ -49,24 +49,24 @@ def _slot_table(slots: DataFrame, measures: list[str]) -> DataFrame:
 
 def followup_queue_next_day(
     desk: Desk, as_of: dt.date, queue: str, system_user: str, tenant: str = "MAIN",
-    cities: Mapping[int, str] = QUEUE_CITIES,
+    cities: Mapping[int, str] = QUEUE_CITIES, keep: Keep = as_is,
 ) -> dict[str, DataFrame]:
     """Workload of tomorrow's follow-up slots per city."""
-    leads = followups(desk, as_of + dt.timedelta(days=1), cities, tenant, system_user, padded=True)
+    leads = keep(followups(desk, as_of + dt.timedelta(days=1), cities, tenant, system_user, padded=True))
     slots = agg.slot_workload(leads, ["city", "slot"], "assignedTo", "reason", queue).drop("agents_needed")
     return {"slots": _slot_table(slots, ["queued", "pending", "with_agent"]), "leads": leads}
 
 
 def followup_queue_today(
     desk: Desk, as_of: dt.datetime, queue: str, system_user: str, tenant: str = "MAIN",
-    team: str = "OUTBOUND", cities: Mapping[int, str] = QUEUE_CITIES,
+    team: str = "OUTBOUND", cities: Mapping[int, str] = QUEUE_CITIES, keep: Keep = as_is,
 ) -> dict[str, DataFrame]:
     """Workload of today's slots with scheduled calls, and the agents and queue behind them.
 
     ``as_of`` is local time, as is scheduledOn.
     """
     today = as_of.date()
-    leads = followups(desk, today, cities, tenant, system_user, padded=False)
+    leads = keep(followups(desk, today, cities, tenant, system_user, padded=False))
     slots = agg.slot_workload(leads, ["city", "slot"], "assignedTo", "reason", queue).drop("agents_needed")
 
     waiting = desk["outbound_queue"].where((F.col("status") == "ENQUEUED") & F.col("cityId").isin(*cities))

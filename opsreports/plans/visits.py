@@ -15,7 +15,7 @@ from opsreports.operators.filters import min_age_days, not_pair, previous_hour,
 from opsreports.operators.joins import attach, drop_known, keep_known
 from opsreports.operators.running import id_block
 from opsreports.operators.sequences import new_or_existing, rank_average
-from opsreports.plans.common import with_case_city, with_patient
+from opsreports.plans.common import Keep, as_is, with_case_city, with_patient
 from opsreports.plans.inputs import Desk
 from opsreports.session import settle
 
@@ -124,7 +124,7 @@ LEGS = [(f"leg{i}Agent_email", f"leg{i}Status") for i in (1, 2, 3)]
 
 def call_view(
     desk: Desk, as_of: dt.datetime, city: str, excluded_type: str = "AGENT",
-    older: dt.timedelta = dt.timedelta(minutes=30), newer: dt.timedelta = dt.timedelta(minutes=20),
+    older: dt.timedelta = dt.timedelta(minutes=30), newer: dt.timedelta = dt.timedelta(minutes=20), keep: Keep = as_is,
 ) -> dict[str, DataFrame]:
     """Inbound calls of one city, 30 to 20 minutes ago: by status and leg, by status and message, by agent.
 
@@ -135,6 +135,7 @@ def call_view(
         & (F.col("city") == city)
         & (F.col("personnelType") != excluded_type)
     )
+    calls = keep(calls)
     legs = agg.unpivot_pairs(calls, LEGS, "agent", "status")
     by_agent = agg.crosstab(legs, ["agent"], F.col("status"), AGENT_STATUS)
     return {

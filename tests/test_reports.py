@@ -8,6 +8,7 @@ import pytest
 from opsreports.functions.times import Window
 from opsreports.plans import diagnostics, leads, money, queues, visits
 from opsreports.plans.inputs import SCHEMAS, empty
+from opsreports.session import settle
 
 DAY = dt.date(2024, 6, 15)
 NOON = dt.datetime(2024, 6, 15, 12, 0)
@@ -69,6 +70,20 @@ def test_empty_inputs_give_typed_frames(spark, name):
             assert rows == []
 
 
+@pytest.mark.parametrize("name,run", [
+    ("fees", lambda d, **k: money.consultation_fees(d, DAY, **k)),
+    ("cases", lambda d, **k: diagnostics.diagnostic_cases(d, DAY, **k)),
+    ("calls", lambda d, **k: visits.call_view(d, NOON, "Hyderabad", **k)),
+])
+def test_settled_shared_frames_change_nothing(spark, name, run):
+    desk = fee_desk(spark, (1, 1, dt.date(2024, 6, 14), "50"), (2, 2, dt.date(2024, 6, 3), "150"))
+    desk.rows["call_summary"] = [{"call_created_on": NOON - dt.timedelta(minutes=25), "city": "Hyderabad", "personnelType": "X",
+                                  "finalDetailedStatus": "s", "leg1Agent_email": "a", "leg1Status": "busy"}]
+    plain, kept = run(desk), run(desk, keep=settle)
+    for key in plain:
+        assert sorted(map(repr, plain[key].collect())) == sorted(map(repr, kept[key].collect()))
+
+
 def visit(i, patient, day, fee, **more):
     return [
         {"id": i, "leadId": i, "hospitalId": 1, "appointmentDate": day, "createdOn": day, "consultationFee": fee,
