@@ -11,8 +11,13 @@ have taken is itself a prefix of length P(i) of the customer's debit line:
 
 with D(t) the debits dated before t. Credits of one customer, created day and end day
 follow each other in the order, so they act as one lump, and debits of one day as one
-sum. The fold per customer therefore runs over calendar days, however many rows a
-customer has; both sums are partial aggregates.
+sum. The fold per customer therefore runs over lumps, however many rows a customer has;
+both sums are partial aggregates.
+
+A credit still valid on as_of can take any debit. So the first valid lump that is not used
+up has taken the last of the debits: the valid lumps before it are empty and those after
+it untouched. The fold only has to find this *edge*, and only the rows of the edge lump
+need an order among themselves.
 """
 
 from __future__ import annotations
@@ -26,10 +31,9 @@ from opsreports.functions.money import MONEY
 from opsreports.functions.times import day
 from opsreports.operators.joins import reshuffled
 from opsreports.operators.running import id_block, running_total
+from opsreports.session import settle
 
 WIDE = "decimal(28,2)"
-
-
 LUMP = ("customer", "created", "end")
 
 
@@ -49,31 +53,28 @@ def _open_debits(lumps: DataFrame, daily: DataFrame) -> DataFrame:
     return line.where(F.col("side") == 0).select(*LUMP, "lump", "open")
 
 
-def _lump_left(lumps: DataFrame, as_of: dt.date) -> DataFrame:
-    """Lumps still valid on as_of that have something left, with how much."""
+def _edges(lumps: DataFrame, as_of: dt.date) -> DataFrame:
+    """Per customer the edge lump: its key, its size and what is left of it."""
     step = F.struct(
         F.col("created"), F.col("end"), F.col("lump"), F.col("open"), (F.col("end") >= day(as_of)).alias("valid")
     )
     per_customer = lumps.groupBy("customer").agg(F.sort_array(F.collect_list(step)).alias("steps"))
-    left_type = "array<struct<created:date,end:date,lump:decimal(28,2),left:decimal(28,2)>>"
-    start = F.struct(
-        F.lit(0).cast(WIDE).alias("taken"), F.array().cast(left_type).alias("left")
-    )
+    edge_type = "struct<created:date,end:date,lump:decimal(28,2),left:decimal(28,2)>"
+    start = F.struct(F.lit(0).cast(WIDE).alias("taken"), F.lit(None).cast(edge_type).alias("edge"))
 
     def fold(state, credit):
-        room = F.least(state["taken"] + credit["lump"], credit["open"])
-        taken = F.greatest(state["taken"], room).cast(WIDE)
-        rest = (credit["lump"] - (taken - state["taken"])).cast(WIDE)
-        entry = F.array(
-            F.struct(
-                credit["created"].alias("created"), credit["end"].alias("end"),
-                credit["lump"].alias("lump"), rest.alias("left"),
-            )
-        ).cast(left_type)
-        kept = F.when(credit["valid"] & (rest > 0), F.concat(state["left"], entry)).otherwise(state["left"])
-        return F.struct(taken.alias("taken"), kept.alias("left"))
+        wanted = (state["taken"] + credit["lump"]).cast(WIDE)
+        taken = F.greatest(state["taken"], F.least(wanted, credit["open"]))
+        here = F.struct(
+            credit["created"].alias("created"), credit["end"].alias("end"), credit["lump"].alias("lump"),
+            (wanted - credit["open"]).cast(WIDE).alias("left"),
+        ).cast(edge_type)
+        found = credit["valid"] & (wanted > credit["open"])
+        edge = F.when(state["edge"].isNotNull(), state["edge"]).when(found, here)
+        return F.struct(taken.cast(WIDE).alias("taken"), edge.alias("edge"))
 
-    return per_customer.select("customer", F.inline(F.aggregate("steps", start, fold, lambda s: s["left"])))
+    edge = F.aggregate("steps", start, fold, lambda s: s["edge"])
+    return per_customer.select("customer", edge.alias("edge")).where(F.col("edge").isNotNull())
 
 
 def ledger_balances(
@@ -83,12 +84,14 @@ def ledger_balances(
     credit: str = "CREDITED",
     debit: str = "DEBITED",
 ) -> DataFrame:
-    """The credits of a ledger with what is left of each on as_of, as ``balance``.
+    """The credits made before as_of with what is left of each by then, as ``balance``.
 
     ``columns`` names id, customer, kind, amount, created (date) and end (date) in
-    ``entries``; the id is a unique integer. An expired credit has balance 0.
+    ``entries``; the id is a unique integer. An expired credit has balance 0. The edges, one
+    narrow row per customer, are worked out at once and settled, as three branches read them.
     """
     c = columns
+    entries = entries.where(F.col(c["created"]) < day(as_of))
     amount = F.col(c["amount"]).cast(MONEY)
     keys = {"customer": c["customer"], "created": c["created"], "end": c["end"]}
     credits = entries.where(F.col(c["kind"]) == credit)
@@ -96,31 +99,26 @@ def ledger_balances(
         F.col(c["customer"]).alias("customer"), F.col(c["created"]).alias("date")
     ).agg(F.sum(amount).cast(WIDE).alias("used"))
 
-    # The rows of a lump in id blocks: their sums make the lump, and each block's start in it.
-    block = id_block(c["id"])
-    blocks = credits.groupBy(*[F.col(v).alias(k) for k, v in keys.items()], block.alias("_block")).agg(
-        F.sum(amount).cast(WIDE).alias("_sum")
-    )
-    lumps = blocks.groupBy(*LUMP).agg(F.sum("_sum").cast(WIDE).alias("lump"))
-    left = _lump_left(_open_debits(lumps, daily), as_of)
-    before = W.partitionBy(*LUMP).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    starts = blocks.withColumn("_start", F.coalesce(F.sum("_sum").over(before), F.lit(0)).cast(WIDE)).drop("_sum")
-    starts = starts.join(left, list(LUMP)).withColumn("_gone", F.col("lump") - F.col("left"))
-    starts = starts.select(*[F.col(k).alias(f"_{k}") for k in LUMP], F.col("_block").alias("_of"), "_start", "_gone")
-
-    # A lump gives up its oldest credits first. One shuffle of the rows serves window and join.
-    rows = credits.withColumn("_block", block)
-    inside = W.partitionBy(*keys.values(), "_block").orderBy(c["id"]).rowsBetween(W.unboundedPreceding, 0)
-    rows = rows.withColumn("_run", F.sum(amount.cast(WIDE)).over(inside))
-    joined = rows.join(
-        starts,
-        (F.col(c["customer"]) == F.col("_customer")) & (F.col(c["created"]) == F.col("_created"))
-        & (F.col(c["end"]) == F.col("_end")) & (F.col("_block") == F.col("_of")),
-        "left",
+    lumps = credits.groupBy(*[F.col(v).alias(k) for k, v in keys.items()]).agg(F.sum(amount).cast(WIDE).alias("lump"))
+    edges = settle(_edges(_open_debits(lumps, daily), as_of))
+    edges = edges.select(F.col("customer").alias("_customer"), F.col("edge").alias("_edge"))
+    rows = credits.join(edges, credits[c["customer"]] == edges["_customer"], "left").drop("_customer")
+
+    created, end = F.col(c["created"]), F.col(c["end"])
+    same_day = created == F.col("_edge.created")
+    at_edge = F.coalesce(same_day & (end == F.col("_edge.end")), F.lit(False))
+    behind = F.coalesce((created > F.col("_edge.created")) | (same_day & (end > F.col("_edge.end"))), F.lit(False))
+    untouched = behind & (end >= day(as_of))
+    plain = rows.where(~at_edge).withColumn("balance", F.when(untouched, amount).otherwise(F.lit(0)).cast(MONEY))
+
+    # A lump gives up its oldest credits first. There is one edge lump per customer.
+    cut = running_total(
+        rows.where(at_edge), [c["customer"]], [id_block(c["id"])], [c["id"]], amount.cast(WIDE), "_through"
     )
-    rest = F.least(amount, F.greatest(F.lit(0), F.col("_run") + F.col("_start") - F.col("_gone")))
-    balance = F.coalesce(rest, F.lit(0)).cast(MONEY)
-    return joined.withColumn("balance", balance).select(*entries.columns, "balance")
+    gone = F.col("_edge.lump") - F.col("_edge.left")
+    rest = F.least(amount, F.greatest(F.lit(0), F.col("_through") - gone)).cast(MONEY)
+    cut = cut.withColumn("balance", rest).drop("_through")
+    return plain.unionByName(cut).drop("_edge")
 
 
 def ledger_no_expiry(

