@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsreports.llm import encoding, language, packing
+from opsreports.llm import covertree, encoding, language, packing, pii, secrets
 from opsreports.llm.common import table
-from opsreports.session import configure
+from opsreports.session import configure, fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -64,3 +64,34 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of 2048 tokens."""
     out = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its number of near vectors of the same label and its component."""
+    return covertree.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, by a ledger that this run begins."""
+    docs = table(spark, sf_dir, "documents")
+    ledger = secrets.BlobLedger(spark, fresh_dir(spark, "ledger"))
+    ledger.update(docs)
+    base = F.filter("spans", lambda s: s["rank"] < len(secrets.BASE))
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return ledger.spans(docs).select(
+        "doc_id", *[number(r.kind) for r in secrets.BASE], F.sha2(secrets.joined(base), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"),
+    )
+
+
+#: For the checks only: real runs pass a key of their own.
+CHECK_KEY = "check"
+
+
+@query
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.pseudonymise(docs, CHECK_KEY, count_col="n_replaced").select("doc_id", "text", "n_replaced")
