@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsreports.llm import covertree, encoding, language, packing, pii, secrets
+from opsreports.llm import covertree, encoding, language, packing, pii, secrets, sketches
 from opsreports.llm.common import table
 from opsreports.session import configure, fresh_dir
 
@@ -95,3 +95,15 @@ def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced."""
     docs = table(spark, sf_dir, "documents")
     return pii.pseudonymise(docs, CHECK_KEY, count_col="n_replaced").select("doc_id", "text", "n_replaced")
+
+
+@query
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every document and of its edited version, and how like they are, and the next document."""
+    rows = sketches.compare_versions(table(spark, sf_dir, "documents"))
+    near = lambda other, apart: sketches.likeness(F.col("own"), F.col(other), F.col(apart))
+    return rows.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), sketches.written(F.col("own_cells")).alias("fingerprint"),
+        sketches.written(F.col("changed_cells")).alias("edited_fingerprint"), near("changed", "to_edited").alias("near_edited"),
+        near("following", "to_next").alias("near_next"),
+    )
