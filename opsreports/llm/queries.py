@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsreports.llm import covertree, encoding, language, packing, pii, secrets, sketches
+from opsreports.llm import covertree, encoding, language, packing, pii, repeats, secrets, sketches
 from opsreports.llm.common import table
 from opsreports.session import configure, fresh_dir
 
@@ -107,3 +107,14 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         sketches.written(F.col("changed_cells")).alias("edited_fingerprint"), near("changed", "to_edited").alias("near_edited"),
         near("following", "to_next").alias("near_next"),
     )
+
+
+@query
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses when bytes go that lie in a 100-byte string seen before."""
+    found = repeats.find_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.coalesce(F.sha2("kept", 256), "address").alias("kept_sha256"),
+    )
