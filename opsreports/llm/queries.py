@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsreports.llm import covertree, encoding, language, packing, pii, repeats, secrets, sketches
+from opsreports.llm import covertree, encoding, jaccard, language, packing, pii, repeats, secrets, sketches
 from opsreports.llm.common import table
 from opsreports.session import configure, fresh_dir
 
@@ -118,3 +118,9 @@ def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
         F.coalesce(F.sha2("kept", 256), "address").alias("kept_sha256"),
     )
+
+
+@query
+def op1_similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the smallest one it reaches over similar shingle sets."""
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
