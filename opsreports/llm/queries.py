@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsreports.llm import covertree, encoding, jaccard, language, packing, pii, repeats, secrets, sketches
+from opsreports.llm import covertree, encoding, jaccard, language, packing, pages, pii, repeats, secrets, sketches
 from opsreports.llm.common import table
 from opsreports.session import configure, fresh_dir
 
@@ -124,3 +124,10 @@ def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the smallest one it reaches over similar shingle sets."""
     return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    out = pages.extract(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "nearest", "n_shared")
