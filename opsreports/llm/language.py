@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -59,6 +59,7 @@ def learn(
 
 def identify(
     df: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", margin: float = 0.01,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Rows (id, lang_pred, score, rejected): each whole text gets the language whose dictionary makes it smallest.
 
@@ -68,9 +69,10 @@ def identify(
 
     Null texts and texts without a letter: ``und``, score 0, rejected. With a single language learned its
     score is 1; with none all are ``und``. Repeated rows come out each for itself, a null id stays null,
-    other columns are ignored.
+    other columns are ignored but for those named in ``keep``, which come first as they are.
     """
-    kind = df.schema[id_col].dataType.simpleString()
+    kept = df.select(*keep, F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-2])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -96,11 +98,13 @@ def identify(
             return makers[best][0], score, score < margin
 
         for batch in batches:
-            got = [predict(t) for t in batch.column(1).to_pylist()]
+            got = [predict(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()),
+                [*batch.columns[:-1], pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()),
                  pa.array([g[2] for g in got], pa.bool_())],
-                names=[id_col, "lang_pred", "score", "rejected"],
+                names=[*batch.schema.names[:-1], "lang_pred", "score", "rejected"],
             )
 
-    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, rejected boolean")
+    id_kind = df.schema[id_col].dataType.simpleString()
+    found = kept.mapInArrow(run, f"{kinds}{', ' if keep else ''}_id {id_kind}, lang_pred string, score double, rejected boolean")
+    return found.drop("_id") if id_col in keep else found.withColumnRenamed("_id", id_col)

@@ -170,11 +170,11 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, chunk: int = 20_000) -> DataFrame:
-    """Rows (id, n_bytes, address, spans, kept): what each document loses if every byte goes that lies in a string of
+    """Rows (id, n_bytes, address, spans, kept, kept_text): what each document loses if every byte goes that lies in a string of
     ``length`` bytes which also starts earlier (smaller id, or the same document and an earlier start).
 
     ``address``: SHA-256 of the text's UTF-8 bytes. ``spans``: array<struct<start, end>> of the maximal removed runs.
-    ``kept``: the bytes that remain, null where nothing is removed. Whole copies of an earlier document need no search. Contexts
+    ``kept``: the bytes that remain, null where nothing is removed; ``kept_text``: the same as text, without characters cut in two. Whole copies of an earlier document need no search. Contexts
     equal to one seen before in a task are settled before the shuffle. Under an anchor, what stays in memory are the
     contexts that hold a first occurrence; the others stream past.
 
@@ -279,8 +279,9 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
                 spans.append(merged)
             yield pa.RecordBatch.from_arrays(
-                [ids, addresses, pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
-                names=["id", "address", "spans", "kept"],
+                [ids, addresses, pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary()),
+                 pa.array([k.decode(errors="ignore") for k in kept], pa.string())],
+                names=["id", "address", "spans", "kept", "kept_text"],
             )
 
     picked = rows.where("id IS NOT NULL").mapInArrow(pick, f"hash long, id {kind}, at long")
@@ -295,7 +296,7 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     span = "struct<start:bigint,end:bigint>"
     gathered = found.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     stripped = chosen.select("id", "address", "text").dropDuplicates(["id", "address"]).join(gathered, "id").mapInArrow(
-        strip, f"id {kind}, address string, spans array<{span}>, kept binary"
+        strip, f"id {kind}, address string, spans array<{span}>, kept binary, kept_text string"
     )
     copied = F.col("id") != F.col("first_id")
     return addressed.join(first.select("address", F.col("id").alias("first_id")), "address", "left").join(stripped, ["id", "address"], "left").select(
@@ -303,4 +304,5 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.when(copied, F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))))
         .otherwise(F.coalesce("spans", F.array().cast(f"array<{span}>"))).alias("spans"),
         F.when(copied, F.lit(b"")).otherwise(F.col("kept")).alias("kept"),
+        F.when(copied, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"),
     )
