@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 
 UNKNOWN = "und"
+#: Shorter texts are repeated up to this many bytes: zstandard stores what it can't make smaller, and sizes would tie.
+LEAST = 256
 # Everything of ASCII but letters becomes a space, so that digits, signs and lines carry no weight.
 _LETTERS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
@@ -90,6 +92,8 @@ def identify(
             if not text or not makers or not any(map(str.isalpha, text)):
                 return UNKNOWN, 0.0, True
             data = normal(text)
+            if len(data) < LEAST:
+                data *= LEAST // len(data) + 1
             chunks = [data[i : i + model.chunk] for i in range(0, len(data), model.chunk)]
             sizes = [sum(len(maker.compress(c)) for c in chunks) for _, maker in makers]
             best = min(range(len(sizes)), key=sizes.__getitem__)

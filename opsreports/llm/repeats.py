@@ -229,6 +229,7 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key_type = None
         rows_: list[tuple] = []  # (hash, id, at, around, reported)
+        before: tuple | None = None
 
         def work(part: list[tuple]) -> tuple[pa.RecordBatch, np.ndarray]:
             at = np.array([p[2] for p in part], np.int64)
@@ -251,7 +252,10 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([d[0] for d in done], key_type), *[pa.array([d[i] for d in done], pa.int64()) for i in (1, 2)]], names=["id", "start", "end"]
                 )
-            rows_ += [p for p in new if p[3] is not None]
+            for p in new:
+                if p[3] is not None and p[:3] != before:  # else the same place of a repeated row
+                    rows_.append(p)
+                    before = p[:3]
             if len(rows_) >= chunk:
                 whole = next((i for i in range(len(rows_) - 1, 0, -1) if rows_[i][0] != rows_[i - 1][0]), 0)
                 if whole:
