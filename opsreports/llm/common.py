@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,35 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of the filter by which rows that aren't needed stay out of a shuffle. Fixed, so what is sent to tasks doesn't grow.
+FILTER_BITS = 1 << 25
+
+
+def _slot(column: str):
+    """A place in the filter, counted from 1 as Spark's bitmap functions do."""
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1
+
+
+def passing(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows (id, text) whose id is in ``ids``, and maybe some others: a filter before a join, at no shuffle.
+
+    While the ids are few against the filter's bits few others pass; beyond that more do. The join decides either way.
+    """
+    slots = ids.select(_slot("id").alias("s")).groupBy(F.bitmap_bucket_number("s").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
+    needed = np.zeros(FILTER_BITS >> 3, np.uint8)
+    for row in slots.collect():
+        bits = np.frombuffer(bytes(row["bits"]), np.uint8)
+        needed[(row["b"] - 1) * len(bits) : row["b"] * len(bits)] = bits
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = batch.column(batch.num_columns - 1).to_numpy() - 1
+            wanted = needed[slot >> 3] >> (slot & 7).astype(np.uint8) & 1
+            yield batch.select(range(batch.num_columns - 1)).filter(pa.array(wanted.astype(bool)))
+
+    return rows.withColumn("_slot", _slot("id")).mapInArrow(run, rows.schema)
+
+
 def in_order(df: DataFrame, order: Sequence[str], within: Sequence[str] = (), take: Sequence[str] = ()) -> DataFrame:
     """``df`` with ``next_<c>`` for each column ``c`` of ``take``: the value in the next row of the order.
 

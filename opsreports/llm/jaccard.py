@@ -18,12 +18,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsreports.llm.bpe import text_bytes
-from opsreports.llm.common import components, settle
-from opsreports.llm.repeats import _shared
+from opsreports.llm.common import components, passing, settle
+from opsreports.llm.repeats import shared_runs
 
 _RANDOM = np.random.Generator(np.random.PCG64(1)).integers(1, 1 << 63, 256, dtype=np.uint64)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -31,8 +31,6 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 #: Counters of the frequency sketch, and how many of them a row carries. Fixed, so what is broadcast doesn't grow.
 COUNTERS, SLICE = 1 << 20, 1 << 16
-#: Bits of the filter that tells which documents' sets are needed.
-FILTER_BITS = 1 << 25
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -136,21 +134,6 @@ def _count_sketch(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def _slot(column: str) -> Column:
-    """A place in the filter, counted from 1 as Spark's bitmap functions do."""
-    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1
-
-
-def _filter_of(ids: DataFrame) -> np.ndarray:
-    """A filter of fixed size that lets all ids through, and few others while they are few."""
-    slots = ids.select(_slot("id").alias("s")).groupBy(F.bitmap_bucket_number("s").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
-    out = np.zeros(FILTER_BITS, bool)
-    for row in slots.collect():
-        bits = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little")
-        out[(row["b"] - 1) * len(bits) : row["b"] * len(bits)] = bits
-    return np.packbits(out)
-
-
 def similar_documents(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, stars: int = 3,
 ) -> DataFrame:
@@ -242,7 +225,7 @@ def similar_documents(
     entered = entered.join(reps.select(F.col("rep").alias("id"), "print"), ["id", "print"], "left_semi").select("id", "n", "keys", "kinds")
     listed = entered.mapInArrow(spread, f"key long, id {kind}, size long").repartition("key").sortWithinPartitions("key")
     met = settle(
-        listed.mapInArrow(_shared, f"key long, id {kind}, size long").select("key", "id", F.shiftright("size", 2).alias("n"), (F.col("size") % 4).alias("kind")).distinct(), "lists"
+        listed.mapInArrow(shared_runs, f"key long, id {kind}, size long").select("key", "id", F.shiftright("size", 2).alias("n"), (F.col("size") % 4).alias("kind")).distinct(), "lists"
     )
     lists = met.where("kind = 0").select("key", "id", "n")
 
@@ -252,18 +235,14 @@ def similar_documents(
         F.col("id").alias("a"), F.when(F.col("kind") == 1, side(1)).when(F.col("kind") == 2, side(3)).otherwise(side(2)).alias("b")
     ).where("b IS NOT NULL AND a <> b").distinct()
 
-    def gather(needed: np.ndarray):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                slot = batch.column(2).to_numpy() - 1
-                wanted = (needed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
-                some = batch.filter(pa.array(wanted))
-                for lo in range(0, some.num_rows, 500):
-                    part = some.slice(lo, 500)
-                    sets = shingle_sets(part.column(1), width)
-                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([_print(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "print", "shingles"])
-
-        return run
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                sets = shingle_sets(part.column(1), width)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([_print(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "print", "shingles"]
+                )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,7 +257,7 @@ def similar_documents(
     def checked(pairs: DataFrame, label: str) -> DataFrame:
         """Of settled pairs (a, b) those that are similar, settled."""
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        sets = texts.where("id IS NOT NULL").select("id", "text", _slot("id").alias("slot")).mapInArrow(gather(_filter_of(ids)), f"id {kind}, print binary, shingles binary")
+        sets = passing(texts.where("id IS NOT NULL"), ids).mapInArrow(gather, f"id {kind}, print binary, shingles binary")
         sets = sets.join(ids.join(reps.select(F.col("rep").alias("id"), "print"), "id"), ["id", "print"], "left_semi").dropDuplicates(["id"])
         ours = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
         theirs = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))

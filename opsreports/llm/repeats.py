@@ -11,17 +11,17 @@ which strings are equal.
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opsreports.llm.bpe import text_bytes
-from opsreports.llm.common import settle
+from opsreports.llm.common import passing, settle
 
 ANCHOR = 32
 _RANDOM = np.random.Generator(np.random.PCG64(8)).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -48,8 +48,11 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Anchors of texts that lie end to end: (text, hash, first string's start, anchor's distance from it, strings)."""
-    none = tuple(np.zeros(0, np.int64) for _ in range(5))
+    """Anchors of texts that lie end to end: (text, hash, first string's start, anchor's distance from it, strings, digest).
+
+    The strings of an anchor follow each other; the digest is one of the bytes from the first one's start to the last one's end.
+    """
+    none = tuple(np.zeros(0, np.int64) for _ in range(6))
     if len(data) < length:
         return none
     h = gram_hashes(data)
@@ -64,7 +67,12 @@ def anchors(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray,
     first = np.flatnonzero(np.concatenate(([True], (best[1:] != best[:-1]) | (text[1:] != text[:-1]))))
     count = np.diff(np.append(first, len(starts)))
     s0, p, doc = starts[first], best[first], text[first]
-    return doc, h[p].view(np.int64), s0 - at[doc], p - s0, count
+    last = s0 + count - 1 + length - ANCHOR
+    digest = h[last] + ((p - s0) << 8 | count).astype(np.uint64)
+    for k in range(0, 2 * length, ANCHOR):
+        digest = digest * _ODD[1] + h[np.minimum(s0 + k, last)]
+        digest ^= digest >> np.uint64(31)
+    return doc, h[p].view(np.int64), s0 - at[doc], p - s0, count, digest.view(np.int64)
 
 
 def common(sorted_texts: list[bytes]) -> np.ndarray:
@@ -147,26 +155,61 @@ def _mark(data: np.ndarray) -> int:
     return zlib.crc32(data.tobytes()) & 0x7FFF
 
 
-def _signed(value: int) -> int:
-    return (value + (1 << 63)) % (1 << 64) - (1 << 63)
+class SharedRuns:
+    """Lets through the rows of a stream sorted by its first column whose value there the row before or after them has too."""
 
+    def __init__(self):
+        self.held, self.equal_before = None, False
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose first column equals that of the row before or after them, in rows sorted by it."""
-    held, equal_before = None, False
-    for batch in batches:
+    def push(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
-            continue
-        if held is not None:
-            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            return
+        if self.held is not None:
+            batch = pa.Table.from_batches([self.held, batch]).combine_chunks().to_batches()[0]
         h = batch.column(0).to_numpy()
         equal = h[1:] == h[:-1]
-        keep = np.concatenate(([equal_before], equal))
+        keep = np.concatenate(([self.equal_before], equal))
         keep[:-1] |= equal
         yield batch.slice(0, len(h) - 1).filter(pa.array(keep[:-1]))
-        held, equal_before = batch.slice(len(h) - 1), bool(keep[-1])
-    if held is not None and equal_before:
-        yield held
+        self.held, self.equal_before = batch.slice(len(h) - 1), bool(keep[-1])
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        if self.held is not None and self.equal_before:
+            yield self.held
+
+
+def shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    runs = SharedRuns()
+    for batch in batches:
+        yield from runs.push(batch)
+    yield from runs.end()
+
+
+def _settle_equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (hash, digest, id, at) in that order: later rows of a hash and digest, which are settled; and the first ones of hashes with
+    more than one digest, which are open. A hash with one digest leaves nothing open. Repeats of a row are dropped."""
+    runs, before = SharedRuns(), None
+
+    def marked(batch: pa.RecordBatch, open_: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(2), batch.column(3), pa.array([open_] * batch.num_rows, pa.bool_())], names=["hash", "id", "at", "open"]
+        )
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        whole = batch if before is None else pa.Table.from_batches([before, batch]).combine_chunks().to_batches()[0]
+        later, earlier = whole.slice(1), whole.slice(0, whole.num_rows - 1)
+        same = np.array([pc.equal(later.column(k), earlier.column(k)).to_numpy(zero_copy_only=False) for k in range(4)]).reshape(4, -1)
+        equal, repeat = same[0] & same[1], same.all(axis=0)
+        if before is None:
+            equal, repeat = np.concatenate(([False], equal)), np.concatenate(([False], repeat))
+        before = batch.slice(batch.num_rows - 1)
+        yield marked(batch.filter(pa.array(equal & ~repeat)), False)
+        for found in runs.push(batch.filter(pa.array(~equal))):
+            yield marked(found, True)
+    for found in runs.end():
+        yield marked(found, True)
 
 
 def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, chunk: int = 20_000) -> DataFrame:
@@ -174,9 +217,11 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``length`` bytes which also starts earlier (smaller id, or the same document and an earlier start).
 
     ``address``: SHA-256 of the text's UTF-8 bytes. ``spans``: array<struct<start, end>> of the maximal removed runs.
-    ``kept``: the bytes that remain, null where nothing is removed; ``kept_text``: the same as text, without characters cut in two. Whole copies of an earlier document need no search. Contexts
-    equal to one seen before in a task are settled before the shuffle. Under an anchor, what stays in memory are the
-    contexts that hold a first occurrence; the others stream past.
+    ``kept``: the bytes that remain, null where nothing is removed; ``kept_text``: the same as text, without characters cut in two.
+
+    Anchors travel as digests of what is around them first: all but the first of equal ones are settled by that alone. Bytes are fetched only
+    for first ones whose anchor has different surroundings, and a suffix array is built of those. Only texts that have such anchors or lose
+    bytes are shuffled; a filter of fixed size tells most others. In memory are the different surroundings of one anchor.
 
     Null and empty texts have no bytes. Rows with a null id are left as they are. Repeated rows are one document and
     each gets its result. Texts shorter than ``length`` lose nothing. An empty table gives no rows; other columns
@@ -193,42 +238,29 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
                 data, at = text_bytes(part.column(1))
-                doc, h, s0, off, count = anchors(data, at, length)
+                doc, h, s0, off, count, digest = anchors(data, at, length)
                 marks = np.array([_mark(data[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], np.int64)
                 places = marks[doc] << 47 | s0 << 16 | off << 8 | count if len(doc) else doc
-                yield pa.RecordBatch.from_arrays([pa.array(h), part.column(0).take(pa.array(doc)), pa.array(places)], names=["hash", "id", "at"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h), pa.array(digest), part.column(0).take(pa.array(doc)), pa.array(places)], names=["hash", "digest", "id", "at"]
+                )
 
     def surround(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple] = set()
-        last = None
         for batch in batches:
             for key, text, places in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                data, out = text.encode(), []
+                data = text.encode()
                 mark = _mark(np.frombuffer(data, np.uint8))
-                if key == last:
-                    continue  # a repeated row
-                if last is not None and key < last or len(seen) > 200_000:
-                    seen = set()  # a new slice of ids, in which a later row need not be a later document; or enough remembered
-                last = key
-                for place in sorted((p for p in places if p["at"] >> 47 == mark), key=lambda p: p["at"]):
-                    at, h = place["at"], place["hash"]
-                    s0, off, count = at >> 16 & 0x7FFFFFFF, at >> 8 & 255, at & 255
-                    around = data[s0 : s0 + count - 1 + length]
-                    known = (off, h, hashlib.blake2b(around, digest_size=16).digest())
-                    if known in seen:
-                        out.append((h ^ (at << 8) ^ mark, key, at, None))  # anywhere: it's settled
-                    else:
-                        seen.add(known)
-                        out.append((h, key, at, around))
+                own = [(p["hash"], p["at"]) for p in places if p["at"] >> 47 == mark]
+                spans = [(at >> 16 & 0x7FFFFFFF, at & 255) for _, at in own]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_signed(o[0]) for o in out], pa.int64()), pa.array([o[1] for o in out], batch.schema.field(0).type),
-                     pa.array([o[2] for o in out], pa.int64()), pa.array([o[3] for o in out], pa.binary())],
+                    [pa.array([h for h, _ in own], pa.int64()), pa.array([key] * len(own), batch.schema.field(0).type), pa.array([at for _, at in own], pa.int64()),
+                     pa.array([data[s0 : s0 + count - 1 + length] for s0, count in spans], pa.binary())],
                     names=["hash", "id", "at", "around"],
                 )
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key_type = None
-        rows_: list[tuple] = []  # (hash, id, at, around, reported)
+        rows_: list[tuple] = []  # (hash, id, at, around, reported before)
         before: tuple | None = None
 
         def work(part: list[tuple]) -> tuple[pa.RecordBatch, np.ndarray]:
@@ -247,13 +279,8 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             key_type = batch.schema.field(1).type
             new = list(zip(*(batch.column(i).to_pylist() for i in range(4)), [False] * batch.num_rows, strict=True))
-            done = [(p[1], p[2] >> 16 & 0x7FFFFFFF, (p[2] >> 16 & 0x7FFFFFFF) + (p[2] & 255) - 1 + length) for p in new if p[3] is None]
-            if done:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([d[0] for d in done], key_type), *[pa.array([d[i] for d in done], pa.int64()) for i in (1, 2)]], names=["id", "start", "end"]
-                )
             for p in new:
-                if p[3] is not None and p[:3] != before:  # else the same place of a repeated row
+                if p[:3] != before:  # else the same place of a repeated row
                     rows_.append(p)
                     before = p[:3]
             if len(rows_) >= chunk:
@@ -288,18 +315,25 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 names=["id", "address", "spans", "kept", "kept_text"],
             )
 
-    picked = rows.where("id IS NOT NULL").mapInArrow(pick, f"hash long, id {kind}, at long")
-    met = picked.repartition("hash").sortWithinPartitions("hash").mapInArrow(_shared, f"hash long, id {kind}, at long")
-    located = met.join(first.select("id"), "id", "left_semi").groupBy("id").agg(F.collect_set(F.struct("at", "hash")).alias("places"))
-    chosen = settle(
-        rows.join(located, "id").join(first.select("id", "address"), "id").where(F.sha2("text", 256) == F.col("address"))
-        .select("id", "text", "places", "address").sortWithinPartitions("id"), "chosen",
+    picked = rows.where("id IS NOT NULL").mapInArrow(pick, f"hash long, digest long, id {kind}, at long")
+    met = settle(
+        picked.repartition("hash").sortWithinPartitions("hash", "digest", "id", "at").mapInArrow(_settle_equal, f"hash long, id {kind}, at long, open boolean"), "met"
+    )
+    firsts = first.select("id", "address")
+    located = settle(
+        met.where("open").groupBy("id").agg(F.collect_set(F.struct("at", "hash")).alias("places")).join(firsts, "id"), "located"
     )
-    around = chosen.select("id", "text", "places").mapInArrow(surround, f"hash long, id {kind}, at long, around binary")
-    found = around.repartition("hash").sortWithinPartitions("hash", "id", "at").mapInArrow(judge, f"id {kind}, start long, end long")
+    texts = lambda ids: passing(rows.where("id IS NOT NULL"), ids)
+    own_text = F.sha2("text", 256) == F.col("address")
+    around = texts(located).join(located, "id").where(own_text).select("id", "text", "places").mapInArrow(surround, f"hash long, id {kind}, at long, around binary")
+    judged = around.repartition("hash").sortWithinPartitions("hash", "id", "at").mapInArrow(judge, f"id {kind}, start long, end long")
+    begin = F.shiftright("at", 16).bitwiseAND(F.lit(0x7FFFFFFF))
+    equal = met.where("NOT open").select("id", begin.alias("start"), (begin + F.col("at").bitwiseAND(F.lit(255)) - 1 + length).alias("end"))
     span = "struct<start:bigint,end:bigint>"
-    gathered = found.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("found"))
-    stripped = chosen.select("id", "address", "text").dropDuplicates(["id", "address"]).join(gathered, "id").mapInArrow(
+    gathered = judged.union(equal).groupBy("id").agg(F.collect_set(F.struct("start", "end")).alias("found"))
+    gathered = settle(gathered.join(firsts, "id"), "found")
+    losing = texts(gathered).join(gathered, "id").where(own_text).select("id", "address", "text", "found").dropDuplicates(["id", "address"])
+    stripped = losing.mapInArrow(
         strip, f"id {kind}, address string, spans array<{span}>, kept binary, kept_text string"
     )
     copied = F.col("id") != F.col("first_id")
