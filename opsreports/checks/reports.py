@@ -43,24 +43,23 @@ FEE_TABLES = (
     "appointment", "facility", "city", "patient_case", "patient_profile", "customer_profile", "payment_link", "card",
     "card_transaction", "support_staff",
 )
-FIRST_FEE_SQL = with_desk(*FEE_TABLES) + f""", f AS (
-       SELECT a.id, a.consultationFee AS fee, l.paymentMode AS mode, pc.patientId, a.appointmentDate::DATE AS d,
-         coalesce({CODE.format('k.cityName')}, 'No City') AS city,
-         a.id IN (SELECT entityId FROM card_transaction WHERE transactionType = 'DEBIT') AS paid,
-         coalesce(a.createdOn::DATE = c.issued::DATE, false) AS same_day,
-         row_number() OVER (PARTITION BY pc.patientId ORDER BY a.id, l.id NULLS LAST) AS r
-       FROM appointment a LEFT JOIN facility s ON s.facilityId = a.hospitalId LEFT JOIN city k ON k.id = s.cityId
-         JOIN patient_case pc ON pc.caseId = a.leadId LEFT JOIN patient_profile pp ON pp.id = pc.patientId
-         LEFT JOIN payment_link l ON l.entityId = a.leadId
-         LEFT JOIN (SELECT customerId, max(activationDate) AS issued FROM card GROUP BY 1) c ON c.customerId = pp.customerId
-       WHERE a.appointmentCreationType IN ('NEW_APPOINTMENT', 'RESCHEDULED_APPOINTMENT') AND a.doctorConsultationStatus = '3'
-         AND pc.leadSource NOT IN ('Offline channel', 'VC Model') AND pc.caseType <> 'Diagnostics'
-         AND a."user" IN (SELECT email FROM support_staff)),
-     b AS (SELECT city, d, fee, CASE WHEN fee = 0 AND mode = 'WALLET' THEN 'WALLET'
-           WHEN fee = 0 AND (paid OR same_day) THEN 'Privilege Card' WHEN fee = 0 THEN '0'
-           WHEN fee <= 100 THEN '1-100' WHEN fee <= 200 THEN '101-200' WHEN fee <= 300 THEN '201-300'
-           WHEN fee <= 400 THEN '301-400' ELSE '>400' END AS bucket
-       FROM f WHERE r = 1 AND city IN ('CHD', 'BLR', 'Jaipur', 'NCR', 'Hyderabad')),
+FIRST_FEE_SQL = with_desk(*FEE_TABLES) + f""", seen AS (
+       SELECT id, leadId, hospitalId, consultationFee AS fee, appointmentDate::DATE AS d, createdOn::DATE AS booked FROM appointment
+         SEMI JOIN (SELECT email AS "user" FROM support_staff) USING ("user")
+       WHERE doctorConsultationStatus = '3' AND list_contains(['NEW_APPOINTMENT', 'RESCHEDULED_APPOINTMENT'], appointmentCreationType)),
+     owner AS (SELECT caseId AS leadId, patientId FROM patient_case
+       WHERE NOT list_contains(['Offline channel', 'VC Model'], leadSource) AND caseType <> 'Diagnostics'),
+     earliest AS (SELECT patientId, min(id) AS id FROM seen JOIN owner USING (leadId) GROUP BY ALL),
+     link AS (SELECT entityId AS leadId, first(paymentMode ORDER BY id) AS mode FROM payment_link GROUP BY ALL),
+     issue AS (SELECT pp.id AS patientId, max(activationDate)::DATE AS issued FROM card JOIN patient_profile pp USING (customerId) GROUP BY ALL),
+     place AS (SELECT facilityId AS hospitalId, cityName FROM facility JOIN city ON city.id = cityId),
+     debit AS (SELECT DISTINCT entityId AS id, true AS paid FROM card_transaction WHERE transactionType = 'DEBIT'),
+     b AS (SELECT coalesce({CODE.format('cityName')}, 'No City') AS city, d, fee, CASE WHEN fee > 400 THEN '>400' WHEN fee > 300 THEN '301-400'
+           WHEN fee > 200 THEN '201-300' WHEN fee > 100 THEN '101-200' WHEN fee <> 0 THEN '1-100' WHEN mode = 'WALLET' THEN 'WALLET'
+           WHEN paid OR booked = issued THEN 'Privilege Card' WHEN fee = 0 THEN '0' ELSE '>400' END AS bucket
+       FROM earliest JOIN seen USING (id) LEFT JOIN place USING (hospitalId) LEFT JOIN link USING (leadId) LEFT JOIN issue USING (patientId)
+         LEFT JOIN debit USING (id)
+       WHERE city IN ('CHD', 'BLR', 'Jaipur', 'NCR', 'Hyderabad')),
      g AS (SELECT city, unnest(['0', '1-100', '101-200', '201-300', '301-400', '>400', 'WALLET', 'Privilege Card']) AS bucket
            FROM (SELECT DISTINCT city FROM b))"""
 FEE_DAYS = {
@@ -121,22 +120,21 @@ CLASS_SQL = """CASE WHEN mode IN ('RAZOR_PAY', 'RAZOR_PAY_UPI_PAID') THEN 'Razor
     with_desk(
         "card_payment", "card", "patient_profile", "customer_profile", "city", "appointment", "payment_link", "patient_case",
         "surgery", "surgery_payment",
-    ) + f""", p AS (
-       SELECT coalesce({CODE.format('k.cityName')}, 'No City') AS city, 'Loyalty' AS service, l.paymentMode AS mode,
-              (l.createdOn {LOCAL})::DATE AS d
-       FROM card_payment l JOIN card c ON c.cardId = l.cardId
-         JOIN (SELECT cp.customerId, cityId FROM customer_profile cp JOIN patient_profile pp ON pp.customerId = cp.customerId) ci
-           ON ci.customerId = c.customerId LEFT JOIN city k ON k.id = ci.cityId WHERE l.paymentStatus = 'PAID'
+    ) + f""", home AS (SELECT pp.id AS patientId, pp.customerId, cityName AS town FROM patient_profile pp
+         SEMI JOIN customer_profile USING (customerId) LEFT JOIN city ON city.id = pp.cityId),
+     treated AS (SELECT caseId, coalesce({CODE.format('coalesce(cityName, town)')}, 'No City') AS city
+       FROM patient_case pc JOIN home USING (patientId) LEFT JOIN city ON city.id = pc.cityId),
+     p AS (
+       SELECT city, 'IPD' AS service, paymentMode AS mode, (sp.createdOn {LOCAL})::DATE AS d
+       FROM surgery_payment sp JOIN surgery ON surgery.id = patientSurgeryId JOIN treated USING (caseId) WHERE paymentStatus = 'PAID'
        UNION ALL
-       SELECT {CASE_CITY.format('No City')}, CASE WHEN a.consultationType IN ('Online Consultation', 'Consultation', 'Diagnostics')
-              THEN a.consultationType ELSE 'Other' END, l.paymentMode, (a.createdOn {LOCAL})::DATE
-       FROM appointment a JOIN payment_link l ON l.entityType = 'APPOINTMENT' AND a.id = l.entityId
-         JOIN patient_case pc ON pc.caseId = a.leadId {PATIENT_JOINS}
-       WHERE l.paymentMode <> 'ZERO_FEE' AND l.status = 'PAID'
+       SELECT city, if(list_contains(['Online Consultation', 'Consultation', 'Diagnostics'], consultationType), consultationType, 'Other'),
+         paymentMode, (ap.createdOn {LOCAL})::DATE
+       FROM appointment ap JOIN treated ON caseId = leadId JOIN payment_link pl ON entityId = ap.id
+       WHERE entityType = 'APPOINTMENT' AND pl.status = 'PAID' AND paymentMode <> 'ZERO_FEE'
        UNION ALL
-       SELECT {CASE_CITY.format('No City')}, 'IPD', y.paymentMode, (y.createdOn {LOCAL})::DATE
-       FROM surgery s JOIN surgery_payment y ON y.patientSurgeryId = s.id JOIN patient_case pc ON pc.caseId = s.caseId
-         {PATIENT_JOINS} WHERE y.paymentStatus = 'PAID'),
+       SELECT coalesce({CODE.format('town')}, 'No City'), 'Loyalty', paymentMode, (dues.createdOn {LOCAL})::DATE
+       FROM home JOIN card USING (customerId) JOIN card_payment dues USING (cardId) WHERE paymentStatus = 'PAID'),
      w(name, a, b) AS (VALUES ('month_to_date', DATE '1998-06-01', DATE '1998-06-16'),
        ('last_month', DATE '1998-05-01', DATE '1998-05-31'), ('last_week', DATE '1998-06-08', DATE '1998-06-14'),
        ('this_week', DATE '1998-06-15', DATE '1998-06-16')),
@@ -337,7 +335,7 @@ def followup_queue_next_day(t: Tables) -> DataFrame:
     "r08_wallet_balances",
     with_desk("ledger", "customer_profile") + f""", l AS (SELECT *, (createdOn {LOCAL})::DATE AS d, (amount / 100.0)::DECIMAL(28,2) AS amt
        FROM ledger WHERE (createdOn {LOCAL})::DATE < DATE '1998-06-17'),
-     c AS (SELECT x.*, row_number() OVER (PARTITION BY x.customerId ORDER BY x.d, x.validTill, x.entryId) AS i,
+     c AS (SELECT x.*, row_number() OVER (PARTITION BY x.customerId ORDER BY x.d, x.entryId) AS i,
          (SELECT coalesce(sum(y.amt), 0) FROM l y WHERE y.customerId = x.customerId AND y.transactionType = 'DEBITED'
             AND y.d < x.validTill)::DECIMAL(28,2) AS open
        FROM l x WHERE x.transactionType = 'CREDITED'),
@@ -454,17 +452,18 @@ HOSPITAL = "Supplier#000000017"
 @query(
     "r13_payment_notice",
     with_desk("facility_payment", "appointment", "facility", "doctor", "patient_case", "patient_profile", "customer_profile")
-    + f""", p AS (SELECT f.id, f.entityId, f.createdOn {LOCAL} AS paid_at, f.amount, pp.patientName, cp.customerNumber, a.additionalDetails, a.consultationType,
-         a.doctorConsultationStatus, d.name, f.utr, row_number() OVER (PARTITION BY f.entityId ORDER BY f.createdOn, f.id) AS r
-       FROM facility_payment f JOIN appointment a ON a.id = f.entityId LEFT JOIN facility h ON h.facilityId = a.hospitalId
-         LEFT JOIN doctor d ON d.doctorId = a.doctorId LEFT JOIN patient_case pc ON pc.caseId = a.leadId
-         LEFT JOIN patient_profile pp ON pp.id = pc.patientId JOIN customer_profile cp ON cp.customerId = pp.customerId
-       WHERE f.paymentStatus = 'processed' AND f.entityType IN ('APPOINTMENT', 'DIAGNOSTICS_APPOINTMENT') AND h.aliasName = '{HOSPITAL}'
-         AND f.createdOn {LOCAL} <= TIMESTAMP '1998-06-17 12:00:00' AND f.createdOn {LOCAL} > TIMESTAMP '1998-06-17 12:00:00' - INTERVAL 500 DAY)
-     SELECT id, entityId AS "appId", strftime(paid_at, '%Y-%m-%d %H:%M:%S') AS payment_date, amount // 100 AS amount, patientName AS "patientName",
+    + f""", due AS (SELECT entityId AS "appId", arg_min(struct_pack(id := id, at := createdOn {LOCAL}, amount := amount, utr := utr), (createdOn, id)) AS pay
+       FROM facility_payment WHERE paymentStatus = 'processed' AND list_contains(['APPOINTMENT', 'DIAGNOSTICS_APPOINTMENT'], entityType)
+         AND createdOn {LOCAL} > TIMESTAMP '1998-06-17 12:00:00' - INTERVAL 500 DAY AND createdOn {LOCAL} <= TIMESTAMP '1998-06-17 12:00:00' GROUP BY ALL),
+     here AS (SELECT facilityId AS hospitalId, aliasName AS hospital_name FROM facility WHERE aliasName = '{HOSPITAL}'),
+     payer AS (SELECT caseId AS leadId, patientName, customerNumber FROM customer_profile JOIN patient_profile pp USING (customerId)
+       JOIN patient_case ON patientId = pp.id),
+     medic AS (SELECT doctorId, name AS doctor_name FROM doctor)
+     SELECT pay.id AS id, "appId", strftime(pay.at, '%Y-%m-%d %H:%M:%S') AS payment_date, pay.amount // 100 AS amount, patientName AS "patientName",
        customerNumber AS "customerNumber", coalesce(additionalDetails->>'$.hospitalPriceBills', '') AS "hospitalPriceBills",
-       consultationType AS "consultationType", CASE doctorConsultationStatus WHEN '3' THEN 'DONE' WHEN '1' THEN 'BOOKED' ELSE 'CANCELLED' END AS status,
-       name AS doctor_name, utr, '{HOSPITAL}' AS hospital_name, row_number() OVER (ORDER BY id) AS serial FROM p WHERE r = 1""",
+       consultationType AS "consultationType", CASE doctorConsultationStatus WHEN '1' THEN 'BOOKED' WHEN '3' THEN 'DONE' ELSE 'CANCELLED' END AS status,
+       doctor_name, pay.utr AS utr, hospital_name, row_number() OVER (ORDER BY pay.id) AS serial
+     FROM due JOIN appointment v ON v.id = "appId" JOIN here USING (hospitalId) JOIN payer USING (leadId) LEFT JOIN medic USING (doctorId)""",
 )
 def payment_notice(t: Tables) -> DataFrame:
     out = money.payment_notice(DeskTables(t), NOON, HOSPITAL, dt.timedelta(days=500))
@@ -476,14 +475,18 @@ def payment_notice(t: Tables) -> DataFrame:
     with_desk(
         "surgery", "surgery_payment", "patient_case", "patient_profile", "customer_profile", "city", "facility", "speciality"
     )
-    + f""" SELECT s.caseId AS "caseId", pp.patientName AS "patientName", h.aliasName AS "aliasName", e.specialityName AS "specialityName", s.id,
-       strftime(admissionDate, '%Y-%m-%d %H:%M:%S') AS "admissionDate", {CASE_CITY.format('No City')} AS city,
-       right(cp.customerNumber, 10) AS "customerNumber", pc.leadSource AS "leadSource"
-     FROM surgery s JOIN patient_case pc ON pc.caseId = s.caseId {PATIENT_JOINS} JOIN facility h ON h.facilityId = s.hospitalId
-       LEFT JOIN speciality e ON e.id = pc.specialityId
-     WHERE surgeryStatus = 'ADMISSION_DONE' AND pc.leadSource <> 'Hospital Insurance' AND tenantName = 'MAIN' AND h.aliasName <> 'Supplier#000000003'
-       AND NOT (h.aliasName = '{HOSPITAL}' AND pc.leadSource = 'Offline channel') AND s.id NOT IN (SELECT patientSurgeryId FROM surgery_payment WHERE paymentMode = 'CASH')
-       AND floor((epoch_us(TIMESTAMP '1998-06-17 12:00:00') - epoch_us(admissionDate)) / 86400000000) >= 1""",
+    + f""", ward AS (SELECT facilityId AS hospitalId, aliasName FROM facility WHERE aliasName <> 'Supplier#000000003'),
+     person AS (SELECT pp.id AS patientId, patientName, right(customerNumber, 10) AS number, cityName AS town
+       FROM patient_profile pp JOIN customer_profile USING (customerId) LEFT JOIN city ON city.id = pp.cityId),
+     matter AS (SELECT caseId, patientName, number, leadSource, specialityName, coalesce({CODE.format('coalesce(cityName, town)')}, 'No City') AS city
+       FROM patient_case pc JOIN person USING (patientId) LEFT JOIN city ON city.id = pc.cityId LEFT JOIN speciality ON speciality.id = specialityId
+       WHERE leadSource <> 'Hospital Insurance' AND tenantName = 'MAIN'),
+     admitted AS (SELECT id, caseId, hospitalId, admissionDate FROM surgery ANTI JOIN
+         (SELECT patientSurgeryId AS id FROM surgery_payment WHERE paymentMode = 'CASH') USING (id)
+       WHERE surgeryStatus = 'ADMISSION_DONE' AND admissionDate <= TIMESTAMP '1998-06-17 12:00:00' - INTERVAL 1 DAY)
+     SELECT id, caseId AS "caseId", strftime(admissionDate, '%Y-%m-%d %H:%M:%S') AS "admissionDate", aliasName AS "aliasName", patientName AS "patientName",
+       number AS "customerNumber", leadSource AS "leadSource", specialityName AS "specialityName", city
+     FROM admitted JOIN ward USING (hospitalId) JOIN matter USING (caseId) WHERE (aliasName, leadSource) <> ('{HOSPITAL}', 'Offline channel')""",
 )
 def surgery_tracker(t: Tables) -> DataFrame:
     desk = DeskTables(t)
@@ -530,11 +533,11 @@ def satisfaction_messages(t: Tables) -> DataFrame:
 
 @query(
     "r17_staff_availability",
-    with_desk("staff", "staff_facility", "facility", "city") + f""" SELECT email, coalesce({CODE.format('k.cityName')}, 'NA') AS city, 0::BIGINT AS part,
-       string_agg(DISTINCT aliasName, ',' ORDER BY aliasName) AS hospitals
-     FROM staff s JOIN staff_facility m ON m.personnelId = s.personnelId JOIN facility h ON h.facilityId = m.facilityId
-       LEFT JOIN city k ON k.id = s.cityId
-     WHERE isAvailable = 1 AND isValid = 1 AND tenantName = 'MAIN' AND personnelType = 'AGENT' AND mappingType = 'AGENT' AND hasLeft = 0 GROUP BY 1, 2""",
+    with_desk("staff", "staff_facility", "facility", "city") + f""", free AS (SELECT personnelId, email, coalesce({CODE.format('cityName')}, 'NA') AS city
+       FROM staff LEFT JOIN city ON city.id = cityId WHERE personnelType = 'AGENT' AND isAvailable = 1 AND hasLeft = 0),
+     linked AS (SELECT DISTINCT email, city, aliasName FROM free JOIN staff_facility USING (personnelId) JOIN facility USING (facilityId)
+       WHERE (mappingType, tenantName) = ('AGENT', 'MAIN') AND isValid = 1)
+     SELECT email, city, 0::BIGINT AS part, string_agg(aliasName, ',' ORDER BY aliasName) AS hospitals FROM linked GROUP BY ALL""",
 )
 def staff_availability(t: Tables) -> DataFrame:
     return visits.staff_availability(DeskTables(t))["staff"]

@@ -82,15 +82,17 @@ def call_numbers(t: Tables) -> DataFrame:
 @query(
     "h06_name_from_email",
     """WITH e AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment
-                  ELSE lower(c_name) || '.Team@desk.example' END AS email FROM customer)
-       SELECT c_custkey, CASE WHEN contains(email, '@')
+                  WHEN c_custkey % 101 = 0
+                  THEN repeat(lower(c_name), 80000) || 'End@desk.example' ELSE lower(c_name) || '.Team@desk.example' END AS email FROM customer)
+       SELECT c_custkey, sha256(CASE WHEN contains(email, '@')
               THEN upper(left(split_part(email, '@', 1), 1)) || lower(substr(split_part(email, '@', 1), 2))
-              ELSE email END AS agent_name FROM e""",
+              ELSE email END) AS agent_name FROM e""",
 )
 def name_from_email(t: Tables) -> DataFrame:
     mail = F.concat(F.lower("c_name"), F.lit(".Team@desk.example"))
-    email = F.when(F.col("c_custkey") % 3 == 0, F.col("c_mktsegment")).otherwise(mail)
-    return t.customer.select("c_custkey", text.name_from_email(email).alias("agent_name"))
+    long = F.concat(F.repeat(F.lower("c_name"), 80_000), F.lit("End@desk.example"))
+    email = F.when(F.col("c_custkey") % 3 == 0, F.col("c_mktsegment")).when(F.col("c_custkey") % 101 == 0, long).otherwise(mail)
+    return t.customer.select("c_custkey", F.sha2(text.name_from_email(email), 256).alias("agent_name"))
 
 
 @query(
@@ -195,13 +197,11 @@ def outcome_property(t: Tables) -> DataFrame:
     "h14_outcome_comment",
     """SELECT event_id, chr(10) || ' Surgery Comments: ' || chr(10) ||
               coalesce((replace(props, '"k"', '"comments"')::JSON->>'$.comments') || ' ' || chr(10), '') AS note
-       FROM events WHERE event_type = 'purchase'""",
+       FROM events""",
 )
 def outcome_comment(t: Tables) -> DataFrame:
     details = F.replace("props", F.lit('"k"'), F.lit('"comments"'))
-    return t.events.where(F.col("event_type") == "purchase").select(
-        "event_id", text.outcome_comment(details).alias("note")
-    )
+    return t.events.select("event_id", text.outcome_comment(details).alias("note"))
 
 
 @query(

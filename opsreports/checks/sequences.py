@@ -27,7 +27,7 @@ def first_per_key(t: Tables) -> DataFrame:
 )
 def rank_average(t: Tables) -> DataFrame:
     rows = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    return seq.rank_average(rows, "o_custkey", "o_orderdate", [F.trunc("o_orderdate", "MM")]).select("o_orderkey", "rank")
+    return seq.rank_average(rows, "o_custkey", "o_orderdate").select("o_orderkey", "rank")
 
 
 @query(
@@ -97,7 +97,7 @@ def ledger_no_expiry(t: Tables) -> DataFrame:
                 o_orderdate::DATE + 700 + (o_orderkey % 3)::INT * 40 AS v,
                 (CASE WHEN o_orderstatus = 'O' THEN floor(o_totalprice::DECIMAL(18,2) / 3) ELSE o_totalprice END)::DECIMAL(28,2) AS amt
          FROM orders WHERE o_orderdate < DATE '1998-06-17'),
-       c AS (SELECT x.*, row_number() OVER (PARTITION BY x.o_custkey ORDER BY x.d, x.v, x.o_orderkey) AS i,
+       c AS (SELECT x.*, row_number() OVER (PARTITION BY x.o_custkey ORDER BY x.d, x.o_orderkey) AS i,
                (SELECT coalesce(sum(y.amt), 0) FROM l y WHERE y.o_custkey = x.o_custkey AND y.o_orderstatus = 'O' AND y.d < x.v)::DECIMAL(28,2) AS open
              FROM l x WHERE x.o_orderstatus = 'F'),
        p AS (SELECT o_custkey, i, o_orderkey, v, amt, 0::DECIMAL(28,2) AS before,
@@ -141,11 +141,10 @@ def comment_history(t: Tables) -> DataFrame:
 
 @query(
     "e09_serial_number",
-    """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS serial FROM orders WHERE o_orderstatus = 'P'""",
+    """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS serial FROM orders""",
 )
 def serial_number(t: Tables) -> DataFrame:
-    pending = t.orders.where(F.col("o_orderstatus") == "P").select("o_orderkey")
-    return seq.serial_number(pending, "o_orderkey")
+    return seq.serial_number(t.orders.select("o_orderkey"), "o_orderkey")
 
 
 @query("f01_sort_keys", "SELECT o_custkey, o_orderkey FROM orders ORDER BY o_custkey, o_orderkey")

@@ -59,6 +59,27 @@ CUSTOMER_SHEET = T.StructType([
 ])
 
 
+TURN_SHEET = T.StructType([
+    T.StructField("conv_id", T.LongType()),
+    T.StructField("turn", T.LongType()),
+    T.StructField("text", T.StringType()),
+    T.StructField("note", T.StringType()),
+])
+
+
+@query(
+    "a04_read_turns",
+    """SELECT conv_id, turn, text, CASE turn % 4 WHEN 1 THEN '' WHEN 2 THEN '"' || text || chr(10) WHEN 3 THEN chr(92) || 'N' END AS note
+       FROM conversations""",
+)
+def read_turns(t: Tables) -> DataFrame:
+    """Line breaks, quotes, empty text, NULL and the very mark of NULL."""
+    kind = F.col("turn") % 4
+    note = F.when(kind == 1, "").when(kind == 2, F.concat(F.lit('"'), "text", F.lit("\n"))).when(kind == 3, F.lit("\\N"))
+    rows = t.conversations.select("conv_id", "turn", "text", note.alias("note"))
+    return readers.read_records(t.spark, writers.write_csv(rows, fresh_dir(t.spark, "turns")), TURN_SHEET)
+
+
 @query("a04_read_records", "SELECT c_custkey, c_name, c_acctbal FROM customer")
 def read_records(t: Tables) -> DataFrame:
     path = writers.write_csv(t.customer.select("c_custkey", "c_name", "c_acctbal"), fresh_dir(t.spark, "records"))
@@ -99,18 +120,21 @@ def read_json_entities(t: Tables) -> DataFrame:
     return readers.explode_json(rows, "body", ENTITY, ["event_id", "city"])
 
 
-@query("a08_read_template_dict", "SELECT item_id::VARCHAR AS name, text FROM benchmark")
+@query("a08_read_template_dict", "SELECT item_id::VARCHAR AS name, text, row_number() OVER (ORDER BY item_id) - 1 AS ordinal FROM benchmark")
 def read_template_dict(t: Tables) -> DataFrame:
-    """Each benchmark item becomes one template object; its name comes back from the text."""
-    entry = F.create_map(F.col("item_id").cast("string"), F.struct(F.col("text")))
+    """All benchmark items in one object of templates, each with its place."""
+    items = F.array_sort(F.collect_list(F.struct("item_id", "text")))
+    entries = F.transform(items, lambda i: F.struct(i["item_id"].cast("string"), F.struct(i["text"].alias("text"))))
     path = fresh_dir(t.spark, "templates")
-    t.benchmark.select(F.to_json(entry).alias("value")).write.text(path)
-    return readers.explode_templates(t.spark.read.text(path), "value").select("name", "text")
+    t.benchmark.agg(F.to_json(F.map_from_entries(entries)).alias("value")).write.text(path)
+    return readers.explode_templates(t.spark.read.text(path), "value")
 
 
-@query("a09_write_csv", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+@query("a09_write_csv", "SELECT doc_id, text, CASE WHEN doc_id % 3 > 0 THEN left('  x', doc_id % 3) END AS edge FROM documents")
 def write_csv(t: Tables) -> DataFrame:
-    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    """Texts with line breaks and quotes, and cells that are NULL or only spaces."""
+    edge = F.when(F.col("doc_id") % 3 > 0, F.substring(F.lit("  x"), F.lit(1), (F.col("doc_id") % 3).cast("int")))
+    rows = t.documents.select("doc_id", "text", edge.alias("edge"))
     return readers.read_records(t.spark, writers.write_csv(rows, fresh_dir(t.spark, "csv")), rows.schema)
 
 
@@ -123,7 +147,7 @@ def write_workbook(t: Tables) -> DataFrame:
     writers.write_workbook(
         {"customers": t.customer.select("c_custkey"), "suppliers": t.supplier.select("s_suppkey")}, path
     )
-    rows = t.spark.read.schema("id bigint, sheet string").option("header", True).csv(path)
+    rows = readers.read_raw(t.spark, path)
     return count_group(rows, "sheet")
 
 

@@ -61,6 +61,45 @@ CHANNEL_BUCKET = {
     "2021 Google": "High",
     "2010 Google": "Medium",
     "Google Base Campaign": "Low",
+    "1010 Google": "High",
+    "1110 Google": "High",
+    "2021 Whatsapp-main": "All Other(Whatsapp, Website, Video)",
+    "4011 Google": "High",
+    "Offline": "Medium",
+    "1012 Google": "Medium",
+    "1010 Whatsapp-price": "All Other(Whatsapp, Website, Video)",
+    "1411 WebsiteSubmit": "All Other(Whatsapp, Website, Video)",
+    "Website Submit": "All Other(Whatsapp, Website, Video)",
+    "1311 Whatsapp-main": "All Other(Whatsapp, Website, Video)",
+    "Google Ads": "Medium",
+    "1311 WebsiteSubmit": "All Other(Whatsapp, Website, Video)",
+    "1013 Google": "Low",
+    "Default Google": "Medium",
+    "1013 Whatsapp-other": "All Other(Whatsapp, Website, Video)",
+    "1410 Google": "Low",
+    "2021 Whatsapp-price": "All Other(Whatsapp, Website, Video)",
+    "1011 WebsiteSubmit": "All Other(Whatsapp, Website, Video)",
+    "1011 Whatsapp-main": "All Other(Whatsapp, Website, Video)",
+    "1411 Whatsapp-price": "All Other(Whatsapp, Website, Video)",
+    "Default Whatsapp-other": "All Other(Whatsapp, Website, Video)",
+    "1011 Whatsapp-price": "All Other(Whatsapp, Website, Video)",
+    "2010 Whatsapp-main": "All Other(Whatsapp, Website, Video)",
+    "1411 Google": "High",
+    "Default Whatsapp-main": "All Other(Whatsapp, Website, Video)",
+    "1411 Whatsapp-main": "All Other(Whatsapp, Website, Video)",
+    "Dr. exp": "Medium",
+    "1013 Whatsapp-main": "All Other(Whatsapp, Website, Video)",
+    "2011 Whatsapp-main": "All Other(Whatsapp, Website, Video)",
+    "1013 WebsiteSubmit": "All Other(Whatsapp, Website, Video)",
+    "2011 Whatsapp-price": "All Other(Whatsapp, Website, Video)",
+    "3010 Google": "Low",
+    "Default Whatsapp-price": "All Other(Whatsapp, Website, Video)",
+    "1010 WebsiteSubmit": "All Other(Whatsapp, Website, Video)",
+    "Facebook Form": "Facebook Form",
+    "1410 WebsiteSubmit": "All Other(Whatsapp, Website, Video)",
+    "Newspaper TV": "All Other(Whatsapp, Website, Video)",
+    "202 whatsapp": "All Other(Whatsapp, Website, Video)",
+    "Facebook Videos": "All Other(Whatsapp, Website, Video)",
     "1011 Website Submit": "All Other(Whatsapp, Website, Video)",
     "1011 Whatsapp-other": "All Other(Whatsapp, Website, Video)",
     "Website Direct": "All Other(Whatsapp, Website, Video)",

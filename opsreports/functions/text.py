@@ -50,7 +50,7 @@ def call_agent_number(direction: Column, caller: Column, callee: Column) -> Colu
 def name_from_email(email: Column) -> Column:
     """Mailbox name with only its first letter in upper case."""
     name = F.substring_index(email, "@", 1)
-    capital = F.concat(F.upper(F.left(name, F.lit(1))), F.lower(F.substring(name, 2, 1 << 20)))
+    capital = F.concat(F.upper(F.left(name, F.lit(1))), F.lower(F.substring(name, F.lit(2), F.length(name))))
     return F.when(email.contains("@"), capital).otherwise(email)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from opsreports.functions.money import MONEY, avg2, pct2, rate2
 from opsreports.functions.times import Window, day, hour_slot
-from opsreports.operators.joins import reshuffled
+from opsreports.operators.running import ordered_position
 
 TOTAL = "Total"
 
@@ -185,37 +185,28 @@ def concat_per_key(
     separator: str = ",",
     part_size: int = 10_000,
 ) -> DataFrame:
-    """Values per key as one sorted delimited text; a key without any value gives NULL.
+    """Values per key as sorted delimited text; a key without any value gives NULL.
 
-    A key with more than ``part_size`` values comes as several rows, numbered by ``part``,
-    each a sorted share of its values: no cell has to hold an unbounded group. In such a key
-    equal values travel as one row with a count. The other keys are shuffled once more after
-    the large ones have left, so that no task reads those for nothing.
+    Every key's sorted list is cut into parts of ``part_size`` values, numbered from 0: no cell has to hold an
+    unbounded group, and the parts put end to end are the list. Equal values travel as one row with a
+    count. The input is read once.
     """
     keys = list(keys)
     rows = df.select(*keys, F.col(value).alias("_value"))
-    rows = rows.distinct() if distinct else rows
-    sizes = rows.groupBy(*keys).agg(F.count("_value").alias("_all"))
-    large = reshuffled(sizes.where(F.col("_all") > part_size), *keys)
+    present = F.col("_value").isNotNull()
+    counted = rows.groupBy(*keys, "_value").agg((F.lit(1).cast("bigint") if distinct else count_rows()).alias("_n"))
+    counted = counted.withColumn("_n", F.when(present, F.col("_n")).otherwise(0))
+    placed = ordered_position(counted, keys, ["_value"], "_through", F.col("_n"))
+    step = F.lit(part_size).cast("bigint")
+    first = F.when(present, F.floor((F.col("_through") - F.col("_n")) / step)).otherwise(0)
+    last = F.when(present, F.floor((F.col("_through") - 1) / step)).otherwise(0)
+    spread = placed.withColumn("part", F.explode(F.sequence(first, last)))
+    begin = F.greatest(F.col("_through") - F.col("_n"), F.col("part") * step)
+    copies = (F.least(F.col("_through"), (F.col("part") + 1) * step) - begin).cast("int")
+    text = F.concat("_value", F.repeat(F.concat(F.lit(separator), "_value"), copies - 1))
     quoted = separator.replace("'", "\\'")
-    joined = lambda text: F.expr(f"listagg({text}, '{quoted}') WITHIN GROUP (ORDER BY _value)")
-    zero, step = F.lit(0).cast("bigint"), F.lit(part_size).cast("bigint")
-
-    plain = reshuffled(rows.join(large, keys, "left_anti"), *keys).groupBy(*keys).agg(joined("_value").alias(out))
-    plain = plain.select(*keys, zero.alias("part"), out)
-
-    counted = rows.where(F.col("_value").isNotNull()).join(large, keys)
-    counted = counted.groupBy(*keys, "_all", "_value").agg(count_rows().alias("_n"))
-    slices = counted.withColumn("_slice", F.explode(F.sequence(zero, F.floor((F.col("_n") - 1) / step))))
-    copies = F.least(step, F.col("_n") - F.col("_slice") * step).cast("int")
-    units = slices.select(
-        *keys,
-        F.pmod(F.xxhash64("_value", "_slice"), F.ceil(F.col("_all") / step)).alias("part"),
-        "_value",
-        F.concat("_value", F.repeat(F.concat(F.lit(separator), "_value"), copies - 1)).alias("_text"),
-    )
-    parts = reshuffled(units, *keys).groupBy(*keys, "part").agg(joined("_text").alias(out))
-    return plain.unionByName(parts)
+    joined = F.expr(f"listagg(_text, '{quoted}') WITHIN GROUP (ORDER BY _value)")
+    return spread.withColumn("_text", text).groupBy(*keys, "part").agg(joined.alias(out)).select(*keys, "part", out)
 
 
 def concat_distinct_per_key(df, keys, value: str, out: str, **options) -> DataFrame:

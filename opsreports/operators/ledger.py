@@ -1,6 +1,6 @@
 """First-in first-out wallet ledger.
 
-Credits are used oldest first: by created day, then by the day they end, then by id.
+Credits are used oldest first: by created day, then by id.
 Each takes the earliest debits still open. A credit with an end day can only take debits
 dated before that day, which for a credit still valid on as_of is every debit.
 
@@ -9,10 +9,9 @@ have taken is itself a prefix of length P(i) of the customer's debit line:
 
     P(i) = max(P(i-1), min(P(i-1) + amount(i), D(end(i))))
 
-with D(t) the debits dated before t. Credits of one customer, created day and end day
-follow each other in the order, so they act as one lump, and debits of one day as one
-sum. The fold per customer therefore runs over lumps, however many rows a customer has;
-both sums are partial aggregates.
+with D(t) the debits dated before t. Credits of one customer and created day that follow each
+other by id and end on the same day act as one lump, their *run*; and debits of one day as one
+sum. The fold per customer therefore runs over lumps; both sums are partial aggregates.
 
 A credit still valid on as_of can take any debit. So the first valid lump that is not used
 up has taken the last of the debits: the valid lumps before it are empty and those after
@@ -34,7 +33,7 @@ from opsreports.operators.running import id_block, running_total
 from opsreports.session import settle
 
 WIDE = "decimal(28,2)"
-LUMP = ("customer", "created", "end")
+LUMP = ("customer", "created", "run", "end")
 
 
 def _open_debits(lumps: DataFrame, daily: DataFrame) -> DataFrame:
@@ -45,10 +44,11 @@ def _open_debits(lumps: DataFrame, daily: DataFrame) -> DataFrame:
     zero, none = F.lit(0).cast(WIDE), F.lit(None)
     ends = lumps.select(*LUMP, "lump", F.col("end").alias("at"), F.lit(0).alias("side"), zero.alias("used"))
     days = daily.select(
-        "customer", none.cast("date").alias("created"), none.cast("date").alias("end"), none.cast(WIDE).alias("lump"),
+        "customer", none.cast("date").alias("created"), none.cast("bigint").alias("run"), none.cast("date").alias("end"),
+        none.cast(WIDE).alias("lump"),
         F.col("date").alias("at"), F.lit(1).alias("side"), "used",
     )
-    before = W.partitionBy("customer").orderBy("at", "side", "created").rowsBetween(W.unboundedPreceding, 0)
+    before = W.partitionBy("customer").orderBy("at", "side", "created", "run").rowsBetween(W.unboundedPreceding, 0)
     line = ends.unionByName(days).withColumn("open", F.sum("used").over(before).cast(WIDE))
     return line.where(F.col("side") == 0).select(*LUMP, "lump", "open")
 
@@ -56,17 +56,17 @@ def _open_debits(lumps: DataFrame, daily: DataFrame) -> DataFrame:
 def _edges(lumps: DataFrame, as_of: dt.date) -> DataFrame:
     """Per customer the edge lump: its key, its size and what is left of it."""
     step = F.struct(
-        F.col("created"), F.col("end"), F.col("lump"), F.col("open"), (F.col("end") >= day(as_of)).alias("valid")
+        F.col("created"), F.col("run"), F.col("end"), F.col("lump"), F.col("open"), (F.col("end") >= day(as_of)).alias("valid")
     )
     per_customer = lumps.groupBy("customer").agg(F.sort_array(F.collect_list(step)).alias("steps"))
-    edge_type = "struct<created:date,end:date,lump:decimal(28,2),left:decimal(28,2)>"
+    edge_type = "struct<created:date,run:bigint,lump:decimal(28,2),left:decimal(28,2)>"
     start = F.struct(F.lit(0).cast(WIDE).alias("taken"), F.lit(None).cast(edge_type).alias("edge"))
 
     def fold(state, credit):
         wanted = (state["taken"] + credit["lump"]).cast(WIDE)
         taken = F.greatest(state["taken"], F.least(wanted, credit["open"]))
         here = F.struct(
-            credit["created"].alias("created"), credit["end"].alias("end"), credit["lump"].alias("lump"),
+            credit["created"].alias("created"), credit["run"].alias("run"), credit["lump"].alias("lump"),
             (wanted - credit["open"]).cast(WIDE).alias("left"),
         ).cast(edge_type)
         found = credit["valid"] & (wanted > credit["open"])
@@ -93,8 +93,11 @@ def ledger_balances(
     c = columns
     entries = entries.where(F.col(c["created"]) < day(as_of))
     amount = F.col(c["amount"]).cast(MONEY)
-    keys = {"customer": c["customer"], "created": c["created"], "end": c["end"]}
-    credits = entries.where(F.col(c["kind"]) == credit)
+    keys = {"customer": c["customer"], "created": c["created"], "run": "_streak", "end": c["end"]}
+    by_id = W.partitionBy(c["customer"], c["created"]).orderBy(c["id"])
+    turn = F.lag(c["end"]).over(by_id).eqNullSafe(F.col(c["end"]))
+    credits = entries.where(F.col(c["kind"]) == credit).withColumn("_turn", F.when(turn, 0).otherwise(1))
+    credits = credits.withColumn("_streak", F.sum("_turn").over(by_id)).drop("_turn")
     daily = entries.where(F.col(c["kind"]) == debit).groupBy(
         F.col(c["customer"]).alias("customer"), F.col(c["created"]).alias("date")
     ).agg(F.sum(amount).cast(WIDE).alias("used"))
@@ -106,8 +109,8 @@ def ledger_balances(
 
     created, end = F.col(c["created"]), F.col(c["end"])
     same_day = created == F.col("_edge.created")
-    at_edge = F.coalesce(same_day & (end == F.col("_edge.end")), F.lit(False))
-    behind = F.coalesce((created > F.col("_edge.created")) | (same_day & (end > F.col("_edge.end"))), F.lit(False))
+    at_edge = F.coalesce(same_day & (F.col("_streak") == F.col("_edge.run")), F.lit(False))
+    behind = F.coalesce((created > F.col("_edge.created")) | (same_day & (F.col("_streak") > F.col("_edge.run"))), F.lit(False))
     untouched = behind & (end >= day(as_of))
     plain = rows.where(~at_edge).withColumn("balance", F.when(untouched, amount).otherwise(F.lit(0)).cast(MONEY))
 
@@ -118,7 +121,7 @@ def ledger_balances(
     gone = F.col("_edge.lump") - F.col("_edge.left")
     rest = F.least(amount, F.greatest(F.lit(0), F.col("_through") - gone)).cast(MONEY)
     cut = cut.withColumn("balance", rest).drop("_through")
-    return plain.unionByName(cut).drop("_edge")
+    return plain.unionByName(cut).drop("_edge", "_streak")
 
 
 def ledger_no_expiry(

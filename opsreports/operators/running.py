@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from opsreports.session import settle
+
 ID_BLOCK = 1 << 16
 
 
@@ -20,14 +22,6 @@ def id_block(column: str, size: int = ID_BLOCK) -> Column:
     return F.floor(F.col(column) / size)
 
 
-
-
-def id_levels(column: str) -> list[Column]:
-    """Two steps for a long run of ids under one key: no task gets more than a few thousand
-    block totals, or more than 2^14 rows, up to 2^42 ids."""
-    return [id_block(column, 1 << 28), id_block(column, 1 << 14)]
-
-
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
@@ -66,8 +60,27 @@ def running_total(
     return joined.withColumn(out, F.col("_run") + F.col("_start")).drop("_run", "_start", *names)
 
 
-def row_numbers(
-    df: DataFrame, keys: Sequence[str], levels: Sequence[Column], order: Sequence[str], out: str
+def ordered_position(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "position", weight: Column | None = None
 ) -> DataFrame:
-    """1, 2, 3 ... along the order, within each key (or over all rows with no key)."""
-    return running_total(df, keys, levels, order, F.lit(1).cast("bigint"), out)
+    """1, 2, 3 ... along the order within each key, or the running sum of ``weight``; for ids of any density.
+
+    The rows are range-partitioned by key and order and written once, so that a hot key is spread over
+    many slices; each slice is summed by itself. Only keys that go on from an earlier slice need that
+    slice's total, and there are at most as many such pairs as slices. ``order`` must be a total
+    order within a key.
+    """
+    keys, order = list(keys), list(order)
+    value = F.lit(1).cast("bigint") if weight is None else weight
+    sliced = settle(df.withColumn("_weight", value).repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id()))
+    through = W.partitionBy("_slice", *keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    earlier = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    totals = sliced.groupBy("_slice", *keys).agg(F.sum("_weight").alias("_sum"))
+    starts = totals.withColumn("_start", F.sum("_sum").over(earlier)).where(F.col("_start") > 0).select(
+        F.col("_slice").alias("_at"), "_start", *[F.col(k).alias(f"_key_{k}") for k in keys]
+    )
+    same = F.col("_slice") == F.col("_at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    rows = sliced.withColumn("_run", F.sum("_weight").over(through)).join(starts, same, "left")
+    return rows.withColumn(out, F.col("_run") + F.coalesce("_start", F.lit(0))).select(*df.columns, out)

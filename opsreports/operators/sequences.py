@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from opsreports.functions.text import first_clause
 from opsreports.operators.joins import reshuffled
-from opsreports.operators.running import id_block, id_levels, row_numbers, running_total
+from opsreports.operators.running import ordered_position
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -17,13 +17,13 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
-def rank_average(df: DataFrame, key: str, value: str, levels: Sequence[Column], out: str = "rank") -> DataFrame:
+def rank_average(df: DataFrame, key: str, value: str, out: str = "rank") -> DataFrame:
     """Ascending rank of value within key, ties sharing the mean of their places.
 
-    Ranks are worked out on the distinct values; ``levels`` cut their order, coarse to fine.
+    Ranks are worked out on the distinct values.
     """
     counted = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("_ties"))
-    through = running_total(counted, [key], levels, [value], F.col("_ties"), "_through")
+    through = ordered_position(counted, [key], [value], "_through", F.col("_ties"))
     ranked = through.select(key, value, (F.col("_through") - (F.col("_ties") - 1) / 2).alias(out))
     return df.join(reshuffled(ranked, key, value), [key, value])
 
@@ -86,28 +86,19 @@ def comment_history(
 ) -> DataFrame:
     """Per lead: heading and one ``stamp : text`` line per comment in id order, blank ones skipped.
 
-    The id is unique within a lead. A lead with more than ``part_size`` comments comes as
-    several rows numbered by ``part``, cut at fixed id steps and so in order; only the first
-    has the heading. Put end to end they are the whole text.
+    The id is unique within a lead. Every history is cut into parts of ``part_size`` comments, numbered from 0; only
+    the first has the heading. Put end to end they are the whole text.
     """
     line = F.concat(F.coalesce(stamp.cast("string"), F.lit("")), F.lit(" : "), F.col(text), F.lit(" \n"))
     kept = df.where(F.col(text).isNotNull() & (F.col(text) != ""))
-    lines = kept.select(lead, F.col(comment_id).alias("_id"), line.alias("_line"))
-    sizes = kept.groupBy(lead).agg(F.count(F.lit(1)).alias("_all"), F.min(comment_id).alias("_least"))
-    large = reshuffled(sizes.where(F.col("_all") > part_size).drop("_all"), lead)
-    body = F.expr("listagg(_line, '') WITHIN GROUP (ORDER BY _id)")
-
-    plain = reshuffled(lines.join(large, lead, "left_anti"), lead).groupBy(lead).agg(body.alias("_body"))
-    plain = plain.select(lead, F.lit(0).cast("bigint").alias("part"), F.concat(F.lit(heading), "_body").alias("history"))
-
-    cut = lines.join(large, lead).select(
-        lead, id_block("_id", part_size).alias("part"), id_block("_least", part_size).alias("_first"), "_id", "_line"
+    placed = ordered_position(kept.select(lead, F.col(comment_id).alias("_id"), line.alias("_line")), [lead], ["_id"])
+    parts = placed.withColumn("part", F.floor((F.col("position") - 1) / part_size)).groupBy(lead, "part").agg(
+        F.expr("listagg(_line, '') WITHIN GROUP (ORDER BY _id)").alias("_body")
     )
-    parts = reshuffled(cut, lead).groupBy(lead, "part", "_first").agg(body.alias("_body"))
-    opening = F.when(F.col("part") == F.col("_first"), F.lit(heading)).otherwise(F.lit(""))
-    return plain.unionByName(parts.select(lead, "part", F.concat(opening, "_body").alias("history")))
+    opening = F.when(F.col("part") == 0, F.lit(heading)).otherwise(F.lit(""))
+    return parts.select(lead, "part", F.concat(opening, "_body").alias("history"))
 
 
 def serial_number(df: DataFrame, order: str, out: str = "serial") -> DataFrame:
-    """1, 2, 3 ... over all rows in the order of a unique integer id."""
-    return row_numbers(df, [], id_levels(order), [order], out)
+    """1, 2, 3 ... over all rows in the order of a unique id of any kind."""
+    return ordered_position(df, [], [order], out)

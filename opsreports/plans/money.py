@@ -68,7 +68,8 @@ def consultation_fees(
     excluded_hospitals: Sequence[int] = (), keep: Keep = as_is,
 ) -> dict[str, DataFrame]:
     """Fee bands by day (four days and month to date) and by week, with shares and averages, per city."""
-    detail = keep(first_consultations(desk, wallet_mode, excluded_hospitals).where(F.col("city").isin(*cities)))
+    everywhere = keep(first_consultations(desk, wallet_mode, excluded_hospitals))
+    detail = everywhere.where(F.col("city").isin(*cities))
     labels = {"bucket": fee_bucket_labels(wallet_mode)}
     days, weeks = day_windows(as_of), week_windows(as_of)
     when = F.col("appointmentDate")

@@ -13,8 +13,7 @@ from opsreports.functions.times import LOCAL_OFFSET, local_time, parse_day_first
 from opsreports.operators import aggregates as agg
 from opsreports.operators.filters import min_age_days, not_pair, previous_hour, trailing_window
 from opsreports.operators.joins import attach, drop_known, keep_known
-from opsreports.operators.running import id_block
-from opsreports.operators.sequences import new_or_existing, rank_average
+from opsreports.operators.sequences import rank_average
 from opsreports.plans.common import Keep, as_is, with_case_city, with_patient
 from opsreports.plans.inputs import Desk
 from opsreports.session import settle
@@ -26,8 +25,10 @@ def home_pickup(desk: Desk, hospital_id: int) -> dict[str, DataFrame]:
                     ["patientId", "leadSource", "caseType", "reason"], "inner")
     came = visits.where(F.col("hospitalId") == hospital_id)
     theirs = keep_known(visits.where(F.col("doctorConsultationStatus") == "3"), "patientId", came, "patientId")
-    ranked = rank_average(settle(theirs), "patientId", "id", [id_block("id")])
-    rows = new_or_existing(ranked, "patientId", "id", F.col("hospitalId") == hospital_id)
+    ranked = rank_average(settle(theirs), "patientId", "id")
+    # The id is unique, so the first visit anywhere is the one of rank 1.
+    kind = F.when(F.col("rank") == 1, "New Patient").otherwise("Existing patient")
+    rows = ranked.where(F.col("hospitalId") == hospital_id).withColumn("patient_type", kind)
     status = code_to_label_strict(F.col("doctorConsultationStatus"), CONSULTATION_STATUS_LIVE)
     rows = rows.withColumn("status", status)
     rows = with_patient(rows, desk, ["patientName"], ["customerNumber"], how="left")

@@ -53,8 +53,10 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute a frame once and keep it in the shared folder, for plans that read it several times."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """Compute a frame once as parquet in the shared folder, for plans that read it several times.
+
+    Filters and column choices reach the re-read, and it survives lost executors.
+    """
+    path = fresh_dir(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

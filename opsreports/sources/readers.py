@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from opsreports.functions.times import Window, local_date
 from opsreports.operators.aggregates import in_window
 from opsreports.operators.filters import between_local_dates
+from opsreports.sources.writers import NULL_MARK
 
 
 def read_table(
@@ -63,14 +64,24 @@ def by_window(
     return df.where(between_local_dates(ts, first, last, offset)).withColumn(out, F.explode(hits))
 
 
+# Cells may hold line breaks. An empty unquoted cell, as other programs write it, is NULL too.
+SHEET = {"header": True, "escape": '"', "nullValue": NULL_MARK, "multiLine": True}
+
+
+def _plain(sheet: DataFrame) -> DataFrame:
+    """The guard of ``writers.guarded`` taken off."""
+    texts = [f.name for f in sheet.schema.fields if isinstance(f.dataType, T.StringType)]
+    return sheet.withColumns({c: F.regexp_replace(sheet[c], r"^\\(\\+N)$", "$1") for c in texts})
+
+
 def read_records(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
     """A sheet with a header as typed records."""
-    return spark.read.options(header=True, **options).schema(schema).csv(path)
+    return _plain(spark.read.options(**{**SHEET, **options}).schema(schema).csv(path))
 
 
 def read_raw(spark: SparkSession, path: str, names: Mapping[str, str] | None = None, **options) -> DataFrame:
     """A sheet as text cells under its own header, long titles renamed."""
-    raw = spark.read.options(header=True, inferSchema=False, **options).csv(path)
+    raw = _plain(spark.read.options(**{**SHEET, "inferSchema": False, **options}).csv(path))
     return raw.withColumnsRenamed(dict(names or {}))
 
 

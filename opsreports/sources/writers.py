@@ -9,9 +9,26 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from opsreports.operators.joins import drop_known
 
 
+# How cells are written and read, so that line breaks, quotes, edge spaces, empty text and NULL come back as they
+# were: every cell is quoted, quotes inside are doubled, and NULL is spelled \\N.
+NULL_MARK = "\\N"
+CSV = {"header": True, "quoteAll": True, "escape": '"', "nullValue": NULL_MARK, "emptyValue": "",
+       "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def guarded(df: DataFrame) -> DataFrame:
+    """Text cells that would read as NULL, however often guarded before, get one more backslash."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.regexp_replace(df[c], r"^(\\+N)$", r"\\$1") for c in texts})
+
+
+def _put(df: DataFrame, path: str) -> None:
+    guarded(df).write.options(**CSV).csv(path)
+
+
 def write_csv(df: DataFrame, path: str) -> str:
-    """Detail rows as CSV with a header."""
-    df.write.option("header", True).csv(path)
+    """Detail rows as CSV with a header; ``readers.read_records`` gives the same cells back."""
+    _put(df, path)
     return path
 
 
@@ -20,7 +37,7 @@ def write_workbook(sheets: Mapping[str, DataFrame], path: str) -> dict[str, str]
     made = {}
     for name, df in sheets.items():
         made[name] = f"{path}/sheet={name}"
-        df.write.option("header", True).csv(made[name])
+        _put(df, made[name])
     return made
 
 

@@ -64,7 +64,10 @@ def test_a_large_group_comes_in_parts_and_whole(spark):
     out = agg.concat_per_key(spark.createDataFrame(items, "k int, v string"), ["k"], "v", "t", part_size=50).collect()
     got = Counter((r["k"], v) for r in out for v in r["t"].split(","))
     assert got == Counter(items)
-    assert len([r for r in out if r["k"] == 1]) > 3 and len([r for r in out if r["k"] == 2]) == 1
+    for k in (1, 2):
+        parts = [r["t"].split(",") for r in sorted(out, key=lambda r: r["part"]) if r["k"] == k]
+        assert sum(parts, []) == sorted(v for q, v in items if q == k) and all(len(p) == 50 for p in parts[:-1])
+    assert sorted(r["part"] for r in out if r["k"] == 1) == list(range(10)) and len([r for r in out if r["k"] == 2]) == 1
 
 
 def test_incentive_rules(spark):

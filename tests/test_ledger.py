@@ -68,7 +68,7 @@ def brute_force(rows):
         mine = [r for r in rows if r[1] == customer]
         debits = [[r[4], r[0], r[3]] for r in mine if r[2] == "DEBITED"]
         debits.sort()
-        for i, _, _, amount, _, end in sorted((r for r in mine if r[2] == "CREDITED"), key=lambda r: (r[4], r[5], r[0])):
+        for i, _, _, amount, _, end in sorted((r for r in mine if r[2] == "CREDITED"), key=lambda r: (r[4], r[0])):
             left = amount
             for entry in debits:
                 if entry[0] < end:

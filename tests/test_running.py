@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from opsreports.operators.running import id_block, id_levels, row_numbers, running_total
+from opsreports.operators.running import id_block, ordered_position, running_total
 from opsreports.operators.sequences import rank_average, serial_number
 
 
@@ -19,22 +19,27 @@ def test_running_total_with_one_hot_key_equals_a_plain_sum(spark):
 
 
 def test_serial_numbers_have_no_gaps(spark):
-    ids = random.Random(2).sample(range(1 << 30), 500)
+    ids = random.Random(2).sample(range(1 << 62), 500)
     df = spark.createDataFrame([(i,) for i in ids], "id bigint").repartition(4)
     got = {r["id"]: r["serial"] for r in serial_number(df, "id").collect()}
     assert got == {i: n for n, i in enumerate(sorted(ids), 1)}
 
 
-def test_row_numbers_within_a_key(spark):
-    df = spark.createDataFrame([(k, i) for i in range(50) for k in (1, 2)], "k bigint, id bigint")
-    out = row_numbers(df, ["k"], id_levels("id"), ["id"], "n").collect()
-    assert all(r["n"] == r["id"] + 1 for r in out) and len(out) == 100
+def test_positions_within_hot_and_sparse_keys(spark):
+    rows = [(k, i * 7_919_191_919 % (1 << 62), None if k == 3 else "x") for k in (1, 2, 3) for i in range(2000 if k == 1 else 20)] + [(None, 5, "y")]
+    df = spark.createDataFrame(rows, "k bigint, id bigint, v string").repartition(6)
+    got = sorted((r["k"] or 0, r["id"], r["position"], r["v"]) for r in ordered_position(df, ["k"], ["id"]).collect())
+    want = []
+    for k in (0, 1, 2, 3):
+        own = sorted((i, v) for q, i, v in rows if (q or 0) == k)
+        want += [(k, i, n, v) for n, (i, v) in enumerate(own, 1)]
+    assert got == want
 
 
 def test_ties_share_the_mean_rank(spark):
     values = [(1, 10), (1, 20), (1, 20), (1, 30), (1, 30), (1, 30), (2, 5)]
     df = spark.createDataFrame(values, "k bigint, v bigint")
-    out = rank_average(df, "k", "v", [F.floor(F.col("v") / 20)])
+    out = rank_average(df, "k", "v")
     assert sorted((r["k"], r["v"], float(r["rank"])) for r in out.collect()) == [
         (1, 10, 1.0), (1, 20, 2.5), (1, 20, 2.5), (1, 30, 5.0), (1, 30, 5.0), (1, 30, 5.0), (2, 5, 1.0),
     ]

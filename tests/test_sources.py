@@ -17,6 +17,15 @@ def test_records_and_raw_sheets(spark, tmp_path):
     assert [r["caseid"] for r in raw.collect()] == ["7", "8"]
 
 
+def test_cells_come_back_as_they_were(spark, tmp_path):
+    cells = ['line one\nline two, "quoted"', "", None, "  edge  ", "\\N", "\\\\N", "N", '"', "a\r\nb\rc", "\\", 'x\\"y']
+    df = spark.createDataFrame(list(enumerate(cells)), "id bigint, cell string")
+    path = writers.write_csv(df, str(tmp_path / "cells"))
+    assert [tuple(r) for r in readers.read_records(spark, path, df.schema).orderBy("id").collect()] == list(enumerate(cells))
+    raw = {r["id"]: r["answer"] for r in readers.read_raw(spark, path, {"cell": "answer"}).collect()}
+    assert raw == {str(i): c for i, c in enumerate(cells)}
+
+
 def test_key_list_leaves_the_instruction_out(spark):
     sheet = spark.createDataFrame([("do not edit",), ("5",), ("6",)], "id string")
     keys = readers.key_list(sheet, "id", F.col("id").contains("edit"))
