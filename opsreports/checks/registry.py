@@ -38,6 +38,17 @@ class Tables:
         return self.spark.read.schema(_schemas[path]).parquet(path)
 
 
+_sessions: set[int] = set()
+
+
+def _configured(spark: SparkSession) -> SparkSession:
+    """The session with the library's settings, made once."""
+    if id(spark) not in _sessions:
+        configure(spark)
+        _sessions.add(id(spark))
+    return spark
+
+
 def query(name: str, sql: str | None = None):
     """Register a ``Tables -> DataFrame`` function, with the SQL that gives the same rows."""
 
@@ -46,7 +57,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query registered twice: {name}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(Tables(configure(spark), sf_dir))
+            return build(Tables(_configured(spark), sf_dir))
 
         run.__doc__ = build.__doc__
         QUERIES[name] = run

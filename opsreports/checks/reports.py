@@ -305,14 +305,24 @@ def followup_queue_today(t: Tables) -> DataFrame:
     return queues.followup_queue_today(DeskTables(t), NOON, **QUEUE)["slots"]
 
 
+TEAM_SQL = """, m AS (SELECT DISTINCT cityId, unnest(string_split(emailId, ',')) AS member FROM agent_source WHERE cityId IN (3, 4)),
+     e AS (SELECT m.cityId, count(*) AS n, string_agg(member, ',' ORDER BY member) AS names FROM m
+       JOIN support_staff s ON s.email = member WHERE s.cityId <> m.cityId GROUP BY 1)"""
+
+
+@query(
+    "r06_followup_queue_names",
+    with_desk(*QUEUE_TABLES) + TEAM_SQL + ' SELECT cityId AS "cityId", 0::BIGINT AS part, names AS other_city_agents FROM e',
+)
+def followup_queue_names(t: Tables) -> DataFrame:
+    return queues.followup_queue_today(DeskTables(t), NOON, **QUEUE)["names"]
+
+
 @query(
     "r06_followup_queue_agents",
-    with_desk(*QUEUE_TABLES) + """, m AS (SELECT DISTINCT cityId, unnest(string_split(emailId, ',')) AS member FROM agent_source WHERE cityId IN (3, 4)),
-     e AS (SELECT m.cityId, count(*) AS n, string_agg(member, ',' ORDER BY member) AS names FROM m
-       JOIN support_staff s ON s.email = member WHERE s.cityId <> m.cityId GROUP BY 1),
+    with_desk(*QUEUE_TABLES) + TEAM_SQL + """,
      z AS (SELECT cityId, count(*) AS queue_size FROM outbound_queue WHERE status = 'ENQUEUED' AND scheduledOn < TIMESTAMP '1998-06-17 12:00:00' GROUP BY 1)
-     SELECT m.cityId AS "cityId", any_value(k.cityName) AS city, count(*) AS members, coalesce(any_value(n), 0) AS other_city_members,
-       CASE WHEN any_value(n) IS NULL THEN NULL ELSE 0::BIGINT END AS part, any_value(names) AS other_city_agents, coalesce(any_value(queue_size), 0) AS queue_size
+     SELECT m.cityId AS "cityId", any_value(k.cityName) AS city, count(*) AS members, coalesce(any_value(n), 0) AS other_city_members, coalesce(any_value(queue_size), 0) AS queue_size
      FROM m LEFT JOIN e ON e.cityId = m.cityId LEFT JOIN z ON z.cityId = m.cityId JOIN city k ON k.id = m.cityId GROUP BY m.cityId""",
 )
 def followup_queue_agents(t: Tables) -> DataFrame:
@@ -504,18 +514,30 @@ def surgery_tracker(t: Tables) -> DataFrame:
     with_desk("visit", "appointment_test", "test") + """, v AS (SELECT *, consultationType IN ('Consultation', 'Online Consultation')
          AND appointmentStatus = 'DONE' AS consulted FROM visit),
      a AS (SELECT patientId, min(apptId) AS x FROM v WHERE consulted AND isDiagnosticsTestRecommended = 'YES' GROUP BY 1),
-     b AS (SELECT v.patientId, min(apptId) AS y FROM v JOIN a ON a.patientId = v.patientId WHERE consulted AND apptId > x GROUP BY 1),
-     n AS (SELECT appointmentId, string_agg(name, ',' ORDER BY name) AS names FROM appointment_test LEFT JOIN test ON test.id = testId GROUP BY 1)
+     b AS (SELECT v.patientId, min(apptId) AS y FROM v JOIN a ON a.patientId = v.patientId WHERE consulted AND apptId > x GROUP BY 1)
      SELECT a.patientId AS "patientId", coalesce(s.caseid, f.caseid) AS caseid, coalesce(s.number, f.number) AS number,
        strftime(f.appointmentDate, '%Y-%m-%d') AS "appointmentDate", x AS "apptId", y AS "nextApptId",
-       strftime(s.appointmentDate, '%Y-%m-%d') AS "nextAppointmentDate", CASE WHEN n.appointmentId IS NULL THEN NULL ELSE 0::BIGINT END AS part, names AS "testNames"
-     FROM a LEFT JOIN b ON b.patientId = a.patientId JOIN visit f ON f.apptId = x LEFT JOIN visit s ON s.apptId = y
-       LEFT JOIN n ON n.appointmentId = coalesce(y, x)""",
+       strftime(s.appointmentDate, '%Y-%m-%d') AS "nextAppointmentDate"
+     FROM a LEFT JOIN b ON b.patientId = a.patientId JOIN visit f ON f.apptId = x LEFT JOIN visit s ON s.apptId = y""",
 )
 def advised_then_visited(t: Tables) -> DataFrame:
     return plain(diagnostics.advised_then_visited(DeskTables(t))["pairs"])
 
 
+@query(
+    "r15_tests_of_pairs",
+    with_desk("visit", "appointment_test", "test") + """, done AS (SELECT patientId, apptId, isDiagnosticsTestRecommended = 'YES' AS advised FROM visit
+       WHERE appointmentStatus = 'DONE' AND consultationType IN ('Consultation', 'Online Consultation')),
+     began AS (SELECT patientId, min(apptId) AS x FROM done WHERE advised GROUP BY ALL),
+     last AS (SELECT patientId, x, min(apptId) FILTER (apptId > x) AS y FROM began JOIN done USING (patientId) GROUP BY ALL),
+     wanted AS (SELECT DISTINCT coalesce(y, x) AS appointmentId FROM last)
+     SELECT appointmentId AS "appointmentId", 0::BIGINT AS part, string_agg(name, ',' ORDER BY name) AS "testNames"
+     FROM wanted JOIN appointment_test USING (appointmentId) LEFT JOIN test ON test.id = testId GROUP BY 1""",
+)
+def tests_of_pairs(t: Tables) -> DataFrame:
+    return diagnostics.advised_then_visited(DeskTables(t))["tests"]
+
+
 @query(
     "r16_satisfaction_messages",
     with_desk("message") + f""", m AS (SELECT * FROM message WHERE toMessage <> fromId AND createdOn {LOCAL} >= TIMESTAMP '1998-03-01')

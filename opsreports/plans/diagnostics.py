@@ -16,7 +16,6 @@ from opsreports.operators.joins import attach, flag_known, keep_known, lookup_fi
 from opsreports.operators.sequences import followup_pair
 from opsreports.plans.common import Keep, as_is, with_facility_city, with_patient
 from opsreports.plans.inputs import Desk
-from opsreports.session import settle
 
 # Channels and visit kinds of the case report.
 OUTSIDE_SOURCES = ("Offline channel", "CAMP")
@@ -113,12 +112,13 @@ def diagnostic_week(
         (F.col("doctorConsultationStatus") == "3") & between_dates(F.col("appointmentDate"), window.start, window.end)
     )
     rows = with_facility_city(rows, desk).where(F.col("facilityCityId").isin(*city_ids))
+    leads = rows.where(~is_test).select("leadId")
     rows = attach(rows, desk["patient_case"], {"leadId": "caseId"}, ["patientId"])
     rows = with_patient(rows, desk, (), ["customerNumber"], how="left", known="knownCustomer")
     is_visit = ~is_test & F.col("knownCustomer")
 
     taken = desk["appointment"].where((F.col("doctorConsultationStatus") == "3") & is_test)
-    taken = keep_known(taken, "leadId", rows.where(is_visit), "leadId").select(
+    taken = keep_known(taken, "leadId", leads, "leadId").select(
         F.col("originConsultationId").try_cast("bigint").alias("origin")
     )
     closed = desk["lead_comment"].where(
@@ -154,9 +154,7 @@ def advised_then_visited(desk: Desk) -> dict[str, DataFrame]:
         F.col("second_apptId").alias("nextApptId"), F.col("second_appointmentDate").alias("nextAppointmentDate"),
         latest("apptId").alias("_tested"),
     )
-    rows = settle(rows)
     tests = keep_known(desk["appointment_test"], "appointmentId", rows, "_tested")
     tests = attach(tests, desk["test"], {"testId": "id"}, {"name": "testName"})
     names = agg.concat_per_key(tests, ["appointmentId"], "testName", "testNames")
-    named = attach(rows, names, {"_tested": "appointmentId"}, ["part", "testNames"]).drop("_tested")
-    return {"pairs": named.orderBy("apptId", "part")}
+    return {"pairs": rows.drop("_tested").orderBy("apptId"), "tests": names}

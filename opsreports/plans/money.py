@@ -16,7 +16,7 @@ from opsreports.functions.text import json_text
 from opsreports.functions.times import LOCAL_OFFSET, day_windows, local_date, local_time, pick_windows, week_windows
 from opsreports.operators import aggregates as agg
 from opsreports.operators.filters import between_local_dates, within_last
-from opsreports.operators.joins import attach, attach_latest, attach_where, flag_known, keep_known
+from opsreports.operators.joins import attach, attach_latest, attach_where, flag_known, keep_known, lookup_first
 from opsreports.operators.ledger import ledger_balances
 from opsreports.operators.sequences import first_per_key, serial_number
 from opsreports.plans.common import Keep, as_is, with_case_city, with_facility_city, with_patient
@@ -42,10 +42,9 @@ def first_consultations(desk: Desk, wallet_mode: str, excluded_hospitals: Sequen
         ~F.col("leadSource").isin(*OUTSIDE_SOURCES) & (F.col("caseType") != "Diagnostics")
     )
     visits = attach(visits, cases, {"leadId": "caseId"}, ["patientId", "leadSource"], "inner")
-    visits = attach(visits, desk["patient_profile"], {"patientId": "id"}, ["customerId"])
-    links = desk["payment_link"].select("entityId", "paymentMode", F.col("id").alias("linkId"))
-    visits = attach(visits, links, {"leadId": "entityId"}, ["paymentMode", "linkId"])
-    first = first_per_key(visits, ["patientId"], ["id", F.col("linkId").asc_nulls_last()])
+    first = first_per_key(visits, ["patientId"], ["id"])
+    first = attach(first, desk["patient_profile"], {"patientId": "id"}, ["customerId"])
+    first = lookup_first(first, "leadId", desk["payment_link"], "entityId", {"paymentMode": "paymentMode"}, ["id"])
     first = attach_latest(with_facility_city(first, desk, ()), desk["card"], {"customerId": "customerId"}, "activationDate", "issued")
     paid = desk["card_transaction"].where(
         (F.col("transactionType") == "DEBIT")
@@ -85,7 +84,7 @@ def consultation_fees(
     weekly = agg.with_all_labels(weekly, ["city"], labels)
     weekly = agg.total_row(weekly, ["city"], "bucket", [*counts, *sums])
     weekly = agg.averages(agg.share_of_column(weekly, ["city"], "bucket", counts), names)
-    return {"daily": daily, "weekly": weekly, "detail": detail}
+    return {"daily": daily, "weekly": weekly, "detail": everywhere}
 
 
 def payments(desk: Desk, first: dt.date, last: dt.date, once_per_card_payment: bool = False) -> DataFrame:

@@ -81,11 +81,11 @@ def followup_queue_today(
     names = agg.concat_per_key(away, ["cityId"], "member", "other_city_agents")
     due = waiting.where(due_before(F.col("scheduledOn"), as_of))
     queue_size = agg.count_group(due, "cityId", out="queue_size")
-    agents = sizes.join(names, "cityId", "left").join(queue_size, "cityId", "left").na.fill(0, ["queue_size"])
+    agents = sizes.join(queue_size, "cityId", "left").na.fill(0, ["queue_size"])
     agents = attach(agents, desk["city"], {"cityId": "id"}, {"cityName": "city"})
     return {
         "slots": _slot_table(slots, ["queued", "pending", "with_agent", "scheduled"]),
-        "agents": agents, "leads": leads, "calls": calls,
+        "agents": agents, "names": names, "leads": leads, "calls": calls,
     }
 
 

@@ -4,13 +4,13 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
+from opsreports.checks import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not here")
 
 # Queries that write or stream while they are built are left to the twin tests.
-NAMES = sorted(n for n in entry.queries() if not n.startswith(("a", "i")))
+NAMES = sorted(n for n in QUERIES if not n.startswith(("a", "i")))
 
 
 SETTLED = (
@@ -31,7 +31,7 @@ def no_broadcast(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_plan_stays_in_the_jvm_and_joins_by_key(no_broadcast, name):
-    text = plan(entry.queries()[name](no_broadcast, SF))
+    text = plan(QUERIES[name](no_broadcast, SF))
     for word in ("Python", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastExchange", "Scan ExistingRDD"):
         if word == "Scan ExistingRDD" and name in SETTLED:
             continue  # read back from the shared folder
@@ -43,20 +43,20 @@ def test_plan_stays_in_the_jvm_and_joins_by_key(no_broadcast, name):
     ("b14_filter_min_age_days", "ts"), ("a02_read_windowed", "o_orderdate"),
 ])
 def test_date_range_reaches_the_scan(spark, name, column):
-    text = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    text = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert f"LessThan({column}" in text or f"LessThanOrEqual({column}" in text
 
 
 def test_first_per_key_keeps_one_row_before_the_shuffle(spark):
-    text = plan(entry.queries()["e01_first_per_key"](spark, SF))
+    text = plan(QUERIES["e01_first_per_key"](spark, SF))
     assert text.count("WindowGroupLimit") == 2 and "Partial" in text
 
 
 @pytest.mark.parametrize("name,kind", [("c08_semi_join", "LeftSemi"), ("c10_anti_join_new_rows", "LeftAnti")])
 def test_membership_is_a_semi_or_anti_join(spark, name, kind):
-    assert kind in plan(entry.queries()[name](spark, SF))
+    assert kind in plan(QUERIES[name](spark, SF))
 
 
 def test_two_column_query_reads_two_columns(spark):
-    text = plan(entry.queries()["d24_coverage_pct"](spark, SF))
+    text = plan(QUERIES["d24_coverage_pct"](spark, SF))
     assert "c_name" not in text.split("ReadSchema")[1]

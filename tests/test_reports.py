@@ -158,8 +158,10 @@ def test_agents_are_matched_by_their_city_id(spark):
         outbound_queue=[{"queueId": 1, "cityId": 4, "status": "ENQUEUED", "scheduledOn": NOON - dt.timedelta(minutes=1)},
                         {"queueId": 2, "cityId": 4, "status": "ENQUEUED", "scheduledOn": NOON}],
     )
-    agents = {r["city"]: r for r in queues.followup_queue_today(desk, NOON, **QUEUE)["agents"].collect()}
-    assert (agents["NCR"]["members"], agents["NCR"]["other_city_agents"], agents["NCR"]["queue_size"]) == (2, "b", 1)
+    out = queues.followup_queue_today(desk, NOON, **QUEUE)
+    agents = {r["city"]: r for r in out["agents"].collect()}
+    assert (agents["NCR"]["members"], agents["NCR"]["other_city_members"], agents["NCR"]["queue_size"]) == (2, 1, 1)
+    assert [tuple(r) for r in out["names"].collect()] == [(4, 0, "b")]
     assert (agents["Jaipur"]["members"], agents["Jaipur"]["other_city_members"], agents["Jaipur"]["queue_size"]) == (1, 0, 0)
 
 
@@ -222,9 +224,11 @@ def test_second_visit_replaces_the_case_and_tests_of_the_first(spark):
                       {**v, "patientId": 2, "apptId": 3, "caseid": 12, "number": "c", "appointmentDate": DAY}],
         appointment_test=[{"appointmentId": 2, "testId": 1}, {"appointmentId": 3, "testId": 2}], test=[{"id": 1, "name": "t1"}, {"id": 2, "name": "t2"}],
     )
-    rows = {r["patientId"]: r for r in diagnostics.advised_then_visited(desk)["pairs"].collect()}
-    assert (rows[1]["caseid"], rows[1]["number"], rows[1]["nextApptId"], rows[1]["testNames"]) == (11, None, 2, "t1")
-    assert (rows[2]["caseid"], rows[2]["nextApptId"], rows[2]["testNames"]) == (12, None, "t2")
+    out = diagnostics.advised_then_visited(desk)
+    rows = {r["patientId"]: r for r in out["pairs"].collect()}
+    assert (rows[1]["caseid"], rows[1]["number"], rows[1]["nextApptId"]) == (11, None, 2)
+    assert (rows[2]["caseid"], rows[2]["nextApptId"]) == (12, None)
+    assert sorted(tuple(r) for r in out["tests"].collect()) == [(2, 0, "t1"), (3, 0, "t2")]
 
 
 def test_every_schema_is_usable(spark):
