@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from bisect import bisect_left
@@ -98,7 +99,7 @@ def lines_of(source: str | None) -> list[tuple[str, int]]:
     return out
 
 
-def shared_lines(a: list[str], b: list[str]) -> list[bool]:
+def shared_lines(a: list, b: list) -> list[bool]:
     """Which lines of ``a`` are in a longest common subsequence of both: matches by descending place, then a longest rising run."""
     places: dict[str, list[int]] = {}
     for j in range(len(b) - 1, -1, -1):
@@ -121,67 +122,68 @@ def shared_lines(a: list[str], b: list[str]) -> list[bool]:
     return out
 
 
-def main_text(lines: list[tuple[str, int]], other: list[tuple[str, int]] | None, copy_share: float = 0.9) -> tuple[str, int]:
-    """The main text, and how many lines were deleted as shared with the other page.
+def digest(line: str) -> int:
+    return int.from_bytes(hashlib.blake2b(line.encode(errors="replace"), digest_size=8).digest(), "little", signed=True)
 
-    Furniture goes. With a marked article its lines are the text. Without, the lines that the other page shares go too; unless
-    they are more than ``copy_share`` of what would be left: then the pages are copies of each other, and nothing is told.
+
+def main_text(lines: list[tuple[str, int]], other: list[int] | None, copy_share: float = 0.9) -> tuple[str, int]:
+    """The main text, and how many lines outside a marked article the other page shares, by its lines' digests.
+
+    Furniture goes. The lines of a marked article stay. Of the others, those that are also in the other page go. Without a marked article
+    this decides alone; unless the shared lines are more than ``copy_share`` of what would be left: then the pages are
+    copies of each other, and nothing is told. Next to a marked article all other lines go.
     """
     marked = any(p == ARTICLE for _, p in lines)
-    wanted = [(t, p) for t, p in lines if p == (ARTICLE if marked else OTHER)]
-    if marked or not other:
-        return "\n".join(t for t, _ in wanted), 0
-    shared = shared_lines([t for t, _ in lines], [t for t, _ in other])
-    gone = [s and p == OTHER for s, (_, p) in zip(shared, lines, strict=True)]
-    lost = sum(len(t) for g, (t, _) in zip(gone, lines, strict=True) if g)
-    if lost > copy_share * sum(len(t) for t, _ in wanted):
-        return "\n".join(t for t, _ in wanted), 0
+    shared = shared_lines([digest(t) for t, _ in lines], other) if other else [False] * len(lines)
+    gone = [s and p != ARTICLE for s, (_, p) in zip(shared, lines, strict=True)]
+    if marked:
+        return "\n".join(t for t, p in lines if p == ARTICLE), sum(gone)
+    wanted = sum(len(t) for t, p in lines if p == OTHER)
+    if sum(len(t) for g, (t, p) in zip(gone, lines, strict=True) if g and p == OTHER) > copy_share * wanted:
+        gone = [False] * len(lines)
     return "\n".join(t for g, (t, p) in zip(gone, lines, strict=True) if p == OTHER and not g), sum(gone)
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Rows (id, url, text, nearest, n_shared): each page's main text, the page it was compared with, and the lines deleted as shared.
+    """Rows (id, url, text, nearest, n_shared): each page's main text, the page it was compared with, and the lines that both have.
 
     Pages of a host are ordered by path; the nearer of a page's two neighbours, by edit distance of their URLs, is its partner (ties: the
-    one before it). Hosts may be of any size: only ids and URLs are ordered, in slices.
+    one before it). Hosts may be of any size: only ids and URLs are ordered, in slices. Partners travel as the digests
+    of their lines.
 
     Null or empty html: empty text. Null or hostless URLs and null ids: no partner. Rows that repeat an id each get their own text; as
-    partners they are one, of the smallest list of lines. Lone pages of a host have no partner. An empty table gives no rows; other
-    columns are ignored.
+    partners they are one, of the smallest list of digests. Lone pages of a host have no partner. An empty table gives no rows;
+    other columns are ignored.
     """
     kind = df.schema[id_col].dataType.simpleString()
     pages = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    lines_type = "array<struct<text:string,place:int>>"
-    arrow_lines = pa.list_(pa.struct([("text", pa.string()), ("place", pa.int32())]))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [[{"text": t, "place": p} for t, p in lines_of(h)] for h in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, arrow_lines)], names=["id", "url", "lines"])
+            made = [[digest(t) for t, _ in lines_of(h)] for h in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.list_(pa.int64()))], names=["id", "url", "lines"])
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = []
-            for own, other in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
-                flat = lambda lines: None if lines is None else [(x["text"], x["place"]) for x in lines]
-                made.append(main_text(flat(own), flat(other)))
+            made = [main_text(lines_of(own), other) for own, other in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.int64())],
                 names=["id", "url", "nearest", "text", "n_shared"],
             )
 
-    parsed = settle(pages.mapInArrow(parse, f"id {kind}, url string, lines {lines_type}"), "lines")
+    parsed = settle(pages.where("id IS NOT NULL").mapInArrow(parse, f"id {kind}, url string, lines array<long>"), "lines")
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    slim = parsed.where("id IS NOT NULL AND url IS NOT NULL").select("id", "url", host.alias("host"), path.alias("path")).where("host <> ''").dropDuplicates(["id"])
+    slim = parsed.where("url IS NOT NULL").select("id", "url", host.alias("host"), path.alias("path")).where("host <> ''").dropDuplicates(["id"])
     ordered = settle(in_order(slim, ["path"], within=["host"], take=["id", "url"]), "neighbours").where("next_id IS NOT NULL")
     gap = F.levenshtein("url", "next_url")
     both = ordered.select("id", F.col("next_id").alias("other"), gap.alias("gap"), F.lit(1).alias("after")).union(
         ordered.select("next_id", "id", gap, F.lit(0))
     )
     nearest = both.groupBy("id").agg(F.min(F.struct("gap", "after", "other")).alias("n")).select("id", F.col("n.other").alias("nearest"))
-    partners = parsed.where("id IS NOT NULL").groupBy(F.col("id").alias("nearest")).agg(F.min("lines").alias("theirs"))
-    joined = parsed.join(nearest, "id", "left").join(partners, "nearest", "left").select("id", "url", "nearest", "lines", "theirs")
+    partners = parsed.groupBy(F.col("id").alias("nearest")).agg(F.min("lines").alias("theirs"))
+    compared = nearest.join(partners, "nearest")
+    joined = pages.join(compared, "id", "left").select("id", "url", "nearest", "html", "theirs")
     return joined.mapInArrow(decide, f"id {kind}, url string, nearest {kind}, text string, n_shared long").select(
         F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "nearest", "n_shared"
     )

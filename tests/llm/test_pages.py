@@ -6,7 +6,7 @@ from opsreports.llm import pages
 
 
 def text_of(source, other=None):
-    return pages.main_text(pages.lines_of(source), None if other is None else pages.lines_of(other))[0]
+    return pages.main_text(pages.lines_of(source), None if other is None else [pages.digest(t) for t, _ in pages.lines_of(other)])[0]
 
 
 def test_structure():
