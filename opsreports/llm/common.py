@@ -85,31 +85,25 @@ def in_order(df: DataFrame, order: Sequence[str], within: Sequence[str] = (), ta
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(node, component): for every node of an edge (a, b), the smallest node it can reach.
 
-    Alternates two star rounds: each node's larger neighbours are linked to its smallest one, then
-    its smaller-or-equal ones. Rows stay in proportion to the edges and the rounds to the logarithm
-    of the longest path. Every round is written to the shared folder.
+    Contracts the graph: each node moves to the smallest of itself and its neighbours, and edges are drawn anew between
+    where their ends moved, until none are left. The smallest node of a component never moves, so all arrive there.
+    Each round is written to the shared folder; the edges at least halve in every component's nodes, so
+    rounds grow with the logarithm of the largest component.
     """
-    links = edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL")
-    links = settle(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
-    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).where("node IS NOT NULL").distinct()
+    known = edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL")
+    nodes = known.select(F.col("a").alias("node")).union(known.select("b")).distinct()
+    links = known.where("a <> b")
+    moved, found = None, nodes.withColumn("component", F.col("node"))
     while True:
-        both = links.union(links.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            least.where("m < a").select("a", F.col("m").alias("b"))
-        ).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            least.select("a", F.col("m").alias("b"))
-        ).distinct()
-        after = settle(small, label)
-        # Stars only: no node has two targets, and no target has one of its own.
-        done = after.groupBy("a").count().where("count > 1").isEmpty() and after.join(
-            after.select(F.col("a").alias("b")), "b", "left_semi"
-        ).isEmpty()
-        links = after
-        if done:
-            break
-    return nodes.join(links.withColumnRenamed("a", "node"), "node", "left").select(
-        "node", F.coalesce("b", "node").alias("component")
-    )
+        both = links.select("a", "b").union(links.select("b", "a"))
+        # The smallest node has its own place as the least; a row for each node with an edge.
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("x"), F.least("a", "m").alias("m"))
+        moved = settle(least, label)
+        ours, theirs = moved.select(F.col("x").alias("a"), F.col("m").alias("p")), moved.select(F.col("x").alias("b"), F.col("m").alias("q"))
+        again = links.join(ours, "a").join(theirs, "b").where("p <> q").select(F.greatest("p", "q").alias("a"), F.least("p", "q").alias("b")).distinct()
+        # A node that moved to another which moved on itself in this round is a link of the next.
+        hops = moved.where("x <> m").join(moved.select(F.col("x").alias("m"), F.col("m").alias("n")), "m").where("m <> n").select(F.col("m").alias("a"), F.col("n").alias("b"))
+        links = settle(again.union(hops).distinct(), label)
+        found = found.join(moved.withColumnRenamed("x", "component"), "component", "left").select("node", F.coalesce("m", "component").alias("component"))
+        if links.isEmpty():
+            return settle(found, label)

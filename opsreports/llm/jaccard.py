@@ -30,7 +30,8 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 #: Counters of the frequency sketch, and how many of them a row carries. Fixed, so what is broadcast doesn't grow.
-COUNTERS, SLICE = 1 << 20, 1 << 16
+COUNTERS, SLICE = 1 << 21, 1 << 17
+_SHIFT = np.uint64(64 - 21)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -110,10 +111,9 @@ def choose_boundary(sizes: dict[int, int], percent: int, most: int = 16) -> int:
 
 
 def _levels(counts: np.ndarray) -> np.ndarray:
-    """Per counter 0 if its count is what chance gives, else one more for each doubling beyond."""
-    mean = counts.sum() / len(counts)
-    usual = mean + 8 * math.sqrt(mean) + 8
-    return np.where(counts <= usual, 0, 1 + np.log2(np.maximum(counts, 1) / usual)).astype(np.uint8)
+    """How frequent the shingles of a counter may be, in 64ths of the mean count. Each set's rarest shingles then have counters that hold
+    little besides; a shingle of many documents is among them only where a set has hardly any other."""
+    return np.minimum(counts * 64 // max(1, int(counts.sum()) // len(counts)), 65_535).astype(np.uint16)
 
 
 def _count_sketch(rows: DataFrame) -> np.ndarray:
@@ -141,8 +141,8 @@ def similar_documents(
 
     Two documents link when 100 * shared >= ``percent`` * all of their shingles. Equal sets are brought down to one first. Candidates of
     large sets come from inverted lists over their rarest shingles. Frequent shingles are told by a sketch of fixed size, counted over
-    all documents; it orders the shingles and doesn't drop any. A list isn't paired out: its sets are first compared with one
-    centre each, ``stars`` times with other centres, and what is linked falls into a component. Then only sets of different components are
+    all documents; it orders the shingles and doesn't drop any. A list isn't paired out: its sets are first compared with
+    up to ``stars`` centres of it, and what is linked falls into a component. Then only sets of different components are
     paired, those that share as many list entries as similar sets must. Every candidate is checked on whole sets.
 
     Null and empty texts, and texts without words: size 0, linked with nothing. Null ids: linked with nothing, component null.
@@ -161,7 +161,7 @@ def similar_documents(
                 part = batch.slice(lo, 500)
                 sets = shingle_sets(part.column(1), width)
                 flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-                counts += np.bincount((flat >> np.uint64(44)).astype(np.int64), minlength=COUNTERS)
+                counts += np.bincount((flat >> _SHIFT).astype(np.int64), minlength=COUNTERS)
                 none = pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.int64()), pa.nulls(len(sets), pa.binary())
                 prints = [_print(s) for s in sets]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()), *none], names=names)
@@ -193,7 +193,7 @@ def similar_documents(
                     keys.append(int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True))
                     kinds.append(1 if m == n else 2 if m > n else 3)
         if n > boundary or n * 100 // percent > boundary:
-            order = np.lexsort((s, levels[(s >> np.uint64(44)).astype(np.int64)]))
+            order = np.lexsort((s, levels[(s >> _SHIFT).astype(np.int64)]))
             own = s[order[: prefix_length(n, percent)]].view(np.int64).tolist()
             keys += own
             kinds += [0] * len(own)
@@ -270,26 +270,29 @@ def similar_documents(
     room = lambda x: F.floor(x * (100 - percent) / F.lit(100)) + 1 - x + need  # noqa: E731  shared entries a similar pair has, seen from one side
     support = F.greatest(F.least(room(n), room(m)), F.lit(1))
 
-    edges, found = light, components(light, "linked")
-    for turn in range(stars + 1):
-        placed = lists.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-        open_ = settle(placed.join(split, "key"), "open")
-        if open_.isEmpty():
-            break
-        if turn < stars:
-            centre = F.min(F.struct(F.xxhash64(F.lit(turn), "id").alias("h"), F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("own"))).over(by_key)
-            pairs = open_.withColumn("c", centre).select(F.col("id").alias("a"), "n", "c.b", "c.m", "component", "c.own").where("component <> own")
-            least = support / 4  # a guess worth checking; what it leaves out comes in the last turn
-        else:
-            other = open_.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("own"))
-            ours = open_.withColumnRenamed("id", "a").repartition("key")
-            pairs = ours.join(other.repartition("key"), "key").where("component < own").select("a", "n", "b", "m", "component", "own")
-            least = support
-        pairs = pairs.where(fitting).groupBy("a", "b", "n", "m").count().where(F.col("count") >= least)
-        pairs = settle(pairs.select("a", "b"), "pairs")
-        edges = edges.union(checked(pairs, "links"))
-        found = components(edges, "linked")
+    # First each set is compared with a few centres of each of its lists.
+    # The first by id, the one that shares most of its entries, then ones by hash.
+    mine, degree = F.struct("id", "n"), lists.groupBy("id").agg(F.count("*").alias("degree"))
+    ranks = [F.col("id"), -F.col("degree"), *[F.xxhash64(F.lit(turn), "id") for turn in range(stars - 2)]][:stars]
+    centres = [F.min(F.struct(rank, mine.alias("own"))).over(by_key)["own"] for rank in ranks]
+    starred = lists.join(degree, "id").withColumn("own", F.array(*centres) if stars else F.array(mine).cast(f"array<struct<id:{kind},n:bigint>>"))
+    starred = starred.select("id", "n", F.explode(F.array_distinct("own")).alias("c"))
+    starred = starred.select(F.col("id").alias("a"), "n", F.col("c.id").alias("b"), F.col("c.n").alias("m")).where("a <> b")
+    starred = starred.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), n).otherwise(m).alias("n"), F.when(F.col("a") < F.col("b"), m).otherwise(n).alias("m"))
+    # A quarter of what a similar pair must share is a guess worth checking; what it leaves out comes below.
+    near = starred.where(fitting).groupBy("a", "b", "n", "m").count().where(F.col("count") >= support / 4).select("a", "b")
+    edges = checked(settle(near, "pairs"), "links").union(light)
+    found = components(edges, "linked")
+
+    # Then sets of different components that share a list, as often as similar ones must.
+    placed = lists.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    open_ = settle(placed.join(split, "key"), "open")
+    other = open_.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("own"))
+    pairs = open_.withColumnRenamed("id", "a").repartition("key").join(other.repartition("key"), "key").where("component < own")
+    pairs = pairs.where(fitting).groupBy("a", "b", "n", "m").count().where(F.col("count") >= support).select("a", "b")
+    more = checked(settle(pairs, "pairs"), "links")
+    found = components(more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b"))), "linked")
 
     own = valid.join(reps.select("print", "rep"), "print").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "id", F.coalesce("component", "rep").alias("component_id")
