@@ -216,18 +216,22 @@ def similar_documents(
             sizes_ = batch.column(2).value_lengths().to_numpy()
             row = pa.array(np.repeat(np.arange(batch.num_rows), sizes_))
             kinds = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(2).flatten(), batch.column(0).take(row), pa.array(batch.column(1).to_numpy()[row.to_numpy()] << 2 | kinds)], names=["key", "id", "size"]
-            )
+            listed_ = np.concatenate(([0], np.cumsum(kinds == 0)))
+            begins = np.cumsum(sizes_) - sizes_
+            place = listed_[:-1] - np.repeat(listed_[begins], sizes_) if len(kinds) else kinds
+            size = batch.column(1).to_numpy()[row.to_numpy()] << 34 | np.where(kinds == 0, place, 0) << 2 | kinds
+            yield pa.RecordBatch.from_arrays([batch.column(2).flatten(), batch.column(0).take(row), pa.array(size)], names=["key", "id", "size"])
 
     # Entries of sets that another row stands for are dropped while they are still one row per document.
     entered = texts.where("id IS NOT NULL").mapInArrow(enter, f"id {kind}, n long, keys array<long>, kinds binary, print binary").where("n > 0")
     entered = entered.join(reps.select(F.col("rep").alias("id"), "print"), ["id", "print"], "left_semi").select("id", "n", "keys", "kinds")
     listed = entered.mapInArrow(spread, f"key long, id {kind}, size long").repartition("key").sortWithinPartitions("key")
     met = settle(
-        listed.mapInArrow(shared_runs, f"key long, id {kind}, size long").select("key", "id", F.shiftright("size", 2).alias("n"), (F.col("size") % 4).alias("kind")).distinct(), "lists"
+        listed.mapInArrow(shared_runs, f"key long, id {kind}, size long").select(
+            "key", "id", F.shiftright("size", 34).alias("n"), F.shiftright("size", 2).bitwiseAND(F.lit((1 << 32) - 1)).alias("place"), (F.col("size") % 4).alias("kind")
+        ).distinct(), "lists"
     )
-    lists = met.where("kind = 0").select("key", "id", "n")
+    lists = met.where("kind = 0").select("key", "id", "n", "place")
 
     by_key = Window.partitionBy("key")
     side = lambda k: F.min(F.when(F.col("kind") == k, F.col("id"))).over(by_key)
@@ -284,13 +288,16 @@ def similar_documents(
     edges = checked(settle(near, "pairs"), "links").union(light)
     found = components(edges, "linked")
 
-    # Then sets of different components that share a list, as often as similar ones must.
+    # Then sets of different components. A similar pair shares at least k of the entries that come first in each of its sets, as many as
+    # the set may lack and k more; which ones these are depends on both sizes. A fourth of the most that k can be keeps pairs and entries few.
     placed = lists.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
     open_ = settle(placed.join(split, "key"), "open")
-    other = open_.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("own"))
-    pairs = open_.withColumnRenamed("id", "a").repartition("key").join(other.repartition("key"), "key").where("component < own")
-    pairs = pairs.where(fitting).groupBy("a", "b", "n", "m").count().where(F.col("count") >= support).select("a", "b")
+    other = open_.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("own"), F.col("place").alias("there"))
+    least = F.floor(support / 4) + F.when(support >= 4, 0).otherwise(1)
+    early = (F.col("component") < F.col("own")) & fitting & (F.col("place") < n - need + least) & (F.col("there") < m - need + least)
+    pairs = open_.withColumnRenamed("id", "a").repartition("key").join(other.repartition("key"), "key").where(early)
+    pairs = pairs.groupBy("a", "b", "n", "m").count().where(F.col("count") >= least).select("a", "b")
     more = checked(settle(pairs, "pairs"), "links")
     found = components(more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b"))), "linked")
 
