@@ -11,6 +11,7 @@ which strings are equal.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -220,8 +221,10 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``kept``: the bytes that remain, null where nothing is removed; ``kept_text``: the same as text, without characters cut in two.
 
     Anchors travel as digests of what is around them first: all but the first of equal ones are settled by that alone. Bytes are fetched only
-    for first ones whose anchor has different surroundings, and a suffix array is built of those. Only texts that have such anchors or lose
-    bytes are shuffled; a filter of fixed size tells most others. In memory are the different surroundings of one anchor.
+    for first ones whose anchor has different surroundings, and a suffix array is built of those. An anchor with more than ``chunk`` different
+    surroundings (next to a passage of many documents) has no suffix array: its strings are rows of their 128-bit digests, and all but the least place
+    of each digest go. So a task holds less than ``chunk`` surroundings and a batch. Only texts that have such anchors or lose bytes are
+    shuffled; a filter of fixed size tells most others.
 
     Null and empty texts have no bytes. Rows with a null id are left as they are. Repeated rows are one document and
     each gets its result. Texts shorter than ``length`` lose nothing. An empty table gives no rows; other columns
@@ -258,42 +261,46 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     names=["hash", "id", "at", "around"],
                 )
 
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in surround(batches):
+            digests, kept, places = [], [], []
+            for k, (at, data) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                count = at & 255
+                digests += [hashlib.blake2b(data[i : i + length], digest_size=16).digest() for i in range(count)]
+                kept += [k] * count
+                places += [(at >> 47 << 31) + (at >> 16 & 0x7FFFFFFF) + i for i in range(count)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(digests, pa.binary()), batch.column(1).take(pa.array(kept, pa.int64())), pa.array(places, pa.int64())], names=["digest", "id", "place"]
+            )
+
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key_type = None
-        rows_: list[tuple] = []  # (hash, id, at, around, reported before)
+        rows_: list[tuple] = []  # (hash, id, at, around)
         before: tuple | None = None
 
-        def work(part: list[tuple]) -> tuple[pa.RecordBatch, np.ndarray]:
+        def work(part: list[tuple]) -> pa.RecordBatch:
             at = np.array([p[2] for p in part], np.int64)
             s0, off, count = at >> 16 & 0x7FFFFFFF, at >> 8 & 255, at & 255
             late = repeated(np.array([p[0] for p in part], np.int64), np.arange(len(part)), off, count, [p[3] for p in part], length)
-            some = (np.arange(late.shape[1]) < count[:, None]) & ~late
-            late[[i for i, p in enumerate(part) if p[4]]] = False
             edge = np.diff(np.pad(late.astype(np.int8), ((0, 0), (1, 1))), axis=1)
             row, begin = np.nonzero(edge == 1)
             _, end = np.nonzero(edge == -1)
             ids = pa.array([part[i][1] for i in row], key_type)
-            found = pa.RecordBatch.from_arrays([ids, pa.array(s0[row] + begin), pa.array(s0[row] + end - 1 + length)], names=["id", "start", "end"])
-            return found, some.any(axis=1)
+            return pa.RecordBatch.from_arrays([ids, pa.array(s0[row] + begin), pa.array(s0[row] + end - 1 + length)], names=["id", "start", "end"])
 
         for batch in batches:
             key_type = batch.schema.field(1).type
-            new = list(zip(*(batch.column(i).to_pylist() for i in range(4)), [False] * batch.num_rows, strict=True))
-            for p in new:
+            for p in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if p[:3] != before:  # else the same place of a repeated row
                     rows_.append(p)
                     before = p[:3]
             if len(rows_) >= chunk:
                 whole = next((i for i in range(len(rows_) - 1, 0, -1) if rows_[i][0] != rows_[i - 1][0]), 0)
                 if whole:
-                    yield work(rows_[:whole])[0]
+                    yield work(rows_[:whole])
                     rows_ = rows_[whole:]
-                if len(rows_) >= chunk and sum(p[4] for p in rows_) <= len(rows_) // 2:
-                    found, novel = work(rows_)
-                    yield found
-                    rows_ = [(*p[:4], True) for p, n in zip(rows_, novel, strict=True) if n]
         if rows_:
-            yield work(rows_)[0]
+            yield work(rows_)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -320,13 +327,26 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         picked.repartition("hash").sortWithinPartitions("hash", "digest", "id", "at").mapInArrow(_settle_equal, f"hash long, id {kind}, at long, open boolean"), "met"
     )
     firsts = first.select("id", "address")
-    located = settle(
-        met.where("open").groupBy("id").agg(F.collect_set(F.struct("at", "hash")).alias("places")).join(firsts, "id"), "located"
-    )
     texts = lambda ids: passing(rows.where("id IS NOT NULL"), ids)
     own_text = F.sha2("text", 256) == F.col("address")
-    around = texts(located).join(located, "id").where(own_text).select("id", "text", "places").mapInArrow(surround, f"hash long, id {kind}, at long, around binary")
+
+    def placed(found: DataFrame, label: str) -> DataFrame:
+        located = settle(found.groupBy("id").agg(F.collect_set(F.struct("at", "hash")).alias("places")).join(firsts, "id"), label)
+        return texts(located).join(located, "id").where(own_text).select("id", "text", "places")
+
+    opened = met.where("open")
+    crowded = settle(opened.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > chunk).select("hash"), "crowded")
+    some = not crowded.isEmpty()
+    quiet = opened.join(crowded, "hash", "left_anti") if some else opened
+    around = placed(quiet, "located").mapInArrow(surround, f"hash long, id {kind}, at long, around binary")
     judged = around.repartition("hash").sortWithinPartitions("hash", "id", "at").mapInArrow(judge, f"id {kind}, start long, end long")
+    if some:
+        each = settle(placed(opened.join(crowded, "hash", "left_semi"), "crowd").mapInArrow(strings, f"digest binary, id {kind}, place long"), "strings")
+        own = F.struct("id", "place")
+        least = settle(each.groupBy("digest").agg(F.min(own).alias("least"), F.max(own).alias("most")).where("least < most").select("digest", "least"), "least")
+        start = F.col("place").bitwiseAND(F.lit(0x7FFFFFFF))
+        late = each.join(least, "digest").where(own > F.col("least")).select("id", start.alias("start"), (start + length).alias("end"))
+        judged = judged.union(late)
     begin = F.shiftright("at", 16).bitwiseAND(F.lit(0x7FFFFFFF))
     equal = met.where("NOT open").select("id", begin.alias("start"), (begin + F.col("at").bitwiseAND(F.lit(255)) - 1 + length).alias("end"))
     span = "struct<start:bigint,end:bigint>"

@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 
 from opsreports.llm import repeats
 
@@ -53,6 +54,28 @@ def test_periodic_text(spark):
     assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+def test_no_task_holds_a_crowded_anchor(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(3)
+    own = lambda: "".join(rng.choice(list("abcdefgh"), 90))
+    passage = "".join(rng.choice(list("ijklmnop"), 300))
+    rows = [(i, own() + passage + own()) for i in range(600)]
+    usual, made = repeats.repeated, tmp_path / "sizes"
+
+    def watched(group, *rest):
+        with open(made, "a") as f:
+            f.write(f"{len(group)}\n")
+        return usual(group, *rest)
+
+    monkeypatch.setattr(repeats, "repeated", watched)
+    cloudpickle.register_pickle_by_value(repeats)
+    try:
+        got = result(spark.createDataFrame(rows, "doc_id long, text string"), chunk=100)
+    finally:
+        cloudpickle.unregister_pickle_by_value(repeats)
+    assert got == brute(rows)
+    assert not made.exists() or max(map(int, made.read_text().split())) <= 200
+
+
 def test_kept_text_drops_halved_characters(spark):
     rows = [(1, "é" * 100), (2, "xé" + "é" * 80)]
     got = {r["doc_id"]: r for r in repeats.find_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
