@@ -102,7 +102,7 @@ class BlobLedger:
             rows.groupBy("blob").agg(F.min("id").alias("holder")).join(done, "blob", "left_anti"), "unseen"
         )
         held = (rows["blob"] == holders["blob"]) & rows["id"].eqNullSafe(holders["holder"])
-        texts = rows.where(F.length("text") > 0).join(holders.hint("shuffle_merge"), held, "left_semi").select("blob", "text")
+        texts = rows.where(F.length("text") > 0).join(holders.hint("shuffle_merge"), held, "left_semi").select("blob", "text").dropDuplicates(["blob"])
         find(texts, rules).withColumn("rule_version", F.lit(version)).write.mode("append").parquet(f"{self.path}/findings")
         holders.select("blob", F.lit(version).alias("rule_version")).write.mode("append").parquet(f"{self.path}/scanned")
         return holders.count()

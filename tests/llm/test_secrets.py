@@ -53,5 +53,17 @@ def test_only_unseen_blobs_are_scanned(spark, ledger):
     assert sorted(r["doc_id"] for r in ledger.spans(first.union(more)).where("size(spans) = 1").collect()) == [1, 1, 2, 5]
 
 
+def test_repeated_rows_lend_one_text(spark, ledger):
+    rows = [(5, "token=abcdef"), (5, "token=abcdef"), (None, "x secret=ghijkl"), (None, "x secret=ghijkl"), (None, "x secret=ghijkl")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert ledger.update(df) == 2
+    assert sorted((r["doc_id"] or 0, secrets_of(r)) for r in ledger.spans(df).collect()) == [(0, [(2, 15)])] * 3 + [(5, [(0, 12)])] * 2
+    assert ledger._read("findings", secrets.FINDING).count() == 2
+
+
+def secrets_of(row):
+    return [(s["start"], s["end"]) for s in row["spans"]]
+
+
 def test_empty_table(nothing, ledger):
     assert ledger.update(nothing) == 0 and ledger.spans(nothing).collect() == []
