@@ -10,10 +10,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The length of an IBAN by country. Other countries' may have any.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG SM TD", 28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_pattern() -> str:
+    """By country, so that no word after a number counts as its end; then of any length."""
+    ends = lambda n: r"(?: ?[A-Z0-9]{4}){%d}" % (n // 4 - 1) + (r" ?[A-Z0-9]{%d}" % (n % 4) if n % 4 else "")
+    by_country = "|".join(f"(?:{names.replace(' ', '|')})[0-9]{{2}}{ends(n)}(?![0-9A-Za-z])" for n, names in IBAN_LENGTHS.items())
+    return rf"(?<![0-9A-Za-z])(?=[A-Z]{{2}}[0-9]{{2}})(?:{by_country}|[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?![0-9A-Za-z]))"
+
+
 # The patterns, by kind, in the order in which they are tried at a place.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
+    "iban": _iban_pattern(),
     "date": r"(?<![0-9A-Za-z./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1(?:19|20)[0-9]{2})(?![0-9A-Za-z])(?![./-][0-9])",
     "ip": r"(?<![0-9A-Za-z])(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z])(?!\.[0-9])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\3[0-9]{5})(?![0-9A-Za-z])",
@@ -223,7 +239,7 @@ def pseudonymise(df: DataFrame, key: str, text_col: str = "text", out_col: str =
     """
     text = F.col(text_col)
     pattern = F.lit(PATTERN)
-    able = text.rlike("[0-9]{2}|@")
+    able = text.rlike(r"[0-9]{2}|@|[0-9]\.[0-9]")
     found = F.when(able, F.regexp_extract_all(text, pattern, F.lit(0))).otherwise(F.array().cast("array<string>"))
     rows = df.withColumn("_found", found)
     rows = rows.withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", lambda h: pseudonym(h, key))))

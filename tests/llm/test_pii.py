@@ -48,6 +48,21 @@ def test_what_does_not_hold_stays(spark):
     assert change(spark, values) == values
 
 
+def test_ibans_end_where_their_country_says(spark):
+    ibans = ["ES9121000418450200051332", "BE68539007547034", "AT61 1904 3002 3457 3201", "NO9386011117947", "PL61109010140000071219812874", "FR1420041010050500013M02606", "DE89 3704 0044 0532 0130 00"]
+    tails = ["", " EUR 500", " A note", " 2024", " 12", " IT", "."]
+    cases = [(v, t) for v in ibans for t in tails]
+    for (v, t), new in zip(cases, change(spark, [v + t for v, t in cases]), strict=True):
+        plain = new[: len(v)].replace(" ", "")
+        assert new[: len(v)] != v and new[len(v) :] == t and mod97(plain[4:] + plain[:4]) == 1, (v, t, new)
+
+
+def test_addresses_of_single_digits(spark):
+    values = ["8.8.8.8", "at 1.2.3.4, x"]
+    first, second = change(spark, values)
+    assert first != values[0] and second != values[1] and re.fullmatch(r"at [\d.]+, x", second)
+
+
 def test_permutations_are_one_to_one(spark):
     numbers = spark.range(17 * 43).select(pii.permute_number(F.col("id"), (17, 43), KEY, "t").alias("x"))
     assert sorted(r["x"] for r in numbers.collect()) == list(range(17 * 43))
