@@ -79,7 +79,7 @@ def encode(
     boundaries into segments of about that length, and unsplit runs beyond it into halves of halves; segments and
     halves are dealt out and encoded in parallel, then a document's are put together again:
     halves pairwise, up the tree, by ``join_halves``. A run is one pre-token of letters,
-    digits, signs or white space; runs of mixed kinds are first cut between the kinds.
+    digits, signs or white space, or a contraction ('s, 'll); runs of mixed kinds are first cut between the kinds.
 
     Null text counts as empty: no tokens, decoded to the empty text. Repeated rows come out each for itself,
     a null id stays null, an empty table gives no rows, other columns are ignored.
@@ -101,8 +101,8 @@ def encode(
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         import regex
 
-        # The kinds of run that the pre-tokenizer of a byte-level model keeps together.
-        kinds = regex.compile(r" ?\p{L}+| ?\p{N}+|\s+(?!\S)|\s+| ?[^\s\p{L}\p{N}]+")
+        # The kinds of run that the pre-tokenizer of a byte-level model keeps together, in its order; contractions come first.
+        kinds = regex.compile(r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

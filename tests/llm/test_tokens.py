@@ -51,6 +51,16 @@ def test_long_runs_are_joined_exactly(spark):
         assert out[i] == load(BYTE).encode(text, add_special_tokens=False).ids, text[:20]
 
 
+def test_long_runs_with_contractions(spark):
+    rng = np.random.default_rng(7)
+    parts = ["'dead9", "'table", "'ten", "'s", "'ll", "'re", "'ve", "'m", "'x", "''", "ab", "日本", "12", "!?", "'S"]
+    texts = ["".join(rng.choice(parts, 200)) for _ in range(20)] + ["x'dead9" * 40, "ab'table" * 40, "1'ten" * 40, "it's" * 60, "日本it's" * 40]
+    rows = list(enumerate(texts))
+    out = {r["doc_id"]: r["ids"] for r in encoding.encode(spark.createDataFrame(rows, "doc_id long, text string"), BYTE, leaf=50).collect()}
+    for i, text in rows:
+        assert out[i] == load(BYTE).encode(text, add_special_tokens=False).ids, text[:20]
+
+
 def test_packing(docs, corpus):
     out = packing.pack(docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), WORD, group_tokens=5000).collect()
     pieces, sequences = {}, {}
