@@ -27,39 +27,57 @@ FURNITURE_WORDS = frozenset(
     "search share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>",
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?![\w:-])(?:(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+(?=>)|[^>]*)(?:(?<=/)>|>.*?(?:</(?P=raw)\s*>|\Z))|<[!?][^>]*>|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 WORD = re.compile(r"[a-z]+")
+#: Class tokens that tell what an element has, not what it is.
+HAS = re.compile(r"(?:has|with|no|without)[-_]")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Where a line stands: in furniture, in a marked article, elsewhere.
 FURNITURE, ARTICLE, OTHER = 0, 1, 2
 
 
-def _furniture(tag: str, rest: str, in_article: bool) -> bool:
+#: How an element is furniture: not, by part of a name (search-page), by a whole name (search), by its element or as hidden.
+NOT, PART, NAMED, SURE = 0, 1, 2, 3
+
+
+def _furniture(tag: str, rest: str, in_article: bool) -> int:
     if tag in FURNITURE_TAGS and not (tag == "header" and in_article):
-        return True
+        return SURE
     if tag in ("html", "body", "main", "article") and not in_article:
-        return False
+        return NOT
+    out = NOT
     for name, value in ATTRIBUTE.findall(rest):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name in ("class", "id", "role") and any(w in FURNITURE_WORDS for w in WORD.findall(value)):
-            return True
-    return False
+            return SURE
+        if name not in ("class", "id", "role") or name == "id" and in_article and tag in HEADINGS:
+            continue
+        whole = name == "id" and in_article and tag == "section"
+        for token in value.split():
+            if token in FURNITURE_WORDS:
+                out = NAMED
+            elif not whole and not HAS.match(token) and any(w in FURNITURE_WORDS for w in WORD.findall(token)):
+                out = max(out, PART)
+    return out
 
 
 def lines_of(source: str | None) -> list[tuple[str, int]]:
-    """The page's text lines, one per block, and where each stands. Character references are decoded, white space is one space."""
+    """The page's text lines, one per block, and where each stands. Character references are decoded, white space is one space.
+
+    A main element, or an article of no furniture class, may stand in a div or section that is furniture by its class or id only (for an article:
+    by part of it). If no other is marked, those under the fewest such elements are the article, unless more text stands outside furniture.
+    """
     out: list[tuple[str, int]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, furniture, in an article
+    stack: list[tuple[str, int, bool, int, bool]] = []  # tag, furniture, in an article, furniture elements so far, any article
     parts: list[str] = []
 
     def place() -> int:
         if stack and stack[-1][1]:
             return FURNITURE
-        return ARTICLE if stack and stack[-1][2] else OTHER
+        return (OTHER + stack[-1][3] if stack[-1][3] else ARTICLE) if stack and stack[-1][2] else OTHER
 
     def end_line() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
@@ -91,12 +109,19 @@ def lines_of(source: str | None) -> list[tuple[str, int]]:
             stack.pop()  # left open by mistake
         if stack and stack[-1][0] == "p" or stack and stack[-1][0] == tag == "li":
             stack.pop()
-        above = stack[-1] if stack else ("", False, False)
-        off = above[1] or _furniture(tag, m["rest"], above[2])
-        stack.append((tag, off, (above[2] or tag in ("article", "main")) and not off))
+        above = stack[-1] if stack else ("", NOT, False, 0, False)
+        own, marks = _furniture(tag, m["rest"], above[2]), tag in ("article", "main")
+        off, doubtful = max(above[1], own), above[3] + (own != NOT)
+        if marks and above[1] and not above[4] and above[1] <= (NAMED if tag == "main" else PART) and _furniture(tag, m["rest"], True) <= PART:
+            off, doubtful = NOT, above[3]
+        stack.append((tag, off, (above[2] or marks) and not off, doubtful, above[4] or marks))
     parts.append(source[at:])
     end_line()
-    return out
+    least = min((p for _, p in out if p > OTHER), default=0)
+    size = lambda place: sum(len(t) for t, p in out if p == place)
+    if least and (any(p == ARTICLE for _, p in out) or size(least) < size(OTHER)):
+        least = 0
+    return [(t, p if p <= OTHER else ARTICLE if p == least else FURNITURE) for t, p in out]
 
 
 def shared_lines(a: list, b: list) -> list[bool]:

@@ -17,6 +17,27 @@ def test_structure():
     assert text_of(page) == "A & B\none two, three four\nfive"
 
 
+def test_words_in_other_attributes_are_no_furniture():
+    page = """<article><p style="overflow:hidden">one <a title="the hidden valley" href="/hidden-places?id=search">two</a> <a href=/hidden>three</a></p>
+      <p data-id="search" data-class='menu'>four</p><p hidden>no</p><p title="a" HIDDEN>no</p><p aria-hidden=true>no</p></article>"""
+    assert text_of(page) == "one two three\nfour"
+
+
+def test_furniture_names_around_an_article():
+    for wrap in ('<div class="layout has-sidebar">', '<div id="search-page">', '<section class="x"><div class="sidebar-layout">'):
+        assert text_of(f'<div class="menu">m</div>{wrap}<article><p>story</p></article></div>') == "story"
+    assert text_of('<div class="search"><main><p>story</p></main></div>') == "story"
+    assert text_of('<article><h2 id="related-work">A</h2><section id="social-history"><p>b</p></section><div class="share-box">c</div></article>') == "A\nb"
+    teaser = '<div class="related-posts"><article>teaser</article></div>'
+    assert text_of("<article>story</article>" + teaser) == "story" and text_of("<p>a story that is long</p>" + teaser) == "a story that is long"
+    assert text_of(f'<div class="layout sidebar-left"><article>story</article>{teaser}</div>') == "story"
+    assert text_of('<p>story</p><div id="comments"><article class="comment">reader, at some length</article></div><aside><div><article>x</article></div></aside>') == "story"
+
+
+def test_self_closed_raw_elements_are_empty():
+    assert text_of('<article>a <svg viewBox="0 > 0"/>b<script src="x" /> c<svg><text>no</text></svg></article>') == "a b c"
+
+
 def test_odd_sources():
     assert text_of(None) == text_of("") == "" and text_of("plain  text") == "plain text"
     assert text_of("<p>a<p>b</p></div></p><p>c") == "a\nb\nc"
