@@ -8,6 +8,8 @@ other cells makes more cells pure. If this peeling stops early, it is tried agai
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,10 @@ from opsreports.llm.common import in_order, settle
 
 # A paragraph ends with its line, and after a sentence whose last letter is one of these: long lines are cut by content.
 PARAGRAPH_END = r"\n|(?<=[aeiou][.!?]) "
+# Words of spaced scripts (8 code points at most, longer ones in parts) with the space after them; each character of scripts without spaces; space at the start.
+UNIT = r"(?s)[^\s\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]{1,8}+\s*|."
+# One of so many distinct units ends a paragraph, and no paragraph is longer than so many code points.
+EVERY, LONGEST = 8, 256
 CELLS = 24
 ROUNDS = 24
 DIGESTS = "array<bigint>"
@@ -26,6 +32,20 @@ def digests(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p))))
 
 
+def even_digests(text: Column) -> Column:
+    """Digests as of ``digests``, of lines cut after units chosen by their hash, in proportion to a text's length in any script.
+
+    What is left over ``LONGEST`` code points (a word of that length, few words over and over) is cut at multiples of it.
+    """
+    def pieces(line):
+        ends = lambda u: F.pmod(F.xxhash64(F.rtrim(u), F.lit("end")), F.lit(EVERY)) == 0
+        marked = F.array_join(F.transform(F.regexp_extract_all(line, F.lit(UNIT), F.lit(0)), lambda u: F.when(ends(u), F.concat(u, F.lit("\n"))).otherwise(u)), "")
+        return F.flatten(F.transform(F.split(marked, "\n"), lambda p: F.regexp_extract_all(p, F.lit(f"(?s).{{1,{LONGEST}}}"), F.lit(0))))
+
+    parts = F.flatten(F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), pieces))
+    return F.array_sort(F.array_distinct(F.transform(F.filter(F.transform(parts, lambda p: F.rtrim(p)), lambda p: p != ""), lambda p: F.xxhash64(p))))
+
+
 def _place(e: Column, part: int, cells: int, seed: int) -> Column:
     third = cells // 3
     return (F.lit(part * third) + F.pmod(F.xxhash64(e, F.lit(seed * 3 + part)), F.lit(third))).cast("int")
@@ -105,8 +125,11 @@ def _split_difference(a: Column, b: Column, each: int, seed: int) -> Column:
     """A larger sketch: as many parts of twice ``CELLS`` cells as hold about ``each`` digests."""
     parts = F.ceil((F.size(a) + F.size(b)) / each).cast("int")
 
-    def one(j):
-        own = lambda side: F.filter(side, lambda e: F.pmod(F.xxhash64(e, F.lit(seed)), parts) == j)
+    def dealt(side, body):
+        return _let(F.transform(side, lambda e: F.struct(e.alias("e"), F.pmod(F.xxhash64(e, F.lit(seed)), parts).alias("part"))), body)
+
+    def one(j, a, b):
+        own = lambda side: F.transform(F.filter(side, lambda e: e["part"] == j), lambda e: e["e"])
         cells = 2 * CELLS
         return peel(subtract(sketch(own(a), cells, seed), sketch(own(b), cells, seed)), cells, seed)
 
@@ -114,7 +137,8 @@ def _split_difference(a: Column, b: Column, each: int, seed: int) -> Column:
         collect = lambda name: F.flatten(F.transform(tried, lambda t: t[name])).alias(name)
         return F.struct(F.forall(tried, lambda t: t["ok"]).alias("ok"), collect("plus"), collect("minus"))
 
-    return _let(F.transform(F.sequence(F.lit(0), parts - 1), one), together)
+    tries = lambda x, y: F.transform(F.sequence(F.lit(0), parts - 1), lambda j: one(j, x, y))
+    return _let(dealt(a, lambda x: dealt(b, lambda y: tries(x, y))), together)
 
 
 def with_difference(df: DataFrame, a: str, b: str, a_cells: str, b_cells: str, out: str) -> DataFrame:
@@ -146,7 +170,7 @@ def written(cells: Column) -> Column:
     )
 
 
-def versions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def versions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: Callable[[Column], Column] = digests) -> DataFrame:
     """Rows (id, n_chars, text, edited, own, changed, following): each document, its edited version, and digests of both and of the next document.
 
     Edited: the last quarter of the code points (rounded down) gives way to as many from the start of the next
@@ -166,9 +190,9 @@ def versions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return both.withColumn("own", digests(F.col("text"))).withColumn("changed", digests(F.col("edited")))
 
 
-def compare_versions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def compare_versions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: Callable[[Column], Column] = digests) -> DataFrame:
     """``versions`` with the sketches of the text and its edited version, the digests in which these differ (``to_edited``), and those
-    in which the text and the next document's differ (``to_next``)."""
-    rows = versions(df, id_col, text_col).withColumns({f"{c}_cells": sketch(F.col(c)) for c in ("own", "changed", "following")})
+    in which the text and the next document's differ (``to_next``). ``digests``: how texts are cut and digested, also ``even_digests``."""
+    rows = versions(df, id_col, text_col, digests).withColumns({f"{c}_cells": sketch(F.col(c)) for c in ("own", "changed", "following")})
     rows = with_difference(rows, "own", "changed", "own_cells", "changed_cells", "to_edited")
     return with_difference(rows, "own", "following", "own_cells", "following_cells", "to_next").withColumnRenamed("id", id_col)
