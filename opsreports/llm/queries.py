@@ -8,12 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsreports.llm import covertree, encoding, jaccard, language, packing, pages, pii, repeats, secrets, sketches
+from opsreports.llm import covertree, encoding, jaccard, language, merkle, packing, pages, pii, repeats, secrets, sketches, twins
 from opsreports.llm.common import table
 from opsreports.session import configure, fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op13_manifest": twins.OP13}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
@@ -131,3 +131,19 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     out = pages.extract(table(spark, sf_dir, "pages"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "nearest", "n_shared")
+
+
+@query
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a leaf of the manifest, its proof, and the root that it, or its tampered version, leads to."""
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    hit = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    more = [F.try_add(F.col(c), F.lit(1)) if c == "n_chars" else F.col(c) for c in fields]
+    tampered = F.when(hit, merkle.leaf(*more)).alias("tampered")
+    out = merkle.manifest(docs, merkle.leaf(*[F.col(c) for c in fields]), keep=[F.col("doc_id"), tampered])
+    out = out.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("proof")))
+    return out.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
