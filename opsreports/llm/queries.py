@@ -8,12 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsreports.llm import covertree, encoding, jaccard, language, merkle, packing, pages, pii, repeats, secrets, sketches, twins
+from opsreports.llm import covertree, encoding, jaccard, language, merkle, packing, pages, pii, postings, repeats, secrets, sketches, twins
 from opsreports.llm.common import table
 from opsreports.session import configure, fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op13_manifest": twins.OP13}
+SQL: dict[str, str] = {"op12_decontamination": twins.OP12, "op13_manifest": twins.OP13}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
@@ -147,3 +147,13 @@ def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"), "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+@query
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its words that stand in a window of a benchmark item."""
+    out = postings.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )

@@ -62,3 +62,20 @@ WITH RECURSIVE rows_ AS (
     FROM whole)
 SELECT *, folded_root = root AS verified FROM told
 """
+
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+  i AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+  runs AS (SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0),
+  phrases AS (SELECT DISTINCT item_id, k, array_to_string(w[s:s + k - 1], ' ') AS phrase FROM runs),
+  lengths AS (SELECT DISTINCT k FROM phrases),
+  grams AS (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, lengths),
+  hits AS (SELECT g.r, g.s, g.k, p.item_id FROM grams g JOIN phrases p ON p.k = g.k AND p.phrase = array_to_string(g.w[g.s:g.s + g.k - 1], ' ')),
+  spots AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + k)) AS p FROM hits) GROUP BY r),
+  named AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN spots USING (r) LEFT JOIN named USING (r)
+"""
