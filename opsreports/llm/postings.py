@@ -70,14 +70,16 @@ def phrase_places(postings: DataFrame, phrases: DataFrame) -> DataFrame:
     """Settled rows (d1, d2, phrase, k, start): every place at which a phrase (column ``phrase``, words joined by a space) stands."""
     ranked = _ranked(postings, phrases.select("phrase").distinct())
     rare = ranked.where("rank <= 2")
-    moved = postings.join(rare, "term").where(F.col("at") >= F.col("offset")).select(
+    # Settled, so that their sizes are known before the whole index is dealt out for a join.
+    heads = settle(rare.select("term").distinct(), "rare")
+    moved = postings.join(heads, "term", "left_semi").join(rare, "term").where(F.col("at") >= F.col("offset")).select(
         *DOC, "phrase", "k", (F.col("at") - F.col("offset")).alias("start"), "rank"
     )
     both = moved.groupBy(*DOC, "phrase", "k", "start").agg(F.bit_or("rank").alias("ranks"))
     left = settle(both.where(F.col("ranks") == F.when(F.col("k") == 1, 1).otherwise(3)).drop("ranks"), "candidates")
     # The other lists, only of documents that are still in question; a place needs each of its terms where the phrase has it.
     asked = left.join(ranked.where("rank > 2").drop("k"), "phrase").withColumn("at", F.col("start") + F.col("offset"))
-    docs = reshuffled(left.select(*DOC).distinct(), *DOC)
+    docs = settle(left.select(*DOC).distinct(), "left")
     lists = postings.where(F.col("term") != END).join(docs, DOC, "left_semi").select(*DOC, "term", "at")
     there = asked.join(lists, [*DOC, "term", "at"], "left_semi")
     full = there.groupBy(*DOC, "phrase", "k", "start").agg(F.count(F.lit(1)).alias("n")).where("n = k - 2").drop("n")
@@ -96,8 +98,8 @@ def near_places(postings: DataFrame, groups: DataFrame, span: int) -> DataFrame:
     ranked = settle(wanted.join(reshuffled(counts, "term"), "term", "left").withColumns(
         {"k": F.count(F.lit(1)).over(of), "known": F.count("n").over(of), "rank": F.row_number().over(of.orderBy("n", "term"))}
     ).where("known = k").select("group", "term", "k", "rank"), "groups")
-    rarest = postings.join(ranked.where("rank = 1").select("group", "term"), "term").select(*DOC, "group").distinct()
-    lists = postings.join(ranked, "term").join(reshuffled(rarest, *DOC, "group"), [*DOC, "group"], "left_semi")
+    rarest = settle(postings.join(ranked.where("rank = 1").select("group", "term"), "term").select(*DOC, "group").distinct(), "rarest")
+    lists = postings.join(ranked, "term").join(rarest, [*DOC, "group"], "left_semi")
     lists = lists.select(*DOC, "group", "term", "k", "at").distinct()
     ahead = Window.partitionBy(*DOC, "group").orderBy("at").rangeBetween(0, span - 1)
     return lists.withColumn("seen", F.size(F.collect_set("term").over(ahead))).where("seen = k").select(*DOC, "group", F.col("at").alias("start"))

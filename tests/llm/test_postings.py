@@ -23,7 +23,7 @@ def test_odd_rows(spark, tmp_path):
     word = lambda: rng.choice("a b c d e é ß x1 zz".split())
     items = [" ".join(word() for _ in range(n)) for n in (1, 2, 3, 9, 10, 11, 14, 30)] + [None, "", " .,! ", "a a a a a a a a a a a a", "A-a\tB\nÉ", "a"]
     texts = [" ".join(word() for _ in range(rng.randrange(60))) for _ in range(60)]
-    texts += [items[7], f"z, {items[7].upper()} z", items[5] + " q " + items[5], None, "", "..", "a", "a " * 50_000, "É B", "\x00a\x7fb", items[6] + " " + items[6]]
+    texts += [items[7], f"z, {items[7].upper()} z", items[5] + " q " + items[5], None, "", "..", "a", "a " * 1_500, "É B", "\x00a\x7fb", items[6] + " " + items[6]]
     rows = [(i, t, "en", 1, "x", 2) for i, t in enumerate(texts)]
     rows += [rows[61], rows[61], (None, items[7], None, None, None, None), (None, None, "", 0, "", 0), (61, "another text of that id " + items[4], "", 0, "", 0)]
     kept = [(i, t, 1) for i, t in enumerate(items)] + [(2, items[6], 1), (2, items[2], 1), (None, items[4], 1), (10, items[5], 1)]
