@@ -8,12 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsreports.llm import covertree, encoding, jaccard, language, merkle, packing, pages, pii, postings, repeats, secrets, sketches, twins
+from opsreports.llm import covertree, encoding, jaccard, language, merkle, packing, pages, pii, postings, repeats, secrets, sketches, trie, twins
 from opsreports.llm.common import table
 from opsreports.session import configure, fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op12_decontamination": twins.OP12, "op13_manifest": twins.OP13}
+SQL: dict[str, str] = {"op11_trie": twins.OP11, "op12_decontamination": twins.OP12, "op13_manifest": twins.OP13}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
@@ -157,3 +157,16 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of conversations that begin with some of the first turns of every fifth one."""
+    convs = trie.conversations(table(spark, sf_dir, "conversations"))
+    base = F.col("conv_id") - F.col("conv_id") % 5
+    heads = convs.where(F.col("conv_id") % 5 == 0).select(F.col("conv_id").alias("base"), F.slice("turns", 1, 8).alias("head"))
+    h = (F.crc32(F.col("conv_id").cast("string")) % 9).cast("int")
+    both = convs.withColumn("base", base).join(heads, "base", "left").withColumn("h", h)
+    head = F.slice(F.coalesce("head", F.slice("turns", 1, 0)), F.lit(1), F.col("h"))
+    own = F.slice("turns", F.col("h") + 1, F.size("turns"))
+    return trie.prefix_trie(both.select("conv_id", F.concat(head, own).alias("turns")))

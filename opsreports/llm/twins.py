@@ -79,3 +79,26 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN spots USING (r) LEFT JOIN named USING (r)
 """
+
+OP11 = f"""
+WITH turns AS (
+    SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS t
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+  based AS (SELECT c.conv_id, c.t, b.t AS b, ({crc32('c.conv_id::VARCHAR')} % 9)::BIGINT AS h FROM turns c LEFT JOIN turns b ON b.conv_id = c.conv_id - c.conv_id % 5),
+  rebuilt AS (SELECT conv_id, list_concat(coalesce(b[1:h], []), t[h + 1:]) AS t FROM based),
+  keyed AS (SELECT conv_id, len(t) AS n, list_transform(t, lambda x: md5(strlen(x.role) || ':' || x.role || x.text)) AS d, list_transform(t, lambda x: strlen(x.text)) AS z FROM rebuilt),
+  heads AS (SELECT conv_id, n, d, z, unnest(range(0, n + 1)) AS depth FROM keyed),
+  named AS (SELECT conv_id, n, depth, sha256(array_to_string(d[1:depth], '')) AS node, CASE WHEN depth > 0 THEN sha256(array_to_string(d[1:depth - 1], '')) END AS parent, coalesce(z[depth], 0) AS size FROM heads),
+  nodes AS (
+    SELECT depth, node, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, max(size) AS size,
+      sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256 FROM named GROUP BY depth, node),
+  kids AS (SELECT depth - 1 AS depth, parent AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+  sized AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids USING (depth, node)),
+  below AS (
+    SELECT a.depth, a.node, b.depth AS d, b.node AS x FROM named a JOIN named b ON a.conv_id = b.conv_id AND a.depth <= b.depth GROUP BY ALL),
+  sums AS (
+    SELECT b.depth, b.node, count(*) FILTER (WHERE s.n_children = 0) AS n_leaves, sum((s.n_convs - 1) * s.size) AS saved
+    FROM below b JOIN sized s ON s.depth = b.d AND s.node = b.x GROUP BY b.depth, b.node)
+SELECT s.conv_id, s.depth, p.conv_id AS parent_conv_id, s.n_convs, s.n_children, n_leaves, saved::BIGINT AS saved_tokens, s.ends_sha256
+FROM sized s JOIN sums USING (depth, node) LEFT JOIN sized p ON p.depth = s.depth - 1 AND p.node = s.parent
+"""
