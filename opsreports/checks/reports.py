@@ -46,9 +46,9 @@ FEE_TABLES = (
 FIRST_FEE_SQL = with_desk(*FEE_TABLES) + f""", seen AS (
        SELECT id, leadId, hospitalId, consultationFee AS fee, appointmentDate::DATE AS d, createdOn::DATE AS booked FROM appointment
          SEMI JOIN (SELECT email AS "user" FROM support_staff) USING ("user")
-       WHERE doctorConsultationStatus = '3' AND list_contains(['NEW_APPOINTMENT', 'RESCHEDULED_APPOINTMENT'], appointmentCreationType)),
+       WHERE doctorConsultationStatus = '3' AND appointmentCreationType IN ('NEW_APPOINTMENT', 'RESCHEDULED_APPOINTMENT')),
      owner AS (SELECT caseId AS leadId, patientId FROM patient_case
-       WHERE NOT list_contains(['Offline channel', 'VC Model'], leadSource) AND caseType <> 'Diagnostics'),
+       WHERE leadSource NOT IN ('Offline channel', 'VC Model') AND caseType <> 'Diagnostics'),
      earliest AS (SELECT patientId, min(id) AS id FROM seen JOIN owner USING (leadId) GROUP BY ALL),
      link AS (SELECT entityId AS leadId, first(paymentMode ORDER BY id) AS mode FROM payment_link GROUP BY ALL),
      issue AS (SELECT pp.id AS patientId, max(activationDate)::DATE AS issued FROM card JOIN patient_profile pp USING (customerId) GROUP BY ALL),
@@ -128,7 +128,7 @@ CLASS_SQL = """CASE WHEN mode IN ('RAZOR_PAY', 'RAZOR_PAY_UPI_PAID') THEN 'Razor
        SELECT city, 'IPD' AS service, paymentMode AS mode, (sp.createdOn {LOCAL})::DATE AS d
        FROM surgery_payment sp JOIN surgery ON surgery.id = patientSurgeryId JOIN treated USING (caseId) WHERE paymentStatus = 'PAID'
        UNION ALL
-       SELECT city, if(list_contains(['Online Consultation', 'Consultation', 'Diagnostics'], consultationType), consultationType, 'Other'),
+       SELECT city, if(consultationType IN ('Online Consultation', 'Consultation', 'Diagnostics'), consultationType, 'Other'),
          paymentMode, (ap.createdOn {LOCAL})::DATE
        FROM appointment ap JOIN treated ON caseId = leadId JOIN payment_link pl ON entityId = ap.id
        WHERE entityType = 'APPOINTMENT' AND pl.status = 'PAID' AND paymentMode <> 'ZERO_FEE'
@@ -463,7 +463,7 @@ HOSPITAL = "Supplier#000000017"
     "r13_payment_notice",
     with_desk("facility_payment", "appointment", "facility", "doctor", "patient_case", "patient_profile", "customer_profile")
     + f""", due AS (SELECT entityId AS "appId", arg_min(struct_pack(id := id, at := createdOn {LOCAL}, amount := amount, utr := utr), (createdOn, id)) AS pay
-       FROM facility_payment WHERE paymentStatus = 'processed' AND list_contains(['APPOINTMENT', 'DIAGNOSTICS_APPOINTMENT'], entityType)
+       FROM facility_payment WHERE paymentStatus = 'processed' AND entityType IN ('APPOINTMENT', 'DIAGNOSTICS_APPOINTMENT')
          AND createdOn {LOCAL} > TIMESTAMP '1998-06-17 12:00:00' - INTERVAL 500 DAY AND createdOn {LOCAL} <= TIMESTAMP '1998-06-17 12:00:00' GROUP BY ALL),
      here AS (SELECT facilityId AS hospitalId, aliasName AS hospital_name FROM facility WHERE aliasName = '{HOSPITAL}'),
      payer AS (SELECT caseId AS leadId, patientName, customerNumber FROM customer_profile JOIN patient_profile pp USING (customerId)
