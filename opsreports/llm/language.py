@@ -101,7 +101,7 @@ def identify(
             score = 1.0 if second is None else (second - sizes[best]) / second
             return makers[best][0], score, score < margin
 
-        for batch in batches:
+        for batch in (whole.slice(lo, 500) for whole in batches for lo in range(0, whole.num_rows, 500)):
             got = [predict(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()),

@@ -20,8 +20,10 @@ PARAGRAPH_END = r"\n|(?<=[aeiou][.!?]) "
 # Words of spaced scripts (8 code points at most, longer ones in parts) with the space after them; each character of scripts without spaces; space at the start.
 UNIT = r"(?s)[^\s\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]{1,8}+\s*|."
 # One of so many distinct units ends a paragraph, and no paragraph is longer than so many code points.
-EVERY, LONGEST = 8, 256
+EVERY, LONGEST = 24, 1024
 CELLS = 24
+#: Differing digests for which a first sketch of CELLS cells is tried, and those meant for a part of a larger one.
+FEW, EACH = 12, 18
 ROUNDS = 24
 DIGESTS = "array<bigint>"
 
@@ -66,19 +68,18 @@ def _let(value: Column, body) -> Column:
 
 def sketch(elements: Column, cells: int = CELLS, seed: int = 0) -> Column:
     """Cells array<struct<n, k, c>> of the digests."""
+    none = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("c"))
+    third = cells // 3
 
-    def cell(entries, c):
-        def made(own):
-            return F.struct(
-                F.size(own).alias("n"), _xor(F.transform(own, lambda x: x["e"])).alias("k"), _xor(F.transform(own, lambda x: x["c"])).alias("c")
-            )
-
-        return _let(F.filter(entries, lambda x: F.array_contains(x["at"], c)), made)
+    def part(entries, p):
+        own = lambda c: F.filter(entries, lambda x: x[f"at{p}"] == c)
+        add = lambda a, x: F.struct((a["n"] + 1).alias("n"), a["k"].bitwiseXOR(x["e"]).alias("k"), a["c"].bitwiseXOR(x["c"]).alias("c"))
+        return F.transform(F.sequence(F.lit(p * third), F.lit(p * third + third - 1)), lambda c: F.aggregate(own(c), none, add))
 
     entries = F.transform(
-        elements, lambda e: F.struct(e.alias("e"), _check(e).alias("c"), F.array(*[_place(e, p, cells, seed) for p in range(3)]).alias("at"))
+        elements, lambda e: F.struct(e.alias("e"), _check(e).alias("c"), *[_place(e, p, cells, seed).alias(f"at{p}") for p in range(3)])
     )
-    return _let(entries, lambda es: F.transform(F.sequence(F.lit(0), F.lit(cells - 1)), lambda c: cell(es, c)))
+    return _let(entries, lambda es: F.concat(*[part(es, p) for p in range(3)]))
 
 
 def subtract(a: Column, b: Column) -> Column:
@@ -90,71 +91,108 @@ def subtract(a: Column, b: Column) -> Column:
 def peel(cells: Column, size: int = CELLS, seed: int = 0) -> Column:
     """struct<ok, plus, minus> of subtracted cells: whether all came out, digests only the first has, and only the second."""
     none = F.array().cast(DIGESTS)
-    start = F.struct(cells.alias("cells"), none.alias("plus"), none.alias("minus"))
+    some = lambda x: (x["n"] != 0) | (x["k"] != 0) | (x["c"] != 0)
+    # Only cells that hold something, with their place: a round has less to look at than the one before.
+    full = F.filter(F.transform(cells, lambda x, i: F.struct(i.alias("i"), x["n"].alias("n"), x["k"].alias("k"), x["c"].alias("c"))), some)
+    start = F.struct(full.alias("cells"), none.alias("plus"), none.alias("minus"), F.lit(False).alias("idle"))
 
     def less(x, hits):
-        return F.when(F.size(hits) == 0, x).otherwise(F.struct(
-            (x["n"] - F.aggregate(hits, F.lit(0), lambda a, e: a + e["n"])).alias("n"),
-            x["k"].bitwiseXOR(_xor(F.transform(hits, lambda e: e["k"]))).alias("k"),
-            x["c"].bitwiseXOR(_xor(F.transform(hits, lambda e: e["c"]))).alias("c"),
-        ))
+        return F.aggregate(hits, x, lambda a, e: F.struct(
+            a["i"].alias("i"), (a["n"] - e["n"]).alias("n"), a["k"].bitwiseXOR(e["k"]).alias("k"), a["c"].bitwiseXOR(e["c"]).alias("c")))
+
+    def placed(keys, sign):
+        return F.transform(keys, lambda k: F.struct(
+            k.alias("k"), F.lit(sign).alias("n"), _check(k).alias("c"), F.array(*[_place(k, p, size, seed) for p in range(3)]).alias("at")))
+
+    def without(s, out):
+        """The state after the digests ``out`` are taken from all their cells; other cells are left alone."""
+        touched = lambda at: F.transform(s["cells"], lambda x: F.when(
+            F.array_contains(at, x["i"]), less(x, F.filter(out, lambda e: F.array_contains(e["at"], x["i"])))).otherwise(x))
+        return F.filter(_let(F.flatten(F.transform(out, lambda e: e["at"])), touched), some)
 
     def turn(s, _):
-        pure = F.array_distinct(F.filter(s["cells"], lambda x: (F.abs(x["n"]) == 1) & (x["c"] == _check(x["k"]))))
-        placed = F.transform(pure, lambda e: F.struct(
-            e["k"].alias("k"), e["n"].alias("n"), e["c"].alias("c"), F.array(*[_place(e["k"], p, size, seed) for p in range(3)]).alias("at")
-        ))
+        pure = F.filter(s["cells"], lambda x: (F.abs(x["n"]) == 1) & (x["c"] == _check(x["k"])))
+        side = lambda cells, sign: F.array_distinct(F.transform(F.filter(cells, lambda x: x["n"] == sign), lambda x: x["k"]))
 
-        def without(out):
-            side = lambda n: F.transform(F.filter(out, lambda e: e["n"] == n), lambda e: e["k"])
-            cells = F.transform(s["cells"], lambda x, i: _let(F.filter(out, lambda e: F.array_contains(e["at"], i)), lambda hits: less(x, hits)))
-            return F.when(F.size(out) == 0, s).otherwise(
-                F.struct(cells.alias("cells"), F.concat(s["plus"], side(1)).alias("plus"), F.concat(s["minus"], side(-1)).alias("minus"))
-            )
+        def taken(cells):
+            return _let(F.struct(side(cells, 1).alias("plus"), side(cells, -1).alias("minus")), lambda new: F.struct(
+                _let(F.concat(placed(new["plus"], 1), placed(new["minus"], -1)), lambda out: without(s, out)).alias("cells"),
+                F.concat(s["plus"], new["plus"]).alias("plus"), F.concat(s["minus"], new["minus"]).alias("minus"), F.lit(False).alias("idle")))
 
-        return _let(placed, without)
+        stop = F.struct(s["cells"], s["plus"], s["minus"], F.lit(True).alias("idle"))
+        # Once a round has found nothing, no later one can.
+        return F.when(s["idle"], s).otherwise(_let(pure, lambda cells: F.when(F.size(cells) == 0, stop).otherwise(taken(cells))))
 
-    empty = lambda x: (x["n"] == 0) & (x["k"] == 0) & (x["c"] == 0)
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn,
-        lambda s: F.struct(F.forall(s["cells"], empty).alias("ok"), s["plus"].alias("plus"), s["minus"].alias("minus")),
+        lambda s: F.struct((F.size(s["cells"]) == 0).alias("ok"), s["plus"].alias("plus"), s["minus"].alias("minus")),
     )
 
 
-def _split_difference(a: Column, b: Column, each: int, seed: int) -> Column:
-    """A larger sketch: as many parts of twice ``CELLS`` cells as hold about ``each`` digests."""
-    parts = F.ceil((F.size(a) + F.size(b)) / each).cast("int")
+def parity(digests: Column) -> Column:
+    """A difference estimator of 64 bits: how often, odd or even, a digest's hash names each bit."""
+    return _xor(F.transform(digests, lambda e: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(F.lit("bit"), e), F.lit(64)).cast("int"))))
+
+
+def estimate(a: Column, b: Column) -> Column:
+    """About how many digests differ, from two parities: exact for few; all there are when the bits tell no more (an expression of the lists)."""
+    apart = F.bit_count(parity(a).bitwiseXOR(parity(b)))
+    most = F.size(a) + F.size(b)
+    return F.when(apart < 28, F.least(most, F.ceil(F.log(1 / (1 - apart / 32.0)) * 32).cast("int"))).otherwise(most)
+
+
+def _split_difference(a: Column, b: Column, parts: Column, seed: int) -> Column:
+    """A larger sketch: so many parts of twice ``CELLS`` cells. Each side is dealt to the parts once, by sorting, and cut at their edges."""
 
     def dealt(side, body):
-        return _let(F.transform(side, lambda e: F.struct(e.alias("e"), F.pmod(F.xxhash64(e, F.lit(seed)), parts).alias("part"))), body)
+        def cut(es):
+            number = lambda i: F.element_at(es, i)["part"]
+            starts = F.filter(F.sequence(F.lit(1), F.size(es)), lambda i: F.when(i == 1, F.lit(True)).otherwise(number(i) != number(i - 1)))
+            return F.when(F.size(es) == 0, F.struct(es.alias("es"), F.array().cast("array<int>").alias("starts"), F.array().cast("array<int>").alias("parts"))).otherwise(
+                _let(starts, lambda at: F.struct(es.alias("es"), at.alias("starts"), F.transform(at, number).alias("parts"))))
+
+        placed = F.sort_array(F.transform(side, lambda e: F.struct(F.pmod(F.xxhash64(e, F.lit(seed)), parts).cast("int").alias("part"), e.alias("e"))))
+        return _let(_let(placed, cut), body)
+
+    def own(side, j):
+        def taken(k):
+            first = F.element_at(side["starts"], k)
+            last = F.when(k == F.size(side["starts"]), F.size(side["es"])).otherwise(F.try_element_at(side["starts"], k + 1) - 1)
+            return F.transform(F.slice(side["es"], first, last - first + 1), lambda x: x["e"])
+
+        return _let(F.array_position(side["parts"], j).cast("int"), lambda k: F.when(k == 0, F.array().cast(DIGESTS)).otherwise(taken(k)))
 
-    def one(j, a, b):
-        own = lambda side: F.transform(F.filter(side, lambda e: e["part"] == j), lambda e: e["e"])
+    def one(j, x, y):
         cells = 2 * CELLS
-        return peel(subtract(sketch(own(a), cells, seed), sketch(own(b), cells, seed)), cells, seed)
+        return peel(subtract(sketch(own(x, j), cells, seed), sketch(own(y, j), cells, seed)), cells, seed)
 
     def together(tried):
         collect = lambda name: F.flatten(F.transform(tried, lambda t: t[name])).alias(name)
         return F.struct(F.forall(tried, lambda t: t["ok"]).alias("ok"), collect("plus"), collect("minus"))
 
-    tries = lambda x, y: F.transform(F.sequence(F.lit(0), parts - 1), lambda j: one(j, x, y))
+    tries = lambda x, y: F.transform(F.sequence(F.lit(0), parts - 1), lambda j: one(j.cast("int"), x, y))
     return _let(dealt(a, lambda x: dealt(b, lambda y: tries(x, y))), together)
 
 
 def with_difference(df: DataFrame, a: str, b: str, a_cells: str, b_cells: str, out: str) -> DataFrame:
-    """``df`` with struct<plus, minus> of the digests in which columns ``a`` and ``b`` differ.
+    """``df`` with struct<plus, minus> of the digests in which columns ``a`` and ``b`` differ, and ``<out>_try``, the try that told it.
 
-    First from the sketches in ``a_cells`` and ``b_cells``. Where these don't peel off whole, from sketches sized by the
-    number of digests, and again from ones twice as large by other hashes. Should even these fail (a colliding hash),
-    the difference of the lists themselves is taken, so the result is always whole.
+    Where the estimate says few, first from the sketches in ``a_cells`` and ``b_cells`` (try 0); else at once from sketches sized by the
+    estimate (try 1). Where these don't peel off whole, from ones twice as large as all digests need, by other hashes (try 2). Should even
+    these fail (a colliding hash), the difference of the lists themselves is taken (try 3), so the result is always whole.
     """
-    first, second, third = f"{out}_1", f"{out}_2", f"{out}_3"
-    tries = df.withColumn(first, peel(subtract(F.col(a_cells), F.col(b_cells))))
-    tries = tries.withColumn(second, F.when(~F.col(first)["ok"], _split_difference(F.col(a), F.col(b), 16, 1)))
-    tries = tries.withColumn(third, F.when(~F.col(second)["ok"], _split_difference(F.col(a), F.col(b), 8, 2)))
-    found = F.when(F.col(first)["ok"], F.col(first)).when(F.col(second)["ok"], F.col(second)).when(F.col(third)["ok"], F.col(third))
+    guess, small, large, last = f"{out}_guess", f"{out}_0", f"{out}_1", f"{out}_2"
+    whole = lambda n: F.greatest(F.lit(1), F.ceil(n).cast("int"))
+    tries = df.withColumn(guess, estimate(F.col(a), F.col(b)))
+    tries = tries.withColumn(small, F.when(F.col(guess) <= FEW, peel(subtract(F.col(a_cells), F.col(b_cells)))))
+    done = F.coalesce(F.col(small)["ok"], F.lit(False))
+    tries = tries.withColumn(large, F.when(~done, _split_difference(F.col(a), F.col(b), whole(F.col(guess) * 1.25 / EACH), 1)))
+    done = done | F.coalesce(F.col(large)["ok"], F.lit(False))
+    tries = tries.withColumn(last, F.when(~done, _split_difference(F.col(a), F.col(b), whole((F.size(a) + F.size(b)) * 2 / EACH), 2)))
     plain = F.struct(F.lit(True).alias("ok"), F.array_except(a, b).alias("plus"), F.array_except(b, a).alias("minus"))
-    return tries.withColumn(out, F.coalesce(found, plain)).drop(first, second, third)
+    which = F.coalesce(*[F.when(F.col(c)["ok"], F.lit(k)) for k, c in enumerate((small, large, last))], F.lit(3))
+    found = F.coalesce(*[F.when(F.col(c)["ok"], F.col(c)) for c in (small, large, last)], plain)
+    return tries.withColumn(out, found).withColumn(f"{out}_try", which).drop(guess, small, large, last)
 
 
 def likeness(a: Column, b: Column, difference: Column) -> Column:

@@ -66,3 +66,40 @@ def test_one_document_follows_itself(spark):
 
 def test_empty_table(nothing):
     assert sketches.compare_versions(nothing).collect() == []
+
+
+
+def even_parts(text):
+    """``even_digests`` in plain Python: lines cut after units of chosen hash, then at multiples of the longest length."""
+    import regex
+    import xxhash
+
+    space, apart = r" \t\n\x0b\f\r", r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+    unit = regex.compile(rf"(?s)[^{space}{apart}]{{1,8}}+[{space}]*|.")
+    hash_ = lambda s, seed=42: xxhash.xxh64_intdigest(s.encode(), seed)
+    out = set()
+    for line in text.split("\n"):
+        made = "".join(u + "\n" if hash_("end", hash_(u.rstrip(" "))) % sketches.EVERY == 0 else u for u in unit.findall(line))
+        for p in made.split("\n"):
+            out |= {p[i : i + sketches.LONGEST].rstrip(" ") for i in range(0, len(p), sketches.LONGEST)} - {""}
+    return {h - (1 << 64) if h >> 63 else h for h in map(hash_, out)}
+
+
+def test_the_registered_query_against_sets(spark, docs, corpus, tmp_path):
+    from opsreports.llm.queries import QUERIES
+
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in QUERIES["op6_fingerprints"](spark, str(tmp_path)).collect()}
+    rows = sorted((i, t or "") for i, t, _ in corpus)
+    assert len(got) == len(rows)
+    alike = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    for (i, text), (_, after) in zip(rows, rows[1:] + rows[:1], strict=True):
+        cut = len(text) // 4
+        edited = text[: len(text) - cut] + after[:cut]
+        r = got[i]
+        assert r["n_chars"] == len(text) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert r["near_edited"] == pytest.approx(alike(even_parts(text), even_parts(edited)))
+        assert r["near_next"] == pytest.approx(alike(even_parts(text), even_parts(after)))
+    tries = sketches.compare_versions(docs, digests=sketches.even_digests).groupBy("to_edited_try").count().collect()
+    counts = {r["to_edited_try"]: r["count"] for r in tries}
+    assert sum(counts.get(k, 0) for k in (0, 1)) >= 0.9 * sum(counts.values())
