@@ -20,10 +20,10 @@ PARAGRAPH_END = r"\n|(?<=[aeiou][.!?]) "
 # Words of spaced scripts (8 code points at most, longer ones in parts) with the space after them; each character of scripts without spaces; space at the start.
 UNIT = r"(?s)[^\s\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]{1,8}+\s*|."
 # One of so many distinct units ends a paragraph, and no paragraph is longer than so many code points.
-EVERY, LONGEST = 24, 1024
+EVERY, LONGEST = 16, 256
 CELLS = 24
 #: Differing digests for which a first sketch of CELLS cells is tried, and those meant for a part of a larger one.
-FEW, EACH = 12, 18
+FEW, EACH = 12, 20
 ROUNDS = 24
 DIGESTS = "array<bigint>"
 
@@ -42,7 +42,9 @@ def even_digests(text: Column) -> Column:
     def pieces(line):
         ends = lambda u: F.pmod(F.xxhash64(F.rtrim(u), F.lit("end")), F.lit(EVERY)) == 0
         marked = F.array_join(F.transform(F.regexp_extract_all(line, F.lit(UNIT), F.lit(0)), lambda u: F.when(ends(u), F.concat(u, F.lit("\n"))).otherwise(u)), "")
-        return F.flatten(F.transform(F.split(marked, "\n"), lambda p: F.regexp_extract_all(p, F.lit(f"(?s).{{1,{LONGEST}}}"), F.lit(0))))
+        short = lambda p: F.length(p) <= LONGEST
+        return F.flatten(F.transform(F.split(marked, "\n"), lambda p: F.when(short(p), F.array(p)).otherwise(
+            F.regexp_extract_all(p, F.lit(f"(?s).{{1,{LONGEST}}}"), F.lit(0)))))
 
     parts = F.flatten(F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), pieces))
     return F.array_sort(F.array_distinct(F.transform(F.filter(F.transform(parts, lambda p: F.rtrim(p)), lambda p: p != ""), lambda p: F.xxhash64(p))))
@@ -186,7 +188,7 @@ def with_difference(df: DataFrame, a: str, b: str, a_cells: str, b_cells: str, o
     tries = df.withColumn(guess, estimate(F.col(a), F.col(b)))
     tries = tries.withColumn(small, F.when(F.col(guess) <= FEW, peel(subtract(F.col(a_cells), F.col(b_cells)))))
     done = F.coalesce(F.col(small)["ok"], F.lit(False))
-    tries = tries.withColumn(large, F.when(~done, _split_difference(F.col(a), F.col(b), whole(F.col(guess) * 1.25 / EACH), 1)))
+    tries = tries.withColumn(large, F.when(~done, _split_difference(F.col(a), F.col(b), whole(F.col(guess) * 1.15 / EACH), 1)))
     done = done | F.coalesce(F.col(large)["ok"], F.lit(False))
     tries = tries.withColumn(last, F.when(~done, _split_difference(F.col(a), F.col(b), whole((F.size(a) + F.size(b)) * 2 / EACH), 2)))
     plain = F.struct(F.lit(True).alias("ok"), F.array_except(a, b).alias("plus"), F.array_except(b, a).alias("minus"))
@@ -221,11 +223,13 @@ def versions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", dige
     placed = settle(in_order(slim, ["id"], take=["id"]), "order")
     first = placed.agg(F.min("id").alias("id")).first()["id"]
     feeds = placed.select(F.coalesce("next_id", F.lit(first)).alias("id"), F.col("id").alias("before"), F.floor(F.col("n") / 4).cast("int").alias("share"))
-    texts = rows.groupBy("id").agg(F.min(F.struct(F.length("text").alias("n"), "text")).alias("t")).select("id", "t.n", "t.text")
-    given = texts.join(feeds, "id").select(F.col("before").alias("id"), F.substring("text", F.lit(1), F.col("share")).alias("head"), digests(F.col("text")).alias("following"))
+    # Digested before the rows are dealt out, so that a text's digests are made once, for itself and for the document before it.
+    own = F.struct(F.length("text").alias("n"), "text", digests(F.col("text")).alias("own"))
+    texts = rows.groupBy("id").agg(F.min(own).alias("t")).select("id", "t.n", "t.text", "t.own")
+    given = texts.join(feeds, "id").select(F.col("before").alias("id"), F.substring("text", F.lit(1), F.col("share")).alias("head"), F.col("own").alias("following"))
     kept = F.substring("text", F.lit(1), F.col("n") - F.floor(F.col("n") / 4).cast("int"))
-    both = texts.join(given, "id").select("id", F.col("n").cast("long").alias("n_chars"), "text", F.concat(kept, "head").alias("edited"), "following")
-    return both.withColumn("own", digests(F.col("text"))).withColumn("changed", digests(F.col("edited")))
+    both = texts.join(given, "id").select("id", F.col("n").cast("long").alias("n_chars"), "text", F.concat(kept, "head").alias("edited"), "own", "following")
+    return both.withColumn("changed", digests(F.col("edited")))
 
 
 def compare_versions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: Callable[[Column], Column] = digests) -> DataFrame:
