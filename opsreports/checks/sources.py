@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from opsreports.checks.registry import AS_OF, Tables, query
-from opsreports.functions.times import pick_windows
+from opsreports.functions.times import day as a_day, day_windows, pick_windows
 from opsreports.operators.aggregates import count_group
 from opsreports.session import fresh_dir
-from opsreports.sources import readers, writers
+from opsreports.sources import readers, stores, writers
 
 WINDOW_NAMES = ("month_to_date", "last_month", "last_week", "this_week")
 
@@ -171,7 +173,7 @@ def write_truncate(t: Tables) -> DataFrame:
     )
     writers.write_truncate(rows, path, BALANCE_SCHEMA)
     writers.write_truncate(rows.where(F.col("o_orderstatus") == "P"), path, BALANCE_SCHEMA)
-    return t.spark.read.schema(BALANCE_SCHEMA).parquet(path)
+    return stores.Published(t.spark, path).read(BALANCE_SCHEMA)
 
 
 @query("a12_append_rows", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('P', 'F')")
@@ -184,6 +186,63 @@ def append_rows(t: Tables) -> DataFrame:
     return t.spark.read.schema(rows.schema).parquet(path)
 
 
+@query(
+    "a12_append_batches",
+    "SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_orderdate < DATE '1998-06-17'",
+)
+def append_batches(t: Tables) -> DataFrame:
+    """Orders in four named batches that share keys; one batch is offered twice, as by a run that is repeated."""
+    before = t.orders.where(F.col("o_orderdate") < a_day(AS_OF))
+    rows = before.select("o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    table = stores.Appended(t.spark, fresh_dir(t.spark, "batches"), "o_orderkey", rows.schema)
+    half = F.col("o_orderkey") % 2 == 0
+    for name, batch in {"even": rows.where(half), "finished": rows.where("o_orderstatus = 'F'"), "even again": rows.where(half), "rest": rows}.items():
+        table.append(batch, name)
+    table.append(rows, "finished")
+    return table.read()
+
+
+DAY_DIMS, DAY_SUMS = {"o_orderpriority": "string", "o_orderstatus": "string"}, ["cents"]
+
+
+@query(
+    "d04_day_sums",
+    """WITH l AS (SELECT o_orderpriority, o_orderdate::DATE AS d, round(o_totalprice * 100)::BIGINT AS cents FROM orders)
+       SELECT o_orderpriority, """
+    + ", ".join(
+        f"count(*) FILTER (d BETWEEN DATE '{w.start}' AND DATE '{w.end}') AS {w.name}_n, "
+        f"coalesce(sum(cents) FILTER (d BETWEEN DATE '{w.start}' AND DATE '{w.end}'), 0)::BIGINT AS {w.name}_cents"
+        for w in day_windows(AS_OF)
+    )
+    + f" FROM l WHERE d BETWEEN DATE '{min(w.start for w in day_windows(AS_OF))}' AND DATE '{AS_OF}' GROUP BY 1",
+)
+def day_sums(t: Tables) -> DataFrame:
+    """Month to date from kept day sums: a first load without some late orders, a day counted anew, then the late ones merged, twice offered."""
+    facts = t.orders.select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice", F.col("o_orderdate").cast("date").alias("d"))
+    late = F.col("o_orderkey") % 7 == 0
+    day, measures = F.col("d"), {"cents": F.round(F.col("o_totalprice") * 100)}
+    store = stores.DaySums(t.spark, fresh_dir(t.spark, "days"), DAY_DIMS, DAY_SUMS)
+    store.load(facts.where(~late), day, measures)
+    store.rewrite(facts.where(~late), day, measures, [AS_OF, AS_OF - dt.timedelta(days=1)])
+    for _ in range(2):
+        store.merge(facts.where(late), day, measures, "late")
+    return store.windows(["o_orderpriority"], day_windows(AS_OF))
+
+
+@query(
+    "e03_first_rows",
+    """SELECT o_custkey, min(o_orderkey) AS o_orderkey, strftime(arg_min(o_orderdate, o_orderkey), '%Y-%m-%d') AS day,
+              arg_min(o_orderstatus, o_orderkey) AS o_orderstatus FROM orders GROUP BY 1""",
+)
+def first_rows(t: Tables) -> DataFrame:
+    """Each customer's first order by slices in no order, one of them taken twice."""
+    rows = t.orders.select("o_custkey", "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "o_orderstatus")
+    state = stores.FirstRows(t.spark, fresh_dir(t.spark, "first"), rows.schema, "o_custkey", ["o_orderkey"])
+    for year in (F.col("day") >= "1996", F.col("day") < "1994", F.col("day") >= "1996", F.col("day").between("1994", "1996")):
+        state.update(rows.where(year))
+    return state.read()
+
+
 @query("a13_overwrite_rows", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'")
 def overwrite_rows(t: Tables) -> DataFrame:
     path = fresh_dir(t.spark, "overwrite")

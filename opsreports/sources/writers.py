@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from opsreports.operators.joins import drop_known
+from opsreports.sources.stores import Published
 
 
 # How cells are written and read, so that line breaks, quotes, edge spaces, empty text and NULL come back as they
@@ -47,9 +48,11 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def write_truncate(df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> str:
-    """Replace a table by these rows, in its declared schema."""
-    conform(df, schema).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return path
+    """Replace a table by these rows, in its declared schema; the folder of the new version.
+
+    ``stores.Published(spark, path).read(schema)`` gives the version that counts. The old one stays readable until the new one is whole.
+    """
+    return Published(df.sparkSession, path).publish(conform(df, schema), partition_by)
 
 
 def append_rows(df: DataFrame, path: str) -> str:

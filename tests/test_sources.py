@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from opsreports import session
-from opsreports.sources import readers, writers
+from opsreports.sources import readers, stores, writers
 
 
 def test_records_and_raw_sheets(spark, tmp_path):
@@ -49,7 +49,7 @@ def test_truncate_casts_to_the_declared_columns(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("amount", T.DoubleType())])
     rows = spark.createDataFrame([(1, 2, "extra")], "amount int, id int, other string")
     writers.write_truncate(rows, str(tmp_path / "t"), schema)
-    back = spark.read.parquet(str(tmp_path / "t"))
+    back = stores.Published(spark, str(tmp_path / "t")).read(schema)
     assert back.dtypes == [("id", "string"), ("amount", "double")] and [tuple(r) for r in back.collect()] == [("2", 1.0)]
 
 
