@@ -41,6 +41,22 @@ def stream_call_status(t: Tables) -> DataFrame:
     return _stamps(finished(t, view, "call-status"))
 
 
+@query(
+    "i01_stream_call_versions",
+    f"""SELECT strftime(time_bucket(INTERVAL 10 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type,
+               count(*) FILTER (event_id % 3 = 0) AS busy, count(*) FILTER (event_id % 3 <> 0) AS completed, count(*) AS n FROM events
+        WHERE time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 10 MINUTE <= {STREAM_END} - INTERVAL 20 MINUTE GROUP BY 1, 2""",
+)
+def stream_call_versions(t: Tables) -> DataFrame:
+    """Every event as a call that arrives up to three times: busy, and for two calls of three then completed; each counts once."""
+    third = F.col("event_id") % 3
+    arrivals = F.when(third == 0, F.array(F.lit(1), F.lit(1))).when(third == 1, F.array(F.lit(2), F.lit(1))).otherwise(F.array(F.lit(1), F.lit(2), F.lit(2)))
+    calls = event_stream(t).select("event_id", "event_type", "ts", F.explode(arrivals).alias("version"))
+    tests = {"busy": F.col("version") == 1, "completed": F.col("version") == 2}
+    view = views.call_status(calls, "ts", ["event_type"], tests, call="event_id", version="version")
+    return _stamps(finished(t, view, "call-versions"))
+
+
 @query(
     "i02_stream_feedback_hourly",
     f"""SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, coalesce(n_name, 'NOCITY') AS city,

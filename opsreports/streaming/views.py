@@ -35,15 +35,30 @@ def _window_columns(df: DataFrame) -> DataFrame:
     return df.withColumns(bounds).drop("window")
 
 
+def latest_versions(
+    stream: DataFrame, ts: str, call: str, version: str, late: str = "20 minutes", slice_length: str = "10 minutes"
+) -> DataFrame:
+    """One row per call and slice of its time, with the columns of its greatest version, once the slice has settled.
+
+    A call keeps its time in all its versions. Its state is one row, held until the watermark has passed the slice. Equal versions are
+    settled by the other columns. ``slice`` is the slice; the time comes back as the moment of the slice that a further window needs.
+    """
+    others = [c for c in stream.columns if c not in (ts, call)]
+    first = [version, *[c for c in others if c != version]]
+    last = _timed(stream, ts, late).groupBy(F.window(ts, slice_length).alias("slice"), call).agg(F.max(F.struct(*first)).alias("_last"))
+    return last.select(F.window_time("slice").alias(ts), call, *[F.col(f"_last.{c}").alias(c) for c in others])
+
+
 def call_status(
     stream: DataFrame, ts: str, dims: list[str], tests: Mapping[str, Column], settle: str = "20 minutes",
-    slice_length: str = "10 minutes",
+    slice_length: str = "10 minutes", call: str | None = None, version: str | None = None,
 ) -> DataFrame:
     """Status counts per slice; a slice comes out once its rows have settled.
 
-    The settling time is the watermark, so a closed slice is final.
+    The settling time is the watermark, so a closed slice is final. ``call`` and ``version``: a call that arrives again with a new
+    status counts once, under its last one; the versions are settled by one stateful step and counted by the next.
     """
-    timed = _timed(stream, ts, settle)
+    timed = _timed(stream, ts, settle) if call is None else latest_versions(stream, ts, call, version, settle, slice_length)
     counted = timed.groupBy(F.window(ts, slice_length), *dims).agg(*counts_if(tests), F.count(F.lit(1)).alias("n"))
     return _window_columns(counted)
 

@@ -57,3 +57,21 @@ def test_one_notice_per_appointment(spark, tmp_path):
     assert sorted(r["key"] for r in run(spark, tmp_path, view())) == [7, 8]
     land(spark, folder, [(4, at(2), "p", 7), (5, at(2), "p", 9)])
     assert sorted(r["key"] for r in run(spark, tmp_path, view())) == [7, 8, 9]
+
+
+def test_a_call_that_comes_again_counts_once_under_its_last_status(spark, tmp_path):
+    folder = tmp_path / "in"
+    view = lambda: views.call_status(stream(spark, folder), "ts", ["key"], {"busy": F.col("kind") == "busy", "done": F.col("kind") == "completed"},
+                                     call="id", version="kind")
+    # "completed" is the greater version here; call 1 comes twice in one batch, call 2 again in the next one, in time.
+    land(spark, folder, [(1, at(1), "busy", 1), (1, at(1), "completed", 1), (2, at(9), "busy", 1), (3, at(9), "busy", 1), (4, at(25), "busy", 1)])
+    assert run(spark, tmp_path, view()) == []
+    land(spark, folder, [(2, at(9), "completed", 1), (5, at(60), "busy", 1)])
+    run(spark, tmp_path, view())
+    # Too late: the slice of call 3 is closed.
+    land(spark, folder, [(3, at(9), "completed", 1), (6, at(120), "busy", 1)])
+    out = run(spark, tmp_path, view())
+    land(spark, folder, [(7, at(300), "busy", 1)])
+    out = run(spark, tmp_path, view())
+    got = sorted((r["window_start"], r["busy"], r["done"], r["n"]) for r in out)
+    assert got[:2] == [(at(0), 1, 2, 3), (at(20), 1, 0, 1)]
