@@ -11,6 +11,8 @@ from opsreports.checks.registry import AS_OF, EVENTS_AS_OF, Tables, half_even, q
 from opsreports.functions.labels import PAY_MODE_CLASSES
 from opsreports.functions.times import Window, week_windows
 from opsreports.plans import diagnostics, leads, money, queues, visits
+from opsreports.session import fresh_dir
+from opsreports.sources.readers import read_delivered
 
 LOCAL = "+ INTERVAL '330 minutes'"
 CODE = "CASE {0} WHEN 'Chandigarh' THEN 'CHD' WHEN 'Bangalore' THEN 'BLR' ELSE {0} END"
@@ -115,12 +117,10 @@ CLASS_SQL = """CASE WHEN mode IN ('RAZOR_PAY', 'RAZOR_PAY_UPI_PAID') THEN 'Razor
        WHEN mode = 'INSURANCE' THEN 'Insurance' WHEN mode = 'CASH' THEN 'Cash' WHEN mode = 'KTKSWIPE' THEN 'KTKSWIPE' ELSE 'Other' END"""
 
 
-@query(
-    "r02_payment_mix",
-    with_desk(
-        "card_payment", "card", "patient_profile", "customer_profile", "city", "appointment", "payment_link", "patient_case",
-        "surgery", "surgery_payment",
-    ) + f""", home AS (SELECT pp.id AS patientId, pp.customerId, cityName AS town FROM patient_profile pp
+PAYMENTS_SQL = with_desk(
+    "card_payment", "card", "patient_profile", "customer_profile", "city", "appointment", "payment_link", "patient_case",
+    "surgery", "surgery_payment",
+) + f""", home AS (SELECT pp.id AS patientId, pp.customerId, cityName AS town FROM patient_profile pp
          SEMI JOIN customer_profile USING (customerId) LEFT JOIN city ON city.id = pp.cityId),
      treated AS (SELECT caseId, coalesce({CODE.format('coalesce(cityName, town)')}, 'No City') AS city
        FROM patient_case pc JOIN home USING (patientId) LEFT JOIN city ON city.id = pc.cityId),
@@ -134,8 +134,12 @@ CLASS_SQL = """CASE WHEN mode IN ('RAZOR_PAY', 'RAZOR_PAY_UPI_PAID') THEN 'Razor
        WHERE entityType = 'APPOINTMENT' AND pl.status = 'PAID' AND paymentMode <> 'ZERO_FEE'
        UNION ALL
        SELECT coalesce({CODE.format('town')}, 'No City'), 'Loyalty', paymentMode, (dues.createdOn {LOCAL})::DATE
-       FROM home JOIN card USING (customerId) JOIN card_payment dues USING (cardId) WHERE paymentStatus = 'PAID'),
-     w(name, a, b) AS (VALUES ('month_to_date', DATE '1998-06-01', DATE '1998-06-16'),
+       FROM home JOIN card USING (customerId) JOIN card_payment dues USING (cardId) WHERE paymentStatus = 'PAID')"""
+
+
+@query(
+    "r02_payment_mix",
+    PAYMENTS_SQL + f""", w(name, a, b) AS (VALUES ('month_to_date', DATE '1998-06-01', DATE '1998-06-16'),
        ('last_month', DATE '1998-05-01', DATE '1998-05-31'), ('last_week', DATE '1998-06-08', DATE '1998-06-14'),
        ('this_week', DATE '1998-06-15', DATE '1998-06-16')),
      h AS (SELECT city, service, name, {CLASS_SQL} AS class FROM p JOIN w ON d BETWEEN a AND b),
@@ -153,6 +157,21 @@ def payment_mix(t: Tables) -> DataFrame:
     return money.payment_mix(DeskTables(t), AS_OF)["mix"]
 
 
+@query(
+    "r02_payment_details",
+    PAYMENTS_SQL + f""", s(short, a, b) AS (VALUES ('tm', DATE '1998-06-01', DATE '1998-06-16'), ('lm', DATE '1998-05-01', DATE '1998-05-31'))
+     SELECT city, (CASE WHEN service IN ('Loyalty', 'IPD') THEN replace(service, 'Loyalty', 'loyalty') ELSE 'appointment' END) || '_' || short AS "set",
+       service, mode AS "paymentMode", strftime(d, '%Y-%m-%d') AS date, {CLASS_SQL} AS "modeClass"
+     FROM p JOIN s ON d BETWEEN a AND b""",
+)
+def payment_details(t: Tables) -> DataFrame:
+    """The six detail sets as they were delivered, twice, so that a repeated run shows."""
+    path = fresh_dir(t.spark, "details")
+    for _ in range(2):
+        money.deliver_payment_details(DeskTables(t), AS_OF, path)
+    return read_delivered(t.spark, path, money.DELIVERED).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+
+
 # R3 ------------------------------------------------------------------------------------
 
 CASES_SQL = with_desk(

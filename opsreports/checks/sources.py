@@ -122,6 +122,20 @@ def read_json_entities(t: Tables) -> DataFrame:
     return readers.explode_json(rows, "body", ENTITY, ["event_id", "city"])
 
 
+@query(
+    "a07_json_quarantine",
+    """SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'malformed' WHEN 1 THEN 'not a list' ELSE 'read' END AS state,
+              CASE WHEN event_id % 5 > 1 THEN (props->>'$.k')::BIGINT END AS k FROM events""",
+)
+def json_quarantine(t: Tables) -> DataFrame:
+    """Bodies of which some are cut short and some are no lists: rows that could be read, and beside them those that could not, by reason."""
+    kind = F.col("event_id") % 5
+    body = F.when(kind == 0, F.concat(F.lit("["), "props")).when(kind == 1, F.col("props")).otherwise(F.concat(F.lit("["), "props", F.lit("]")))
+    rows, bad = readers.split_json(t.events.select("event_id", body.alias("body")), "body", ENTITY, ["event_id"])
+    read = rows.select("event_id", F.lit("read").alias("state"), "k")
+    return read.unionByName(bad.select("event_id", F.col("why").alias("state"), F.lit(None).cast("bigint").alias("k")))
+
+
 @query("a08_read_template_dict", "SELECT item_id::VARCHAR AS name, text, row_number() OVER (ORDER BY item_id) - 1 AS ordinal FROM benchmark")
 def read_template_dict(t: Tables) -> DataFrame:
     """All benchmark items in one object of templates, each with its place."""

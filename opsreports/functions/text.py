@@ -81,6 +81,11 @@ def json_text(document: Column, field: str) -> Column:
     return F.coalesce(F.get_json_object(blank_to_null(document), f"$.{field}"), F.lit(""))
 
 
+def variant_text(document: Column, field: str) -> Column:
+    """As ``json_text``, from a document that ``try_parse_json`` has parsed once for all its fields."""
+    return F.coalesce(F.try_variant_get(document, f"$.{field}", "string"), F.lit(""))
+
+
 def outcome_comment(document: Column) -> Column:
     """The comments of a surgery outcome below their heading."""
     comment = F.get_json_object(document, "$.comments")

@@ -22,7 +22,7 @@ from opsreports.operators.sequences import first_per_key, serial_number
 from opsreports.plans.common import Keep, as_is, with_case_city, with_facility_city, with_patient
 from opsreports.plans.inputs import Desk
 from opsreports.session import settle
-from opsreports.sources.writers import conform
+from opsreports.sources.writers import conform, deliver
 
 # The cities and channels the fee report looks at.
 FEE_CITIES = ("CHD", "BLR", "Jaipur", "NCR", "Hyderabad")
@@ -145,6 +145,23 @@ def payment_mix(
     return {"mix": agg.share_of_row(full, PAY_MODE_CLASSES), "detail": detail}
 
 
+# The payment detail sets by service, and the windows each comes in.
+DETAIL_SETS = {"loyalty": ("Loyalty",), "IPD": ("IPD",), "appointment": (*[s for s in SERVICES if s not in ("Loyalty", "IPD")], "Other")}
+DETAIL_WINDOWS = {"tm": "month_to_date", "lm": "last_month"}
+DELIVERED = T.StructType([T.StructField(c, T.DateType() if c == "date" else T.StringType()) for c in ("service", "paymentMode", "date", "modeClass", "set", "city")])
+
+
+def deliver_payment_details(desk: Desk, as_of: dt.date, path: str, once_per_card_payment: bool = False) -> str:
+    """The six detail sets of the payment report, each below its cities, from one reading of the payments; ``readers.read_delivered`` with ``DELIVERED``."""
+    windows = {w.name: w for w in pick_windows(as_of, *DETAIL_WINDOWS.values())}
+    rows = payments(desk, min(w.start for w in windows.values()), max(w.end for w in windows.values()), once_per_card_payment)
+    sets = {
+        f"{group}_{short}": F.col("service").isin(*services) & agg.in_window(F.col("date"), windows[name])
+        for group, services in DETAIL_SETS.items() for short, name in DETAIL_WINDOWS.items()
+    }
+    return deliver(rows.select("service", "paymentMode", "date", "modeClass", "city"), sets, path)
+
+
 # The wallet table as it is uploaded.
 WALLET_SCHEMA = T.StructType([
     T.StructField("entryId", T.StringType()),

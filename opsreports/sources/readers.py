@@ -96,6 +96,25 @@ def explode_json(df: DataFrame, column: str, item: T.StructType, keep: Sequence[
     return df.select(*keep, F.inline(parsed))
 
 
+def split_json(df: DataFrame, column: str, item: T.StructType, keep: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """As ``explode_json``, and beside it what that would drop without a trace.
+
+    The body is parsed once, as a VARIANT, and every field is taken from that. The second frame has the kept columns, the body and why it is there:
+    ``malformed`` (no JSON) or ``not a list``. Fields that don't fit their type are NULL; NULL bodies are no bodies.
+    """
+    parsed = df.where(F.col(column).isNotNull()).select(*keep, column, F.try_parse_json(F.col(column)).alias("_body"))
+    items = F.try_variant_get("_body", "$", "array<variant>")
+    why = F.when(F.col("_body").isNull(), "malformed").when(items.isNull(), "not a list")
+    bad = parsed.withColumn("why", why).where(F.col("why").isNotNull()).select(*keep, column, "why")
+    fields = [F.try_variant_get("_item", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in item.fields]
+    return parsed.select(*keep, F.explode(items).alias("_item")).select(*keep, *fields), bad
+
+
+def read_delivered(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What ``writers.deliver`` wrote: the rows with their set and place, whose columns are part of the schema."""
+    return spark.read.schema(schema).parquet(path)
+
+
 TEMPLATES = T.MapType(T.StringType(), T.StructType([T.StructField("text", T.StringType())]))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from opsreports.operators.joins import drop_known
 from opsreports.sources.stores import Published
@@ -55,6 +55,18 @@ def write_truncate(df: DataFrame, path: str, schema: T.StructType, partition_by:
     return Published(df.sparkSession, path).publish(conform(df, schema), partition_by)
 
 
+def deliver(rows: DataFrame, sets: Mapping[str, Column], path: str, place: str = "city", catch_all: str = "NOCITY") -> str:
+    """Detail sets to ``path/set=<name>/<place>=<value>``, all in one job over one reading of the rows.
+
+    A row goes to every set whose test it passes, below its place, or the catch-all where it has none. Only folders that get rows are replaced, so a
+    run that is repeated leaves the same files' worth of rows, and other days' or places' folders stay. A hot place is spread over several files.
+    """
+    hits = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in sets.items()]))
+    tagged = rows.withColumn("set", F.explode(hits)).withColumn(place, F.coalesce(F.col(place), F.lit(catch_all)))
+    tagged.hint("rebalance", "set", place).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("set", place).parquet(path)
+    return path
+
+
 def append_rows(df: DataFrame, path: str) -> str:
     """Add rows below the existing ones."""
     df.write.mode("append").parquet(path)

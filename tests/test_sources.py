@@ -85,3 +85,35 @@ def test_shared_folder_follows_the_setting(spark):
 def test_a_cluster_without_shared_folder_is_refused():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(Fake("yarn"))
+
+
+def test_json_that_cannot_be_read_is_told(spark):
+    item = T.StructType([T.StructField("k", T.LongType()), T.StructField("name", T.StringType())])
+    bodies = ['[{"k": 1, "name": "a"}, {"k": "x"}]', "[", "", '{"k": 2}', "[]", None, "[1, null]", "null"]
+    rows, bad = readers.split_json(spark.createDataFrame(list(enumerate(bodies)), "id int, body string"), "body", item, ["id"])
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted([(0, 1, "a"), (0, None, None), (6, None, None), (6, None, None)], key=str)
+    assert {(r["id"], r["body"], r["why"]) for r in bad.collect()} == {(1, "[", "malformed"), (2, "", "malformed"), (3, '{"k": 2}', "not a list"), (7, "null", "not a list")}
+
+
+def test_fields_of_a_document_parsed_once(spark):
+    from opsreports.functions.text import json_text, variant_text
+
+    rows = spark.createDataFrame([('{"a": "x", "b": 1.5}',), ("{}",), ("broken",), (None,), ("",)], "d string")
+    got = rows.withColumn("v", F.try_parse_json("d")).select(*[f(F.col(c), n).alias(f"{c}{n}") for n in "ab" for f, c in ((json_text, "d"), (variant_text, "v"))]).collect()
+    assert all(r["da"] == r["va"] and r["db"] == r["vb"] for r in got) and got[0]["va"] == "x"
+
+
+def test_sets_are_delivered_by_place_in_one_job(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = spark.createDataFrame([(1, "A"), (2, "A"), (3, None), (4, "B c/d"), (5, "B c/d")], "id long, city string")
+    sets = {"even": F.col("id") % 2 == 0, "small": F.col("id") < 4}
+    shape = T.StructType.fromDDL("id long, set string, city string")
+    read = lambda: sorted(tuple(r) for r in readers.read_delivered(spark, path, shape).collect())
+    writers.deliver(rows, sets, path)
+    want = sorted([(2, "even", "A"), (4, "even", "B c/d"), (1, "small", "A"), (2, "small", "A"), (3, "small", "NOCITY")])
+    assert read() == want
+    writers.deliver(rows, sets, path)
+    assert read() == want
+    # A later run with rows of one place replaces that place alone.
+    writers.deliver(spark.createDataFrame([(8, "A")], "id long, city string"), sets, path)
+    assert read() == sorted([(8, "even", "A"), *[w for w in want if w[1:] != ("even", "A")]])
