@@ -87,8 +87,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
     Contracts the graph: each node moves to the smallest of itself and its neighbours, and edges are drawn anew between
     where their ends moved, until none are left. The smallest node of a component never moves, so all arrive there.
-    Each round is written to the shared folder; the edges at least halve in every component's nodes, so
-    rounds grow with the logarithm of the largest component.
+    Each round is written to the shared folder. Stars and graphs of mixed ids take few rounds; a chain whose ids ascend
+    along it takes one for each of its links.
     """
     known = edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL")
     nodes = known.select(F.col("a").alias("node")).union(known.select("b")).distinct()
