@@ -100,10 +100,11 @@ def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of every document and of its edited version, and how like they are, and the next document."""
-    rows = sketches.compare_versions(table(spark, sf_dir, "documents"), digests=sketches.even_digests)
+    digest = {"edited_sha256": F.sha2("edited", 256)}
+    rows = sketches.compare_versions(table(spark, sf_dir, "documents"), digests=sketches.even_digests, take=digest)
     near = lambda other, apart: sketches.likeness(F.col("own"), F.col(other), F.col(apart))
     return rows.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), sketches.written(F.col("own_cells")).alias("fingerprint"),
+        "doc_id", "n_chars", "edited_sha256", sketches.written(F.col("own_cells")).alias("fingerprint"),
         sketches.written(F.col("changed_cells")).alias("edited_fingerprint"), near("changed", "to_edited").alias("near_edited"),
         near("following", "to_next").alias("near_next"),
     )

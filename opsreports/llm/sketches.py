@@ -22,10 +22,12 @@ UNIT = r"(?s)[^\s\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKh
 # One of so many distinct units ends a paragraph, and no paragraph is longer than so many code points.
 EVERY, LONGEST = 16, 256
 CELLS = 24
-#: Differing digests for which a first sketch of CELLS cells is tried, and those meant for a part of a larger one.
-FEW, EACH = 12, 20
-ROUNDS = 24
-DIGESTS = "array<bigint>"
+#: How often each part of a sketch gives its pure cells away. Every step keeps pages of memory in the task, so sketches are roomy and steps few.
+SWEEPS, ROOM = 2, 3
+#: Cells that a task takes on at most, but for those of one id.
+ROWS_A_TASK = 1 << 18
+#: The place of rows that hold a digest given away.
+NO_CELL = -1
 
 
 def digests(text: Column) -> Column:
@@ -50,15 +52,14 @@ def even_digests(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(F.filter(F.transform(parts, lambda p: F.rtrim(p)), lambda p: p != ""), lambda p: F.xxhash64(p))))
 
 
-def _place(e: Column, part: int, cells: int, seed: int) -> Column:
-    third = cells // 3
-    return (F.lit(part * third) + F.pmod(F.xxhash64(e, F.lit(seed * 3 + part)), F.lit(third))).cast("int")
-
-
 def _check(e: Column) -> Column:
     return F.xxhash64(F.lit("check"), e)
 
 
+def _place(e: Column, part: int, third: Column, seed: int) -> Column:
+    return (part * third + F.pmod(F.xxhash64(e, F.lit(seed * 3 + part)), third)).cast("int")
+
+
 def _xor(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda a, b: a.bitwiseXOR(b))
 
@@ -69,7 +70,7 @@ def _let(value: Column, body) -> Column:
 
 
 def sketch(elements: Column, cells: int = CELLS, seed: int = 0) -> Column:
-    """Cells array<struct<n, k, c>> of the digests."""
+    """Cells array<struct<n, k, c>> of the digests: a text's fingerprint."""
     none = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("c"))
     third = cells // 3
 
@@ -79,58 +80,11 @@ def sketch(elements: Column, cells: int = CELLS, seed: int = 0) -> Column:
         return F.transform(F.sequence(F.lit(p * third), F.lit(p * third + third - 1)), lambda c: F.aggregate(own(c), none, add))
 
     entries = F.transform(
-        elements, lambda e: F.struct(e.alias("e"), _check(e).alias("c"), *[_place(e, p, cells, seed).alias(f"at{p}") for p in range(3)])
+        elements, lambda e: F.struct(e.alias("e"), _check(e).alias("c"), *[_place(e, p, F.lit(third), seed).alias(f"at{p}") for p in range(3)])
     )
     return _let(entries, lambda es: F.concat(*[part(es, p) for p in range(3)]))
 
 
-def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(
-        a, b, lambda x, y: F.struct((x["n"] - y["n"]).alias("n"), x["k"].bitwiseXOR(y["k"]).alias("k"), x["c"].bitwiseXOR(y["c"]).alias("c"))
-    )
-
-
-def peel(cells: Column, size: int = CELLS, seed: int = 0) -> Column:
-    """struct<ok, plus, minus> of subtracted cells: whether all came out, digests only the first has, and only the second."""
-    none = F.array().cast(DIGESTS)
-    some = lambda x: (x["n"] != 0) | (x["k"] != 0) | (x["c"] != 0)
-    # Only cells that hold something, with their place: a round has less to look at than the one before.
-    full = F.filter(F.transform(cells, lambda x, i: F.struct(i.alias("i"), x["n"].alias("n"), x["k"].alias("k"), x["c"].alias("c"))), some)
-    start = F.struct(full.alias("cells"), none.alias("plus"), none.alias("minus"), F.lit(False).alias("idle"))
-
-    def less(x, hits):
-        return F.aggregate(hits, x, lambda a, e: F.struct(
-            a["i"].alias("i"), (a["n"] - e["n"]).alias("n"), a["k"].bitwiseXOR(e["k"]).alias("k"), a["c"].bitwiseXOR(e["c"]).alias("c")))
-
-    def placed(keys, sign):
-        return F.transform(keys, lambda k: F.struct(
-            k.alias("k"), F.lit(sign).alias("n"), _check(k).alias("c"), F.array(*[_place(k, p, size, seed) for p in range(3)]).alias("at")))
-
-    def without(s, out):
-        """The state after the digests ``out`` are taken from all their cells; other cells are left alone."""
-        touched = lambda at: F.transform(s["cells"], lambda x: F.when(
-            F.array_contains(at, x["i"]), less(x, F.filter(out, lambda e: F.array_contains(e["at"], x["i"])))).otherwise(x))
-        return F.filter(_let(F.flatten(F.transform(out, lambda e: e["at"])), touched), some)
-
-    def turn(s, _):
-        pure = F.filter(s["cells"], lambda x: (F.abs(x["n"]) == 1) & (x["c"] == _check(x["k"])))
-        side = lambda cells, sign: F.array_distinct(F.transform(F.filter(cells, lambda x: x["n"] == sign), lambda x: x["k"]))
-
-        def taken(cells):
-            return _let(F.struct(side(cells, 1).alias("plus"), side(cells, -1).alias("minus")), lambda new: F.struct(
-                _let(F.concat(placed(new["plus"], 1), placed(new["minus"], -1)), lambda out: without(s, out)).alias("cells"),
-                F.concat(s["plus"], new["plus"]).alias("plus"), F.concat(s["minus"], new["minus"]).alias("minus"), F.lit(False).alias("idle")))
-
-        stop = F.struct(s["cells"], s["plus"], s["minus"], F.lit(True).alias("idle"))
-        # Once a round has found nothing, no later one can.
-        return F.when(s["idle"], s).otherwise(_let(pure, lambda cells: F.when(F.size(cells) == 0, stop).otherwise(taken(cells))))
-
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn,
-        lambda s: F.struct((F.size(s["cells"]) == 0).alias("ok"), s["plus"].alias("plus"), s["minus"].alias("minus")),
-    )
-
-
 def parity(digests: Column) -> Column:
     """A difference estimator of 64 bits: how often, odd or even, a digest's hash names each bit."""
     return _xor(F.transform(digests, lambda e: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(F.lit("bit"), e), F.lit(64)).cast("int"))))
@@ -143,58 +97,87 @@ def estimate(a: Column, b: Column) -> Column:
     return F.when(apart < 28, F.least(most, F.ceil(F.log(1 / (1 - apart / 32.0)) * 32).cast("int"))).otherwise(most)
 
 
-def _split_difference(a: Column, b: Column, parts: Column, seed: int) -> Column:
-    """A larger sketch: so many parts of twice ``CELLS`` cells. Each side is dealt to the parts once, by sorting, and cut at their edges."""
+def _merged(rows: DataFrame) -> DataFrame:
+    """Cells added up: counts by sum, digests and checks by exclusive or. What has cancelled out goes."""
+    total = rows.groupBy("id", "pair", "third", "cell", "out").agg(F.expr("sum(n) AS n"), F.expr("bit_xor(k) AS k"), F.expr("bit_xor(c) AS c"))
+    return total.where("n <> 0 OR k <> 0 OR c <> 0")
 
-    def dealt(side, body):
-        def cut(es):
-            number = lambda i: F.element_at(es, i)["part"]
-            starts = F.filter(F.sequence(F.lit(1), F.size(es)), lambda i: F.when(i == 1, F.lit(True)).otherwise(number(i) != number(i - 1)))
-            return F.when(F.size(es) == 0, F.struct(es.alias("es"), F.array().cast("array<int>").alias("starts"), F.array().cast("array<int>").alias("parts"))).otherwise(
-                _let(starts, lambda at: F.struct(es.alias("es"), at.alias("starts"), F.transform(at, number).alias("parts"))))
 
-        placed = F.sort_array(F.transform(side, lambda e: F.struct(F.pmod(F.xxhash64(e, F.lit(seed)), parts).cast("int").alias("part"), e.alias("e"))))
-        return _let(_let(placed, cut), body)
+def peel(lists: DataFrame, pairs: int, seed: int) -> DataFrame:
+    """(id, ok_0, plus_0, minus_0, ok_1, ...): digests that came out of the subtracted sketches of each pair of lists.
 
-    def own(side, j):
-        def taken(k):
-            first = F.element_at(side["starts"], k)
-            last = F.when(k == F.size(side["starts"]), F.size(side["es"])).otherwise(F.try_element_at(side["starts"], k + 1) - 1)
-            return F.transform(F.slice(side["es"], first, last - first + 1), lambda x: x["e"])
-
-        return _let(F.array_position(side["parts"], j).cast("int"), lambda k: F.when(k == 0, F.array().cast(DIGESTS)).otherwise(taken(k)))
-
-    def one(j, x, y):
-        cells = 2 * CELLS
-        return peel(subtract(sketch(own(x, j), cells, seed), sketch(own(y, j), cells, seed)), cells, seed)
-
-    def together(tried):
-        collect = lambda name: F.flatten(F.transform(tried, lambda t: t[name])).alias(name)
-        return F.struct(F.forall(tried, lambda t: t["ok"]).alias("ok"), collect("plus"), collect("minus"))
-
-    tries = lambda x, y: F.transform(F.sequence(F.lit(0), parts - 1), lambda j: one(j.cast("int"), x, y))
-    return _let(dealt(a, lambda x: dealt(b, lambda y: tries(x, y))), together)
-
-
-def with_difference(df: DataFrame, a: str, b: str, a_cells: str, b_cells: str, out: str) -> DataFrame:
-    """``df`` with struct<plus, minus> of the digests in which columns ``a`` and ``b`` differ, and ``<out>_try``, the try that told it.
-
-    Where the estimate says few, first from the sketches in ``a_cells`` and ``b_cells`` (try 0); else at once from sketches sized by the
-    estimate (try 1). Where these don't peel off whole, from ones twice as large as all digests need, by other hashes (try 2). Should even
-    these fail (a colliding hash), the difference of the lists themselves is taken (try 3), so the result is always whole.
+    ``lists``: (id, lists), hash-partitioned by the unique id, ``lists`` an array of structs (pair, third, a, b): the sketch of a pair has three
+    parts of ``third`` cells. A cell is a row, and every step an aggregate by id and cell, so nothing is shuffled and no row holds more than
+    a cell. A step lets the pure cells of one part give their digest away; a digest has one cell in each part, so none is given twice.
+    Ids whose pairs don't differ have no row.
+    """
+    # The same places and checks as in ``sketch``, as SQL: a plan of so many steps is built faster from it.
+    check = "xxhash64('check', k)"
+    place = [f"CAST({p} * third + pmod(xxhash64(k, {seed * 3 + p}), third) AS INT)" for p in range(3)]
+    row = lambda cell, out, n, k, c: f"named_struct('cell', {cell}, 'out', {out}, 'n', {n}, 'k', {k}, 'c', {c})"
+    signed = "concat(transform(l.a, e -> struct(1L AS n, e AS k)), transform(l.b, e -> struct(-1L AS n, e AS k)))"
+    each = lists.selectExpr("id", "explode(lists) AS l").selectExpr("id", "l.pair", "l.third", f"explode({signed}) AS e")
+    each = each.selectExpr("id", "pair", "third", "e.n", "e.k").selectExpr("*", f"{check} AS c", "0L AS out")
+    rows = _merged(each.selectExpr("*", f"explode_outer(array({', '.join(place)})) AS cell"))
+    for step in range(3 * SWEEPS):
+        part = step % 3
+        pure = f"cell >= 0 AND cell DIV third = {part} AND abs(n) = 1 AND c = {check}"
+        given = [row(NO_CELL, "k", "n", "0L", "0L"), *[row(place[p], "0L", "-n", "k", "c") for p in range(3) if p != part]]
+        kept = f"explode_outer(IF({pure}, array({', '.join(given)}), array({row('cell', 'out', 'n', 'k', 'c')}))) AS r"
+        rows = _merged(rows.selectExpr("id", "pair", "third", kept).selectExpr("id", "pair", "third", "r.*"))
+    made = []
+    for j in range(pairs):
+        out = f"pair = {j} AND cell = {NO_CELL} AND n"
+        made.append(f"sum(IF(pair = {j} AND (cell <> {NO_CELL} OR abs(n) <> 1), 1, 0)) = 0 AS ok_{j}")
+        made += [f"collect_list(IF({out} = {n}, out, NULL)) AS {name}_{j}" for name, n in (("plus", 1), ("minus", -1))]
+    return rows.groupBy("id").agg(*[F.expr(m) for m in made])
+
+
+def differences(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """(id, <name>, <name>_try): for each named pair of digest lists of ``df``, struct<plus, minus> of what only the first and only the second has.
+
+    ``df``: a settled frame with a unique ``id``. The first sketches (try 0) are sized by an estimate of the difference, ``ROOM`` cells of each part a digest
+    and at least ``CELLS`` in all; empty cells are no rows. Ids with a sketch that doesn't peel off whole are tried again by other hashes with room for twice all digests (try 1). Should even
+    that fail (a colliding hash), the difference of the lists themselves is taken (try 2), so the result is always whole. Each try is written.
+    Ids whose pairs don't differ have no row.
     """
-    guess, small, large, last = f"{out}_guess", f"{out}_0", f"{out}_1", f"{out}_2"
-    whole = lambda n: F.greatest(F.lit(1), F.ceil(n).cast("int"))
-    tries = df.withColumn(guess, estimate(F.col(a), F.col(b)))
-    tries = tries.withColumn(small, F.when(F.col(guess) <= FEW, peel(subtract(F.col(a_cells), F.col(b_cells)))))
-    done = F.coalesce(F.col(small)["ok"], F.lit(False))
-    tries = tries.withColumn(large, F.when(~done, _split_difference(F.col(a), F.col(b), whole(F.col(guess) * 1.15 / EACH), 1)))
-    done = done | F.coalesce(F.col(large)["ok"], F.lit(False))
-    tries = tries.withColumn(last, F.when(~done, _split_difference(F.col(a), F.col(b), whole((F.size(a) + F.size(b)) * 2 / EACH), 2)))
-    plain = F.struct(F.lit(True).alias("ok"), F.array_except(a, b).alias("plus"), F.array_except(b, a).alias("minus"))
-    which = F.coalesce(*[F.when(F.col(c)["ok"], F.lit(k)) for k, c in enumerate((small, large, last))], F.lit(3))
-    found = F.coalesce(*[F.when(F.col(c)["ok"], F.col(c)) for c in (small, large, last)], plain)
-    return tries.withColumn(out, found).withColumn(f"{out}_try", which).drop(guess, small, large, last)
+    named = list(pairs.items())
+    many = sum(F.size(a) + F.size(b) for _, (a, b) in named)
+
+    def tried(rows, room, seed, label):
+        sized = lambda j, a, b: F.struct(F.lit(j).alias("pair"), room(F.col(a), F.col(b)).cast("int").alias("third"), F.col(a).alias("a"), F.col(b).alias("b"))
+        total = rows.agg(F.sum(many)).first()[0] or 0
+        # Cells are dealt by id into tasks of bounded size before they become rows.
+        slim = rows.repartition(max(1, -(-3 * total // ROWS_A_TASK)), "id")
+        return settle(peel(slim.select("id", F.array(*[sized(j, a, b) for j, (_, (a, b)) in enumerate(named)]).alias("lists")), len(named), seed), label)
+
+    def first_room(a, b):
+        return F.greatest(F.lit(CELLS // 3), estimate(a, b) * ROOM)
+
+    def result(j, oks, last=None):
+        took = [F.when(F.col(f"{o}ok_{j}"), F.struct(F.col(f"{o}plus_{j}").alias("plus"), F.col(f"{o}minus_{j}").alias("minus"))) for o, _ in oks]
+        which = [F.when(F.col(f"{o}ok_{j}"), F.lit(n)) for o, n in oks]
+        name, (a, b) = named[j]
+        if last is not None:
+            took.append(F.struct(F.array_except(a, b).alias("plus"), F.array_except(b, a).alias("minus")))
+            which.append(F.lit(last))
+        return [F.coalesce(*took).alias(name), F.coalesce(*which).alias(f"{name}_try")]
+
+    first = tried(df, first_room, 0, "peeled")
+    whole = F.lit(True)
+    for j in range(len(named)):
+        whole = whole & F.col(f"ok_{j}")
+    failed = first.where(~whole)
+    lists = list(dict.fromkeys(c for p in pairs.values() for c in p))
+    again = settle(df.select("id", *lists).join(failed.select("id"), "id", "left_semi"), "again")
+    good = first.where(whole).select("id", *[x for j in range(len(named)) for x in result(j, [("", 0)])])
+    if again.isEmpty():
+        return good
+    second = tried(again, lambda a, b: (F.size(a) + F.size(b)) * 2 * ROOM + CELLS, 1, "peeled")
+
+    old = failed.select("id", *[F.col(c).alias(f"first_{c}") for c in first.columns if c != "id"])
+    retried = again.join(old, "id").join(second, "id", "left")
+    return good.unionByName(retried.select("id", *[x for j in range(len(named)) for x in result(j, [("first_", 0), ("", 1)], 2)]))
 
 
 def likeness(a: Column, b: Column, difference: Column) -> Column:
@@ -232,9 +215,19 @@ def versions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", dige
     return both.withColumn("changed", digests(F.col("edited")))
 
 
-def compare_versions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: Callable[[Column], Column] = digests) -> DataFrame:
-    """``versions`` with the sketches of the text and its edited version, the digests in which these differ (``to_edited``), and those
-    in which the text and the next document's differ (``to_next``). ``digests``: how texts are cut and digested, also ``even_digests``."""
-    rows = versions(df, id_col, text_col, digests).withColumns({f"{c}_cells": sketch(F.col(c)) for c in ("own", "changed", "following")})
-    rows = with_difference(rows, "own", "changed", "own_cells", "changed_cells", "to_edited")
-    return with_difference(rows, "own", "following", "own_cells", "following_cells", "to_next").withColumnRenamed("id", id_col)
+def compare_versions(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: Callable[[Column], Column] = digests, take: dict[str, Column] | None = None
+) -> DataFrame:
+    """Documents with the digests of ``versions``, the sketches of text and edited text, the digests in which these differ (``to_edited``), and
+    those in which the text and the next document's differ (``to_next``), with the try that told each.
+
+    ``digests``: how texts are cut and digested, also ``even_digests``. ``take``: columns to carry, made of ``text`` and ``edited``, by default these two.
+    """
+    made = {"text": F.col("text"), "edited": F.col("edited")} if take is None else take
+    rows = versions(df, id_col, text_col, digests).select("id", "n_chars", *[c.alias(name) for name, c in made.items()], "own", "changed", "following")
+    rows = settle(rows, "versions")
+    apart = differences(rows, {"to_edited": ("own", "changed"), "to_next": ("own", "following")})
+    same = F.struct(F.array().cast("array<bigint>").alias("plus"), F.array().cast("array<bigint>").alias("minus"))
+    told = {name: F.coalesce(name, same) for name in ("to_edited", "to_next")}
+    out = rows.join(apart, "id", "left").withColumns({**told, **{f"{name}_try": F.coalesce(f"{name}_try", F.lit(0)) for name in told}})
+    return out.withColumns({f"{c}_cells": sketch(F.col(c)) for c in ("own", "changed")}).withColumnRenamed("id", id_col)

@@ -37,10 +37,23 @@ def test_versions_against_sets(docs, corpus):
 @pytest.mark.parametrize("apart", [0, 1, 8, 40, 600])
 def test_peeling_recovers_the_digests(spark, apart):
     a, b = list(range(50)) + list(range(1000, 1000 + apart)), list(range(50)) + list(range(5000, 5000 + apart // 2))
-    rows = spark.createDataFrame([(a, b)], "a array<bigint>, b array<bigint>").withColumns(
-        {"ac": sketches.sketch(F.col("a")), "bc": sketches.sketch(F.col("b"))})
-    got = sketches.with_difference(rows, "a", "b", "ac", "bc", "d").select("d.plus", "d.minus").first()
-    assert sorted(got["plus"]) == a[50:] and sorted(got["minus"]) == b[50:]
+    rows = spark.createDataFrame([(7, a, b), (8, b, a), (9, a, a)], "id long, a array<bigint>, b array<bigint>")
+    got = {r["id"]: (sorted(r["plus"]), sorted(r["minus"])) for r in sketches.differences(rows, {"d": ("a", "b")}).select("id", "d.plus", "d.minus").collect()}
+    assert got == ({7: (a[50:], b[50:]), 8: (b[50:], a[50:])} if apart else {})
+
+
+def test_sketches_that_fail_are_tried_again(spark, monkeypatch):
+    a, b = list(range(50)), list(range(40, 90))
+    rows = spark.createDataFrame([(7, a, b)], "id long, a array<bigint>, b array<bigint>")
+    tries = {}
+    # A first estimate far too low leaves cells; with no sweep at all only the lists are left to tell.
+    monkeypatch.setattr(sketches, "estimate", lambda x, y: F.lit(0))
+    for sweeps in (2, 0):
+        monkeypatch.setattr(sketches, "SWEEPS", sweeps)
+        r = sketches.differences(rows, {"d": ("a", "b")}).first()
+        assert sorted(r["d"]["plus"]) == a[:40] and sorted(r["d"]["minus"]) == b[10:]
+        tries[sweeps] = r["d_try"]
+    assert tries == {2: 1, 0: 2}
 
 
 def test_entries_grow_with_any_text(spark):
@@ -102,4 +115,4 @@ def test_the_registered_query_against_sets(spark, docs, corpus, tmp_path):
         assert r["near_next"] == pytest.approx(alike(even_parts(text), even_parts(after)))
     tries = sketches.compare_versions(docs, digests=sketches.even_digests).groupBy("to_edited_try").count().collect()
     counts = {r["to_edited_try"]: r["count"] for r in tries}
-    assert sum(counts.get(k, 0) for k in (0, 1)) >= 0.9 * sum(counts.values())
+    assert counts.get(0, 0) >= 0.9 * sum(counts.values())
