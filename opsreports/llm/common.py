@@ -82,28 +82,45 @@ def in_order(df: DataFrame, order: Sequence[str], within: Sequence[str] = (), ta
     )
 
 
+def _at_roots(moved: DataFrame, label: str) -> DataFrame:
+    """(x, m): every node where its chain of moves ends. Each pass doubles the links that a node has gone, so a chain of n takes log2(n)."""
+    while True:
+        onward = moved.where("x <> m").select(F.col("x").alias("m"), F.col("m").alias("n"))
+        moved = settle(moved.join(onward, "m", "left").select("x", F.coalesce("n", "m").alias("m"), F.col("n").isNotNull().alias("went")), label)
+        if moved.where("went").isEmpty():
+            return moved.drop("went")
+        moved = moved.drop("went")
+
+
+#: After so many rounds what is found is written, so that no plan joins more frames.
+SETTLE_EACH = 4
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
-    """(node, component): for every node of an edge (a, b), the smallest node it can reach.
+    """(node, component): for every node of an edge (a, b), the smallest node it can reach. Edges with a null end are left out.
 
-    Contracts the graph: each node moves to the smallest of itself and its neighbours, and edges are drawn anew between
-    where their ends moved, until none are left. The smallest node of a component never moves, so all arrive there.
-    Each round is written to the shared folder. Stars and graphs of mixed ids take few rounds; a chain whose ids ascend
-    along it takes one for each of its links.
+    Contracts the graph: each node moves to the smallest of itself and its neighbours, then on to where that one moved, until it is at a
+    node that stayed; edges are drawn anew between where their ends are, until none are left. The smallest node of a component never moves,
+    so all arrive there. A node that stayed and that nobody moved to has a smaller neighbour after the round, so two rounds at least halve
+    the nodes of a component: rounds grow with the logarithm of its nodes, and passes of a round with that of its longest chain, whatever the
+    order of ids. Each pass is written to the shared folder.
     """
     known = edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL")
     nodes = known.select(F.col("a").alias("node")).union(known.select("b")).distinct()
     links = known.where("a <> b")
-    moved, found = None, nodes.withColumn("component", F.col("node"))
+    found, rounds = nodes.withColumn("component", F.col("node")), 0
     while True:
         both = links.select("a", "b").union(links.select("b", "a"))
         # The smallest node has its own place as the least; a row for each node with an edge.
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("x"), F.least("a", "m").alias("m"))
-        moved = settle(least, label)
+        moved = _at_roots(settle(least, label), label)
         ours, theirs = moved.select(F.col("x").alias("a"), F.col("m").alias("p")), moved.select(F.col("x").alias("b"), F.col("m").alias("q"))
         again = links.join(ours, "a").join(theirs, "b").where("p <> q").select(F.greatest("p", "q").alias("a"), F.least("p", "q").alias("b")).distinct()
-        # A node that moved to another which moved on itself in this round is a link of the next.
-        hops = moved.where("x <> m").join(moved.select(F.col("x").alias("m"), F.col("m").alias("n")), "m").where("m <> n").select(F.col("m").alias("a"), F.col("n").alias("b"))
-        links = settle(again.union(hops).distinct(), label)
+        links = settle(again, label)
         found = found.join(moved.withColumnRenamed("x", "component"), "component", "left").select("node", F.coalesce("m", "component").alias("component"))
-        if links.isEmpty():
-            return settle(found, label)
+        rounds += 1
+        done = links.isEmpty()
+        if done or rounds % SETTLE_EACH == 0:
+            found = settle(found, label)
+        if done:
+            return found

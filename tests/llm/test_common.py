@@ -2,6 +2,9 @@
 
 import random
 
+import pytest
+
+from opsreports.llm import common
 from opsreports.llm.common import components, in_order
 
 
@@ -24,6 +27,28 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def _shape(name):
+    """Edges of one component of 10,000 nodes."""
+    n = 10_000
+    if name == "path":
+        return [(i, i + 1) for i in range(n - 1)]
+    if name == "star":  # the centre is the largest
+        return [(n - 1, i) for i in range(n - 1)]
+    mixed = random.Random(8).sample(range(n), n)
+    return list(zip(mixed, mixed[1:]))
+
+
+@pytest.mark.parametrize("name", ["path", "star", "mixed path"])
+def test_components_take_few_passes(spark, monkeypatch, name):
+    passes = []
+    written = common.settle
+    monkeypatch.setattr(common, "settle", lambda df, label: passes.append(label) or written(df, label))
+    got = components(spark.createDataFrame(_shape(name), "a long, b long"))
+    assert got.count() == 10_000 and [r["component"] for r in got.select("component").distinct().collect()] == [0]
+    # Measured: a mixed path has short chains but takes several rounds, 45 written frames in all; one round a link would take thousands.
+    assert len(passes) <= (60 if name == "mixed path" else 30)
+
+
 def test_neighbours_across_slices(spark):
     rows = [(i * 37 % 1000, f"h{i * 37 % 1000 // 400}") for i in range(1000)]
     out = in_order(spark.createDataFrame(rows, "n long, host string").repartition(8), ["n"], within=["host"], take=["n"]).collect()
