@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsreports.llm.bpe import text_bytes
-from opsreports.llm.common import components, passing, settle
+from opsreports.llm.common import components, lean, passing, settle
 from opsreports.llm.repeats import shared_runs
 
 _RANDOM = np.random.Generator(np.random.PCG64(1)).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -31,6 +31,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 #: Counters of the frequency sketch, and how many of them a row carries. Fixed, so what is broadcast doesn't grow.
 COUNTERS, SLICE = 1 << 21, 1 << 17
+#: Texts hashed at once; hashing takes some 50 bytes for each of theirs.
+TEXTS = 100
 _SHIFT = np.uint64(64 - 21)
 
 
@@ -157,11 +159,11 @@ def similar_documents(
         names = ["id", "n", "print", "slice", "task", "counts"]
         for batch in batches:
             key_type = batch.schema.field(0).type
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for lo in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(lo, TEXTS)
                 sets = shingle_sets(part.column(1), width)
                 flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-                counts += np.bincount((flat >> _SHIFT).astype(np.int64), minlength=COUNTERS)
+                np.add.at(counts, (flat >> _SHIFT).astype(np.int64), 1)
                 none = pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.int64()), pa.nulls(len(sets), pa.binary())
                 prints = [_print(s) for s in sets]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()), *none], names=names)
@@ -173,7 +175,7 @@ def similar_documents(
                  pa.array([task] * k, pa.int64()), pa.array(packed, pa.binary())], names=names,
             )
 
-    measured = settle(texts.mapInArrow(measure, f"id {kind}, n long, print binary, slice int, task long, counts binary"), "sizes")
+    measured = settle(texts.mapInArrow(lean(measure), f"id {kind}, n long, print binary, slice int, task long, counts binary"), "sizes")
     sizes = measured.where("slice IS NULL").select("id", "n", "print")
     usable = sizes.where("id IS NOT NULL AND n > 0")
     # One set per id: of rows that share an id, the one with the smallest print.
@@ -201,8 +203,8 @@ def similar_documents(
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for lo in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(lo, TEXTS)
                 sets = shingle_sets(part.column(1), width)
                 made = [entries(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -223,11 +225,11 @@ def similar_documents(
             yield pa.RecordBatch.from_arrays([batch.column(2).flatten(), batch.column(0).take(row), pa.array(size)], names=["key", "id", "size"])
 
     # Entries of sets that another row stands for are dropped while they are still one row per document.
-    entered = texts.where("id IS NOT NULL").mapInArrow(enter, f"id {kind}, n long, keys array<long>, kinds binary, print binary").where("n > 0")
+    entered = texts.where("id IS NOT NULL").mapInArrow(lean(enter), f"id {kind}, n long, keys array<long>, kinds binary, print binary").where("n > 0")
     entered = entered.join(reps.select(F.col("rep").alias("id"), "print"), ["id", "print"], "left_semi").select("id", "n", "keys", "kinds")
-    listed = entered.mapInArrow(spread, f"key long, id {kind}, size long").repartition("key").sortWithinPartitions("key")
+    listed = entered.mapInArrow(lean(spread), f"key long, id {kind}, size long").repartition("key").sortWithinPartitions("key")
     met = settle(
-        listed.mapInArrow(shared_runs, f"key long, id {kind}, size long").select(
+        listed.mapInArrow(lean(shared_runs), f"key long, id {kind}, size long").select(
             "key", "id", F.shiftright("size", 34).alias("n"), F.shiftright("size", 2).bitwiseAND(F.lit((1 << 32) - 1)).alias("place"), (F.col("size") % 4).alias("kind")
         ).distinct(), "lists"
     )
@@ -241,8 +243,8 @@ def similar_documents(
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for lo in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(lo, TEXTS)
                 sets = shingle_sets(part.column(1), width)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([_print(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "print", "shingles"]
@@ -261,12 +263,12 @@ def similar_documents(
     def checked(pairs: DataFrame, label: str) -> DataFrame:
         """Of settled pairs (a, b) those that are similar, settled."""
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        sets = passing(texts.where("id IS NOT NULL"), ids).mapInArrow(gather, f"id {kind}, print binary, shingles binary")
+        sets = passing(texts.where("id IS NOT NULL"), ids).mapInArrow(lean(gather), f"id {kind}, print binary, shingles binary")
         sets = sets.join(ids.join(reps.select(F.col("rep").alias("id"), "print"), "id"), ["id", "print"], "left_semi").dropDuplicates(["id"])
         ours = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
         theirs = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
         both = pairs.join(ours, "a").join(theirs, "b").select("a", "b", "x", "y")
-        return settle(both.mapInArrow(compare, f"a {kind}, b {kind}"), label)
+        return settle(both.mapInArrow(lean(compare), f"a {kind}, b {kind}"), label)
 
     n, m = F.col("n"), F.col("m")
     fitting = F.least(n, m) * 100 >= F.greatest(n, m) * percent

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsreports.llm.common import lean
+
 
 UNKNOWN = "und"
 #: Shorter texts are repeated up to this many bytes: zstandard stores what it can't make smaller, and sizes would tie.
@@ -110,5 +112,5 @@ def identify(
             )
 
     id_kind = df.schema[id_col].dataType.simpleString()
-    found = kept.mapInArrow(run, f"{kinds}{', ' if keep else ''}_id {id_kind}, lang_pred string, score double, rejected boolean")
+    found = kept.mapInArrow(lean(run), f"{kinds}{', ' if keep else ''}_id {id_kind}, lang_pred string, score double, rejected boolean")
     return found.drop("_id") if id_col in keep else found.withColumnRenamed("_id", id_col)

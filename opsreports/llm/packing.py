@@ -10,6 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from opsreports.llm.bpe import Encoder
+from opsreports.llm.common import lean
 
 
 def attention_cost(length, quadratic: float):
@@ -96,8 +97,8 @@ def pack(
 
         for batch in batches:
             key_type = batch.schema.field(0).type
-            for lo in range(0, batch.num_rows, 2000):
-                part = batch.slice(lo, 2000)
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
                 ids, at = encoder.batch(part.column(1))
                 for key, a, b in zip(part.column(0).to_pylist(), at[:-1], at[1:], strict=True):
                     keys.append(key)
@@ -111,5 +112,5 @@ def pack(
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(id_col, text_col).mapInArrow(
-        run, f"`{id_col}` {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+        lean(run), f"`{id_col}` {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     )

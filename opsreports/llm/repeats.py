@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opsreports.llm.bpe import text_bytes
-from opsreports.llm.common import passing, settle
+from opsreports.llm.common import lean, passing, settle
 
 ANCHOR = 32
 _RANDOM = np.random.Generator(np.random.PCG64(8)).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -322,9 +322,9 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 names=["id", "address", "spans", "kept", "kept_text"],
             )
 
-    picked = rows.where("id IS NOT NULL").mapInArrow(pick, f"hash long, digest long, id {kind}, at long")
+    picked = rows.where("id IS NOT NULL").mapInArrow(lean(pick), f"hash long, digest long, id {kind}, at long")
     met = settle(
-        picked.repartition("hash").sortWithinPartitions("hash", "digest", "id", "at").mapInArrow(_settle_equal, f"hash long, id {kind}, at long, open boolean"), "met"
+        picked.repartition("hash").sortWithinPartitions("hash", "digest", "id", "at").mapInArrow(lean(_settle_equal), f"hash long, id {kind}, at long, open boolean"), "met"
     )
     firsts = first.select("id", "address")
     texts = lambda ids: passing(rows.where("id IS NOT NULL"), ids)
@@ -338,10 +338,10 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     crowded = settle(opened.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > chunk).select("hash"), "crowded")
     some = not crowded.isEmpty()
     quiet = opened.join(crowded, "hash", "left_anti") if some else opened
-    around = placed(quiet, "located").mapInArrow(surround, f"hash long, id {kind}, at long, around binary")
-    judged = around.repartition("hash").sortWithinPartitions("hash", "id", "at").mapInArrow(judge, f"id {kind}, start long, end long")
+    around = placed(quiet, "located").mapInArrow(lean(surround), f"hash long, id {kind}, at long, around binary")
+    judged = around.repartition("hash").sortWithinPartitions("hash", "id", "at").mapInArrow(lean(judge), f"id {kind}, start long, end long")
     if some:
-        each = settle(placed(opened.join(crowded, "hash", "left_semi"), "crowd").mapInArrow(strings, f"digest binary, id {kind}, place long"), "strings")
+        each = settle(placed(opened.join(crowded, "hash", "left_semi"), "crowd").mapInArrow(lean(strings), f"digest binary, id {kind}, place long"), "strings")
         own = F.struct("id", "place")
         least = settle(each.groupBy("digest").agg(F.min(own).alias("least"), F.max(own).alias("most")).where("least < most").select("digest", "least"), "least")
         start = F.col("place").bitwiseAND(F.lit(0x7FFFFFFF))
@@ -354,7 +354,7 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gathered = settle(gathered.join(firsts, "id"), "found")
     losing = texts(gathered).join(gathered, "id").where(own_text).select("id", "address", "text", "found").dropDuplicates(["id", "address"])
     stripped = losing.mapInArrow(
-        strip, f"id {kind}, address string, spans array<{span}>, kept binary, kept_text string"
+        lean(strip), f"id {kind}, address string, spans array<{span}>, kept binary, kept_text string"
     )
     copied = F.col("id") != F.col("first_id")
     return addressed.join(first.select("address", F.col("id").alias("first_id")), "address", "left").join(stripped, ["id", "address"], "left").select(
