@@ -48,10 +48,13 @@ def call_agent_number(direction: Column, caller: Column, callee: Column) -> Colu
 
 
 def name_from_email(email: Column) -> Column:
-    """Mailbox name with only its first letter in upper case."""
+    """Mailbox name with only its first letter in upper case.
+
+    The name is the whole text if there is no ``@``, so both branches and the condition hold it: Spark cuts it once a row.
+    """
     name = F.substring_index(email, "@", 1)
-    capital = F.concat(F.upper(F.left(name, F.lit(1))), F.lower(F.substring(name, F.lit(2), F.length(name))))
-    return F.when(email.contains("@"), capital).otherwise(email)
+    capital = F.concat(F.upper(F.left(name, F.lit(1))), F.lower(F.substring(name, 2, 2**31 - 1)))
+    return F.when(F.octet_length(name) < F.octet_length(email), capital).otherwise(name)
 
 
 def flatten_comment(comment: Column) -> Column:

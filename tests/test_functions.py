@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from opsreports.checks import QUERIES
 from opsreports.functions import labels, money, text, times
 from opsreports.operators import filters
 
@@ -29,6 +30,29 @@ def test_name_from_email(column):
     assert values(column, mails, "string", text.name_from_email) == ["Jo.hn", "NOT_ASSIGNED", "", None, "plain"]
 
 
+def test_name_from_email_at_its_edges(column):
+    mails = ["@x", "@", "a@", "a@b@c", "\u00e4B@x", "\u00dfA@x", "\u00c4\u00d6", "\U0001f600AB@x", "x" * 70_000 + "Y@x", "Y" * 70_000, " A@"]
+    made = values(column, mails, "string", text.name_from_email)
+    cut = [m.split("@")[0] for m in mails]
+    assert made == [m if "@" not in m else c[:1].upper() + c[1:].lower() for m, c in zip(mails, cut)]
+
+
+def test_name_from_email_cuts_a_mail_once(spark, capsys):
+    mail = F.concat(F.repeat(F.col("id").cast("string"), 9), F.lit("@x.example"))
+    spark.range(9).select(F.sha2(text.name_from_email(mail), 256)).explain("codegen")
+    assert capsys.readouterr().out.count("SubstringIndex.exec") == 1
+
+
+def test_mails_of_one_file_are_spread(spark, tmp_path):
+    rows = 20_000
+    spark.range(0, rows, 1, 1).selectExpr(
+        "id AS c_custkey", "concat('Customer#', id) AS c_name", "IF(id % 2 = 0, 'MACHINERY', null) AS c_mktsegment"
+    ).write.parquet(str(tmp_path / "customer.parquet"))
+    dealt = QUERIES["h06_name_from_email"](spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    sizes = [r["count"] for r in dealt]
+    assert len(sizes) == 3 and sum(sizes) == rows and max(sizes) < 8_000
+
+
 def test_comment_flattening(column):
     notes = ["a\nb", "a\\nb", "", "null", "{}", None, "plain"]
     assert values(column, notes, "string", text.flatten_comment) == ["a,b", "a,b", "", "", "", "", "plain"]
